@@ -1,0 +1,108 @@
+"""Run a registered query in Spark and its SQL in DuckDB; compare the results.
+
+Rows are compared as multisets of tuples with columns ordered by name; values
+must be equal exactly (floats included), as a value hash would require.
+Usable from pytest and from the command line::
+
+    python tests/oracle_harness.py /root/testdata/sf0.01 [key ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import sys
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = Path(sf_dir) / f"{t}.parquet"
+        if p.exists():
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
+        return 0.0 if v == 0 else v
+    if isinstance(v, dt.datetime) and v.tzinfo is not None:
+        return v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return v
+
+
+def _key(row):
+    return tuple((v is None, str(type(v).__name__), str(v)) for v in row)
+
+
+def spark_rows(df):
+    cols = sorted(df.columns)
+    rows = [tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()]
+    return cols, sorted(rows, key=_key)
+
+
+def duck_rows(con, sql):
+    rel = con.sql(sql)
+    names = rel.columns
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    cols = [names[i] for i in order]
+    rows = [tuple(_norm(r[i]) for i in order) for r in rel.fetchall()]
+    return cols, sorted(rows, key=_key)
+
+
+def compare(spark, key: str, sf_dir: str, con=None) -> tuple[bool, str]:
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    import __spark_entry__ as entry
+
+    con = con or duck_connection(sf_dir)
+    sql = entry.oracle_sql().get(key)
+    df = entry.queries()[key](spark, sf_dir)
+    s_cols, s_rows = spark_rows(df)
+    if sql is None:
+        return True, f"{key}: {len(s_rows)} rows (no oracle)"
+    d_cols, d_rows = duck_rows(con, sql)
+    if s_cols != d_cols:
+        return False, f"{key}: columns differ spark={s_cols} duck={d_cols}"
+    if len(s_rows) != len(d_rows):
+        return False, f"{key}: row counts differ spark={len(s_rows)} duck={len(d_rows)}"
+    bad = [(a, b) for a, b in zip(s_rows, d_rows) if a != b]
+    if bad:
+        a, b = bad[0]
+        return False, f"{key}: {len(bad)} rows differ; first spark={a} duck={b}"
+    return True, f"{key}: {len(s_rows)} rows match"
+
+
+def main(argv):
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    import __spark_entry__ as entry
+    from tremor.session import build_session
+
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    keys = argv[2:] or list(entry.queries())
+    spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck_connection(sf_dir)
+    failed = 0
+    for key in keys:
+        try:
+            ok, msg = compare(spark, key, sf_dir, con)
+        except Exception as exc:  # noqa: BLE001 - report and continue
+            ok, msg = False, f"{key}: ERROR {type(exc).__name__}: {str(exc)[:400]}"
+        failed += not ok
+        print(("PASS " if ok else "FAIL ") + msg, flush=True)
+    print(f"{len(keys) - failed}/{len(keys)} passed")
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
