@@ -1,5 +1,5 @@
 """Sinks: result tables, partitioned catalog, event-line files."""
 
-from tremor.sinks.writers import write_catalog, write_lines, write_result
+from tremor.sinks.writers import read_result, write_catalog, write_lines, write_result
 
-__all__ = ["write_catalog", "write_lines", "write_result"]
+__all__ = ["read_result", "write_catalog", "write_lines", "write_result"]

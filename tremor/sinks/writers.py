@@ -31,6 +31,16 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
         raise ValueError(f"unsupported result format {fmt!r}")
 
 
+def read_result(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read back a table written by :func:`write_result` (small result tables only
+    when ``fmt='csv'``, whose column types are inferred)."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    if fmt == "csv":
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    raise ValueError(f"unsupported result format {fmt!r}")
+
+
 def write_catalog(
     df: DataFrame, path: str, partition_by: Sequence[str] = ("region",), mode: str = "overwrite"
 ) -> None:

@@ -142,6 +142,7 @@ def start_alert_queries(
 
 def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
     """Block until any query ends (or ``timeout`` seconds), then stop them all."""
+    spark.streams.resetTerminated()  # forget queries that ended before these started
     try:
         if timeout is None:
             spark.streams.awaitAnyTermination()
