@@ -28,7 +28,7 @@ def plan(df) -> str:
 def test_no_python_in_any_query(spark, key):
     text = plan(QUERIES[key](spark, SF_SMALL))
     assert not any(node in text for node in PYTHON_NODES), key
-    assert "WholeStageCodegen" in text or "Scan parquet" in text
+    assert "Scan " in text, key
 
 
 def test_aggregates_combine_map_side(spark, catalog_small):

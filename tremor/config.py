@@ -61,7 +61,7 @@ DEDUPE_KEYS = ("time", "mag")
 
 # Stream line codec: field separator, and characters blanked inside a field.
 LINE_SEPARATOR = ","
-LINE_BLANKED_CHARS = "[\n\r,]"
+LINE_BLANKED_CHARS = "\n\r,"
 
 # ---------------------------------------------------------------------------
 

@@ -28,21 +28,31 @@ def catalog_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("count"))
 
 
-def _counts_by(df: DataFrame, key: Column, name: str, sort: bool) -> DataFrame:
-    out = df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("count"))
-    if sort:
-        out = out.orderBy(F.col("count").desc(), F.col(name).asc_nulls_first())
-    return out
+def _counts_by(df: DataFrame, key: Column, name: str) -> DataFrame:
+    return df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("count"))
+
+
+def _most_frequent_first(name: str):
+    return [F.col("count").desc(), F.col(name).asc_nulls_first()]
+
+
+def _sort_label_counts(counts: DataFrame, name: str) -> DataFrame:
+    """Order a count table keyed by a label column. Such a table has one row per
+    label (a handful), so it is sorted inside one task: a global sort would
+    add a range-partitioning sample job to order a few rows."""
+    return counts.coalesce(1).sortWithinPartitions(*_most_frequent_first(name))
 
 
 def mag_range_counts(df: DataFrame, null_label: str | None = None, sort: bool = True) -> DataFrame:
     """``mag_range, count``, most frequent first."""
-    return _counts_by(df, mag_range(_mag(), null_label=null_label), "mag_range", sort)
+    counts = _counts_by(df, mag_range(_mag(), null_label=null_label), "mag_range")
+    return _sort_label_counts(counts, "mag_range") if sort else counts
 
 
 def region_counts(df: DataFrame, sort: bool = True) -> DataFrame:
     """``region, count``, most frequent first."""
-    return _counts_by(df, F.col("region"), "region", sort)
+    counts = _counts_by(df, F.col("region"), "region")
+    return _sort_label_counts(counts, "region") if sort else counts
 
 
 def top_places(df: DataFrame, n: int = TOP_PLACES_N) -> DataFrame:
@@ -52,7 +62,7 @@ def top_places(df: DataFrame, n: int = TOP_PLACES_N) -> DataFrame:
     partial/final count followed by a top-k (``TakeOrderedAndProject``), so
     only ``n`` rows per task reach the final merge.
     """
-    return _counts_by(df, F.col("place"), "place", sort=True).limit(n)
+    return _counts_by(df, F.col("place"), "place").orderBy(*_most_frequent_first("place")).limit(n)
 
 
 def regional_stats(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFrame:

@@ -246,7 +246,10 @@ def q_encode_lines(spark, sf_dir):
 
 
 def q_decode_lines(spark, sf_dir):
-    return decode_lines(encode_lines(_catalog(spark, sf_dir)))
+    # Lines at rest, as the stream source sees them: written once, then decoded from text.
+    path = scratch_path(spark, "lines")
+    write_lines(_catalog(spark, sf_dir), path)
+    return decode_lines(spark.read.text(path))
 
 
 def q_csv_roundtrip(spark, sf_dir):

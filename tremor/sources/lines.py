@@ -20,6 +20,10 @@ from tremor.functions.time import line_time_text, parse_utc_time, utc_wallclock
 
 _NUMERIC = ("latitude", "longitude", "depth", "mag")
 
+# Characters stripped from both ends of an encoded field: every character Python
+# counts as whitespace (``str.strip()`` with no argument), derived by rule.
+_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
 
 def decode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Split each line into typed catalog columns.
@@ -68,8 +72,8 @@ def _field_text(df: DataFrame, name: str) -> Column:
         text = nan_to_null(c.cast("double")).cast("string")
     else:
         text = c.cast("string")
-    blanked = F.regexp_replace(F.coalesce(text, F.lit("")), LINE_BLANKED_CHARS, " ")
-    return F.regexp_replace(blanked, r"^\s+|\s+$", "")
+    blanked = F.translate(F.coalesce(text, F.lit("")), LINE_BLANKED_CHARS, " " * len(LINE_BLANKED_CHARS))
+    return F.trim(blanked, F.lit(_WHITESPACE))
 
 
 def encode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:

@@ -137,12 +137,13 @@ def start_alert_queries(
     if name_prefix:
         watch = watch.queryName(f"{name_prefix}_watch")
         archive = archive.queryName(f"{name_prefix}_archive")
+    # so a later awaitAnyTermination waits for these queries, not for ones that ended earlier
+    alerts.sparkSession.streams.resetTerminated()
     return _with_trigger(watch, trigger).start(), _with_trigger(archive, trigger).start()
 
 
 def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
     """Block until any query ends (or ``timeout`` seconds), then stop them all."""
-    spark.streams.resetTerminated()  # forget queries that ended before these started
     try:
         if timeout is None:
             spark.streams.awaitAnyTermination()
