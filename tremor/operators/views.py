@@ -73,8 +73,16 @@ def _newest_first():
 
 
 def regional_events(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFrame:
-    """Records of one region, newest first (missing times last)."""
-    return event_records(filter_region(df, name).orderBy(*_newest_first()))
+    """Records of one region, newest first (missing times last).
+
+    A full sort: range partitioning sends equal sort keys to one task, so a
+    run of rows equal on every key (say a third of the catalog with no time and
+    the same coordinates) would land in one task. Such rows give identical
+    records, so their relative order is free; a row-position id as the last
+    key lets the range partitioner split the run across tasks.
+    """
+    spread = F.monotonically_increasing_id()
+    return event_records(filter_region(df, name).orderBy(*_newest_first(), spread))
 
 
 def recent_events(df: DataFrame, n: int = RECENT_EVENTS_N) -> DataFrame:

@@ -43,6 +43,10 @@ def scratch_root(spark: SparkSession) -> str:
         if current:
             base = current.rstrip("/").rsplit("/", 1)[0]
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder every executor can reach"
+            )
         base = tempfile.mkdtemp(prefix="tremor-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")
