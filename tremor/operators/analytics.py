@@ -36,23 +36,22 @@ def _most_frequent_first(name: str):
     return [F.col("count").desc(), F.col(name).asc_nulls_first()]
 
 
-def _sort_label_counts(counts: DataFrame, name: str) -> DataFrame:
-    """Order a count table keyed by a label column. Such a table has one row per
-    label (a handful), so it is sorted inside one task: a global sort would
-    add a range-partitioning sample job to order a few rows."""
-    return counts.coalesce(1).sortWithinPartitions(*_most_frequent_first(name))
-
-
 def mag_range_counts(df: DataFrame, null_label: str | None = None, sort: bool = True) -> DataFrame:
-    """``mag_range, count``, most frequent first."""
+    """``mag_range, count``, most frequent first.
+
+    The table has at most one row per range label (six with ``null_label``),
+    so it is sorted inside one task; a global sort would add a range-sampling
+    job to order five rows.
+    """
     counts = _counts_by(df, mag_range(_mag(), null_label=null_label), "mag_range")
-    return _sort_label_counts(counts, "mag_range") if sort else counts
+    return counts.coalesce(1).sortWithinPartitions(*_most_frequent_first("mag_range")) if sort else counts
 
 
 def region_counts(df: DataFrame, sort: bool = True) -> DataFrame:
-    """``region, count``, most frequent first."""
+    """``region, count``, most frequent first. ``region`` is data (any number of
+    values in a foreign catalog), so the sort stays distributed."""
     counts = _counts_by(df, F.col("region"), "region")
-    return _sort_label_counts(counts, "region") if sort else counts
+    return counts.orderBy(*_most_frequent_first("region")) if sort else counts
 
 
 def top_places(df: DataFrame, n: int = TOP_PLACES_N) -> DataFrame:

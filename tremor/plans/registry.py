@@ -44,6 +44,9 @@ FEED_AS_OF = dt.date(2024, 1, 20)
 FEED_DAYS = 30
 TRAILING_AS_OF = dt.date(2024, 1, 15)
 TRAILING_DAYS = 7
+# Files per micro-batch of the replayed alert stream: wide enough to occupy a
+# cluster, small enough to bound one batch.
+STREAM_FILES_PER_TRIGGER = 1000
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -272,7 +275,7 @@ def _run_alert_stream(spark, sf_dir) -> tuple[str, str]:
     (``availableNow``), return ``(watch_path, archive_path)``."""
     root = scratch_path(spark, "alerts")
     write_lines(_catalog(spark, sf_dir), f"{root}/lines")
-    alerts = alerts_from_lines(line_stream(spark, f"{root}/lines", max_files_per_trigger=1))
+    alerts = alerts_from_lines(line_stream(spark, f"{root}/lines", max_files_per_trigger=STREAM_FILES_PER_TRIGGER))
     queries = start_alert_queries(
         alerts,
         archive_path=f"{root}/archive",
