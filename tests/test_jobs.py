@@ -70,3 +70,22 @@ def test_workload_has_five_actions(catalog_small):
     assert list(w) == ["catalog_count", "mag_range_counts", "region_counts", "top_places", "regional_avg_mag"]
     assert w["catalog_count"].first()["count"] == catalog_small.count()
     assert analytics.regional_avg_mag(catalog_small).first()[0] == w["regional_avg_mag"].first()[0]
+
+
+def test_cli_batch_and_hotspots(spark, catalog_small, tmp_dir):
+    catalog_small.write.parquet(f"{tmp_dir}/cat")
+    assert jobs.main(["batch-analysis", "--catalog", f"{tmp_dir}/cat", "--out", f"{tmp_dir}/b"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/b/mag_ranges").count() == 5
+    assert jobs.main(["hotspots", "--catalog", f"{tmp_dir}/cat", "--out", f"{tmp_dir}/h", "--format", "csv"]) == 0
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/h/global").count() == grid.hotspots(catalog_small).count()
+
+
+def test_sizing_conf():
+    from tremor.session import sizing_conf
+
+    small = sizing_conf(10 << 20, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    huge = sizing_conf(100 * 10**12, total_cores=8000)
+    assert int(huge["spark.sql.shuffle.partitions"]) == 93133
+    capped = sizing_conf(10**16, total_cores=8000)
+    assert capped["spark.sql.shuffle.partitions"] == "100000"
