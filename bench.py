@@ -2,7 +2,7 @@
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_RUNS`` (default 3), ``BENCH_QUERIES`` (comma list, default
-all). Each query gets one warm-up run, then the median of ``BENCH_RUNS`` timed
+all), ``BENCH_EVENT_LOG_DIR`` (optional: write Spark's event log there). Each query gets one warm-up run, then the median of ``BENCH_RUNS`` timed
 runs. A run executes the whole plan into Spark's ``noop`` sink, so nothing is
 collected to the driver. Prints one JSON line on stdout.
 """
@@ -40,14 +40,15 @@ def main() -> int:
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     names = wanted or list(WORKLOAD) + [k for k in QUERIES if k not in WORKLOAD]
 
-    spark = build_session(
-        f"local[{cpus}]",
-        app_name="tremor-bench",
-        conf={
-            "spark.sql.shuffle.partitions": str(cpus),
-            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-        },
-    )
+    conf = {
+        "spark.sql.shuffle.partitions": str(cpus),
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+    }
+    event_log = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_log:  # stage/task timings, readable offline (no UI)
+        os.makedirs(event_log, exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(f"local[{cpus}]", app_name="tremor-bench", conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
 
     timings: dict[str, float] = {}

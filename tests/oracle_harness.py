@@ -60,6 +60,22 @@ def duck_rows(con, sql):
     return cols, sorted(rows, key=_key)
 
 
+_SPARK_TYPES = {"bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8", "double": "float64",
+                "float": "float32", "string": "string", "boolean": "bool", "timestamp_ntz": "timestamp",
+                "timestamp": "timestamptz", "date": "date"}
+_DUCK_TYPES = {"BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+               "FLOAT": "float32", "VARCHAR": "string", "BOOLEAN": "bool", "TIMESTAMP": "timestamp",
+               "TIMESTAMP WITH TIME ZONE": "timestamptz", "DATE": "date"}
+
+
+def type_mismatches(df, con, sql) -> list[str]:
+    spark_types = {name: _SPARK_TYPES.get(t, t) for name, t in df.dtypes}
+    rel = con.sql(sql)
+    duck_types = {name: _DUCK_TYPES.get(str(t), str(t)) for name, t in zip(rel.columns, rel.types)}
+    return [f"{c}: spark {spark_types[c]} vs duck {duck_types.get(c)}"
+            for c in spark_types if spark_types[c] != duck_types.get(c)]
+
+
 def compare(spark, key: str, sf_dir: str, con=None) -> tuple[bool, str]:
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
     import __spark_entry__ as entry
@@ -73,6 +89,9 @@ def compare(spark, key: str, sf_dir: str, con=None) -> tuple[bool, str]:
     d_cols, d_rows = duck_rows(con, sql)
     if s_cols != d_cols:
         return False, f"{key}: columns differ spark={s_cols} duck={d_cols}"
+    mismatched = type_mismatches(df, con, sql)
+    if mismatched:
+        return False, f"{key}: column types differ: {'; '.join(mismatched)}"
     if len(s_rows) != len(d_rows):
         return False, f"{key}: row counts differ spark={len(s_rows)} duck={len(d_rows)}"
     bad = [(a, b) for a, b in zip(s_rows, d_rows) if a != b]

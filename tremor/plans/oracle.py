@@ -103,9 +103,9 @@ FROM quakes WHERE region = 'Pakistan'""",
 SELECT round(avg(mag), 6) AS avg_mag FROM quakes WHERE region = 'Pakistan'""",
     "summary": f"""{_BASE}
 SELECT count(*) AS total_earthquakes,
-       count_if(region = 'Pakistan') AS pakistan_count,
-       count_if(mag > 6) AS critical_count,
-       count_if(mag > 5 AND mag <= 6) AS high_count,
+       count(*) FILTER (WHERE region = 'Pakistan') AS pakistan_count,
+       count(*) FILTER (WHERE mag > 6) AS critical_count,
+       count(*) FILTER (WHERE mag > 5 AND mag <= 6) AS high_count,
        coalesce(round(avg(mag), 2), 0.0) AS average_magnitude,
        coalesce(round(max(mag), 2), 0.0) AS max_magnitude
 FROM quakes""",
@@ -154,8 +154,8 @@ WHERE time >= TIMESTAMP '2024-01-08 00:00:00' AND time <= TIMESTAMP '2024-01-15
     "union_feeds": f"{_BASE} SELECT * FROM feeds",
     "merge_feeds": f"{_BASE} SELECT * FROM merged",
     "merge_report": f"""{_BASE}
-SELECT count(*) AS total, count_if(region = 'Pakistan') AS pakistan_count,
-       count_if(region = 'Global') AS global_count
+SELECT count(*) AS total, count(*) FILTER (WHERE region = 'Pakistan') AS pakistan_count,
+       count(*) FILTER (WHERE region = 'Global') AS global_count
 FROM merged""",
     "dedupe_full_row": f"""{_BASE}
 SELECT DISTINCT event_id, latitude, longitude, depth, place, type FROM (
