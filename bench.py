@@ -2,8 +2,10 @@
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_RUNS`` (default 3), ``BENCH_QUERIES`` (comma list, default
-all), ``BENCH_EVENT_LOG_DIR`` (optional: write Spark's event log there). Each query gets one warm-up run, then the median of ``BENCH_RUNS`` timed
-runs. A run executes the whole plan into Spark's ``noop`` sink, so nothing is
+all), ``BENCH_EVENT_LOG_DIR`` (optional: write Spark's event log there),
+``BENCH_SCALING`` (core counts for the workload scaling run, default 1,2,4;
+empty to skip). Each query gets one warm-up run, then the median of
+``BENCH_RUNS`` timed runs. A run executes the whole plan into Spark's ``noop`` sink, so nothing is
 collected to the driver. Prints one JSON line on stdout.
 """
 
@@ -58,6 +60,9 @@ def main() -> int:
         timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 4)
         print(f"{name}: {timings[name]:.3f}s", file=sys.stderr, flush=True)
 
+    spark.stop()
+    scaling = measure_scaling(sf_dir, runs, conf) if os.environ.get("BENCH_SCALING", "1,2,4") else {}
+
     match = re.search(r"sf([0-9.]+)$", sf_dir)
     result = {
         "metric": "sum_of_median_query_sec",
@@ -69,10 +74,34 @@ def main() -> int:
         "cpus": cpus,
         "runs": runs,
     }
+    if scaling:
+        base = scaling.get("1")
+        result["workload_scaling_sec"] = scaling
+        if base:
+            result["workload_speedup"] = {k: round(base / v, 3) for k, v in scaling.items()}
     print(json.dumps(result), flush=True)
-    spark.stop()
     return 0
 
 
+def measure_scaling(sf_dir: str, runs: int, conf: dict) -> dict[str, float]:
+    """The five-action workload on local[n] for each n in ``BENCH_SCALING``
+    (default 1,2,4), each in a fresh session: warm-up, then the median of
+    ``runs`` timings of the whole workload."""
+    out = {}
+    for n in [int(c) for c in os.environ.get("BENCH_SCALING", "1,2,4").split(",") if c]:
+        spark = build_session(f"local[{n}]", app_name=f"tremor-bench-{n}",
+                              conf={**conf, "spark.sql.shuffle.partitions": str(n)})
+        spark.sparkContext.setLogLevel("ERROR")
+
+        def workload() -> float:
+            return sum(run_once(spark, QUERIES[q], sf_dir) for q in WORKLOAD)
+
+        workload()
+        out[str(n)] = round(statistics.median(workload() for _ in range(runs)), 4)
+        print(f"workload on local[{n}]: {out[str(n)]:.3f}s", file=sys.stderr, flush=True)
+        spark.stop()
+    return out
+
+
 if __name__ == "__main__":
     sys.exit(main())
