@@ -89,3 +89,21 @@ def test_sizing_conf():
     assert int(huge["spark.sql.shuffle.partitions"]) == 93133
     capped = sizing_conf(10**16, total_cores=8000)
     assert capped["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_fused_profiles_equal_direct_operators(spark, catalog_small):
+    from tremor.session import reliable_checkpoint
+
+    tables = analytics.profile_tables(reliable_checkpoint(analytics.range_region_profile(catalog_small)))
+    for name in ("catalog_count", "mag_range_counts", "region_counts"):
+        direct = getattr(analytics, name)(catalog_small)
+        assert tables[name].collect() == direct.collect(), name
+    fused, direct = tables["regional_stats"].first(), analytics.regional_stats(catalog_small).first()
+    assert (fused["total"], fused["max_mag"], fused["min_mag"]) == (direct["total"], direct["max_mag"], direct["min_mag"])
+    assert abs(fused["avg_mag"] - direct["avg_mag"]) < 1e-9
+
+    cells = reliable_checkpoint(grid.cell_profile(catalog_small))
+    for regional, region in ((False, None), (True, "Pakistan")):
+        got = grid.profile_hotspots(cells, regional=regional)
+        want = grid.hotspots(catalog_small, region=region, sort=False)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -9,7 +9,15 @@ from tremor.operators.analytics import (
     summary,
     top_places,
 )
-from tremor.operators.grid import cell_counts, hotspots, hotspots_preview, hotspots_top, with_grid
+from tremor.operators.grid import (
+    cell_counts,
+    cell_profile,
+    hotspots,
+    hotspots_preview,
+    hotspots_top,
+    profile_hotspots,
+    with_grid,
+)
 from tremor.operators.merge import (
     dedupe_full_row,
     dedupe_keep_first,

@@ -95,3 +95,44 @@ def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2) ->
         F.coalesce(F.round(F.avg(m), digits), F.lit(0.0)).alias("average_magnitude"),
         F.coalesce(F.round(F.max(m), digits), F.lit(0.0)).alias("max_magnitude"),
     )
+
+
+# -- one-pass profile for jobs that need several of the tables above ----------
+
+def range_region_profile(df: DataFrame, null_label: str | None = None) -> DataFrame:
+    """Per ``(mag_range, region)``: ``n`` rows, ``n_mag`` known magnitudes,
+    ``sum_mag``, ``max_mag``, ``min_mag``.
+
+    One scan of ``mag`` and ``region`` and a partial/final aggregate whose
+    result has at most one row per (range label, region). The row count, the
+    range and region counts and the regional statistics all follow from it
+    (:func:`profile_tables`), so a job needing all four reads the catalog once.
+    """
+    m = _mag()
+    return df.groupBy(mag_range(m, null_label=null_label).alias("mag_range"), F.col("region")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(m).alias("n_mag"),
+        F.sum(m).alias("sum_mag"),
+        F.max(m).alias("max_mag"),
+        F.min(m).alias("min_mag"),
+    )
+
+
+def profile_tables(profile: DataFrame, name: str = DEFAULT_REGION.name) -> dict[str, DataFrame]:
+    """``catalog_count``, ``mag_range_counts``, ``region_counts`` and
+    ``regional_stats`` (same columns as the direct operators) from a
+    :func:`range_region_profile`."""
+    ranges = profile.groupBy("mag_range").agg(F.sum("n").alias("count"))
+    regions = profile.groupBy("region").agg(F.sum("n").alias("count"))
+    regional = filter_region(profile, name)
+    return {
+        "catalog_count": profile.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("count")),
+        "mag_range_counts": ranges.coalesce(1).sortWithinPartitions(*_most_frequent_first("mag_range")),
+        "region_counts": regions.orderBy(*_most_frequent_first("region")),
+        "regional_stats": regional.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"),
+            F.try_divide(F.sum("sum_mag"), F.sum("n_mag")).alias("avg_mag"),
+            F.max("max_mag").alias("max_mag"),
+            F.min("min_mag").alias("min_mag"),
+        ),
+    }

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.config import GRID_DIGITS, HOTSPOTS_TOP_N
+from tremor.config import DEFAULT_REGION, GRID_DIGITS, HOTSPOTS_TOP_N
 from tremor.functions.classify import risk_level
 from tremor.functions.numeric import grid_snap
 from tremor.operators.regions import filter_region
@@ -74,3 +74,26 @@ def hotspots_top(df: DataFrame, n: int = HOTSPOTS_TOP_N, digits: int = GRID_DIGI
     return top.select(
         F.col("lat_grid").alias("latitude"), F.col("lon_grid").alias("longitude"), F.col("count")
     )
+
+
+def cell_profile(
+    df: DataFrame, region: str = DEFAULT_REGION.name, digits: int = GRID_DIGITS, mode: str = "half_up"
+) -> DataFrame:
+    """``lat_grid, lon_grid, count, regional_count`` in one scan: the global
+    and the regional hotspot tables of the hotspot job from one aggregate."""
+    return (
+        df.select(
+            grid_snap(F.col("latitude"), digits, mode).alias("lat_grid"),
+            grid_snap(F.col("longitude"), digits, mode).alias("lon_grid"),
+            F.col("region"),
+        )
+        .groupBy("lat_grid", "lon_grid")
+        .agg(F.count(F.lit(1)).alias("count"), F.count_if(F.col("region") == F.lit(region)).alias("regional_count"))
+    )
+
+
+def profile_hotspots(profile: DataFrame, regional: bool = False) -> DataFrame:
+    """Unsorted :func:`hotspots` table (global, or regional) from a :func:`cell_profile`."""
+    count = F.col("regional_count") if regional else F.col("count")
+    cells = profile.filter(count > 0) if regional else profile
+    return cells.select("lat_grid", "lon_grid", count.alias("count"), risk_level(count).alias("risk_level"))

@@ -1,10 +1,11 @@
 """End-to-end jobs composed from the operators.
 
-Each job reads its inputs once per output with only the columns that output
-needs (Parquet column pruning), writes through Spark's commit protocol, and
-sends at most a handful of summary rows to the driver for the log. Nothing is
-cached: at catalog scale a cache would not fit, and every output is one scan
-of one or two columns.
+Each job reads only the columns its outputs need (Parquet column pruning),
+folds outputs that share columns into one aggregate pass, writes through
+Spark's commit protocol, and sends at most a handful of summary rows to the
+driver for the log. The catalog is never cached (it would not fit); the small
+shared aggregates are checkpointed to the shared checkpoint folder instead,
+which also cuts their lineage.
 
 Run as ``python -m tremor.plans.jobs <job> ...``; see ``--help``.
 """
@@ -28,8 +29,8 @@ from tremor.config import (
     TOP_PLACES_N,
 )
 from tremor.operators import analytics, grid, merge
-from tremor.session import build_session
-from tremor.sinks import read_result, write_catalog, write_lines, write_result
+from tremor.session import build_session, reliable_checkpoint
+from tremor.sinks import write_catalog, write_lines, write_result
 from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range
 from tremor.streaming import (
     alerts_from_lines,
@@ -73,7 +74,7 @@ def slice_feeds(archive: DataFrame, days: int = FEED_DAYS, as_of=None) -> list[D
 # -- batch analysis --------------------------------------------------------------
 
 def batch_outputs(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict[str, DataFrame]:
-    """The analysis results by output name (all lazy)."""
+    """The analysis results by output name, each computed directly (all lazy)."""
     return {
         "mag_ranges": analytics.mag_range_counts(catalog),
         "region_counts": analytics.region_counts(catalog),
@@ -83,11 +84,25 @@ def batch_outputs(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict
 
 
 def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fmt: str = "parquet",
-                       catalog_fmt: str = "parquet") -> int:
-    """Count plus four analyses, each written once. Returns the row count."""
+                       catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name) -> int:
+    """Count plus four analyses, each written once. Returns the row count.
+
+    Two passes over the catalog instead of five: one aggregate over
+    ``(mag_range, region)`` (a few rows, checkpointed) yields the count, the
+    range and region counts and the regional statistics; the places top-k is
+    the second pass, over ``place`` only.
+    """
     catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt)
-    total = analytics.catalog_count(catalog).first()["count"]
-    for name, df in batch_outputs(catalog).items():
+    profile = reliable_checkpoint(analytics.range_region_profile(catalog))
+    tables = analytics.profile_tables(profile, region)
+    total = tables["catalog_count"].first()["count"]
+    outputs = {
+        "mag_ranges": tables["mag_range_counts"],
+        "region_counts": tables["region_counts"],
+        "top_places": analytics.top_places(catalog, TOP_PLACES_N),
+        f"{region.lower()}_stats": tables["regional_stats"],
+    }
+    for name, df in outputs.items():
         write_result(df, f"{out_base}/{name}", fmt=fmt)
     return total
 
@@ -97,18 +112,22 @@ def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fm
 def run_hotspots(spark: SparkSession, catalog_path: str, out_base: str, fmt: str = "parquet",
                  catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name) -> dict[str, list]:
     """Global and regional hotspot tables (written unsorted), plus the top
-    cells of each for the log. Previews read the written cell tables, which are
-    bounded by the grid size, instead of scanning the catalog again."""
+    cells of each for the log.
+
+    One pass over the catalog: a single cell aggregate carries both the total
+    and the regional count per cell; it is bounded by the grid size and
+    checkpointed, and both tables and their previews are read from it.
+    """
     catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt)
+    profile = reliable_checkpoint(grid.cell_profile(catalog, region))
     outputs = {
-        "global": (grid.hotspots(catalog, sort=False), HOTSPOTS_PREVIEW_N),
-        region.lower(): (grid.hotspots(catalog, region=region, sort=False), HOTSPOTS_REGIONAL_PREVIEW_N),
+        "global": (grid.profile_hotspots(profile), HOTSPOTS_PREVIEW_N),
+        region.lower(): (grid.profile_hotspots(profile, regional=True), HOTSPOTS_REGIONAL_PREVIEW_N),
     }
     previews = {}
     for name, (df, n) in outputs.items():
         write_result(df, f"{out_base}/{name}", fmt=fmt)
-        cells = read_result(spark, f"{out_base}/{name}", fmt)
-        previews[name] = cells.orderBy(F.col("count").desc(), "lat_grid", "lon_grid").take(n)
+        previews[name] = df.orderBy(F.col("count").desc(), "lat_grid", "lon_grid").take(n)
     return previews
 
 

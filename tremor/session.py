@@ -81,3 +81,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under :func:`scratch_root` (not created)."""
     return f"{scratch_root(spark)}/tremor/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Materialize ``df`` in the shared checkpoint folder and cut its lineage,
+    so later jobs (and retries after a lost executor) read it back instead of
+    recomputing it from the source."""
+    scratch_root(df.sparkSession)  # makes sure a checkpoint folder is set
+    return df.checkpoint(eager=True)
