@@ -107,3 +107,12 @@ def test_fused_profiles_equal_direct_operators(spark, catalog_small):
         got = grid.profile_hotspots(cells, regional=regional)
         want = grid.hotspots(catalog_small, region=region, sort=False)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_alert_job_fused(spark, catalog_small, tmp_dir):
+    catalog_small.write.parquet(f"{tmp_dir}/cat")
+    jobs.replay_catalog(spark, f"{tmp_dir}/cat", f"{tmp_dir}/lines")
+    jobs.run_alert_stream(spark, f"{tmp_dir}/lines", f"{tmp_dir}/archive", f"{tmp_dir}/ckpt",
+                          watch_path=f"{tmp_dir}/watch", trigger={"availableNow": True}, timeout=300, fused=True)
+    assert spark.read.parquet(f"{tmp_dir}/archive").count() == catalog_small.filter(F.col("mag") > 6).count()
+    assert spark.read.parquet(f"{tmp_dir}/watch").count() == catalog_small.filter(F.col("mag") > 5).count()

@@ -64,3 +64,23 @@ def test_stream_equals_batch_and_restart_is_exactly_once(spark, catalog_small, t
     assert _same(watch, watch_alerts(full))
     assert _same(archive, critical_alerts(full))
     assert archive.count() == critical_alerts(full).count() > first_count
+
+
+def test_fused_query_matches_two_queries(spark, catalog_small, tmp_dir):
+    from tremor.streaming import start_fused_alert_query
+
+    write_lines(catalog_small.repartition(3), f"{tmp_dir}/lines")
+    alerts = alerts_from_lines(line_stream(spark, f"{tmp_dir}/lines", max_files_per_trigger=1))
+    q = start_fused_alert_query(alerts, f"{tmp_dir}/archive", f"{tmp_dir}/ckpt", watch_path=f"{tmp_dir}/watch",
+                                trigger={"availableNow": True})
+    run_bounded([q], timeout=300)
+    batch = alerts_from_lines(encode_lines(catalog_small))
+    archive = spark.read.parquet(f"{tmp_dir}/archive").drop("batch_id")
+    watch = spark.read.parquet(f"{tmp_dir}/watch").drop("batch_id")
+    assert _same(archive, critical_alerts(batch))
+    assert _same(watch, watch_alerts(batch))
+    # rerunning from the checkpoint adds nothing
+    q = start_fused_alert_query(alerts, f"{tmp_dir}/archive", f"{tmp_dir}/ckpt", watch_path=f"{tmp_dir}/watch",
+                                trigger={"availableNow": True})
+    run_bounded([q], timeout=300)
+    assert spark.read.parquet(f"{tmp_dir}/archive").count() == critical_alerts(batch).count()

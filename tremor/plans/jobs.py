@@ -40,6 +40,7 @@ from tremor.streaming import (
     run_bounded,
     socket_line_stream,
     start_alert_queries,
+    start_fused_alert_query,
 )
 
 
@@ -142,6 +143,7 @@ def run_alert_stream(
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
     timeout: float | None = None,
+    fused: bool = False,
 ) -> None:
     """Start the watch and archive queries; with an ``availableNow`` trigger wait
     for both to drain their input, otherwise wait for either to end and stop both.
@@ -157,7 +159,11 @@ def run_alert_stream(
         lines = socket_line_stream(spark, host, int(port))
     else:
         lines = line_stream(spark, source, max_files_per_trigger)
-    queries = start_alert_queries(alerts_from_lines(lines), archive_path, checkpoint_root, watch_path, trigger)
+    alerts = alerts_from_lines(lines)
+    if fused:  # one source read feeding both outputs
+        queries = [start_fused_alert_query(alerts, archive_path, f"{checkpoint_root}/fused", watch_path, trigger)]
+    else:
+        queries = list(start_alert_queries(alerts, archive_path, checkpoint_root, watch_path, trigger))
     if trigger and trigger.get("availableNow"):
         # bounded catch-up: both queries drain their input and stop on their own
         run_bounded(queries, timeout if timeout is not None else 3600.0)
@@ -220,6 +226,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     s.add_argument("--watch", default=None, help="Parquet path for watch alerts (default: console)")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--fused", action="store_true", help="one query, one source read, both outputs")
 
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"tremor-{args.job}")
@@ -236,7 +243,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "alerts":
         trigger = {"availableNow": True} if args.available_now else None
         run_alert_stream(spark, args.source, args.archive, args.checkpoint, args.watch, trigger,
-                         args.max_files_per_trigger)
+                         args.max_files_per_trigger, fused=args.fused)
     return 0
 
 

@@ -11,6 +11,7 @@ from tremor.streaming.alerts import (
     run_bounded,
     socket_line_stream,
     start_alert_queries,
+    start_fused_alert_query,
     watch_alerts,
 )
 
@@ -25,5 +26,6 @@ __all__ = [
     "run_bounded",
     "socket_line_stream",
     "start_alert_queries",
+    "start_fused_alert_query",
     "watch_alerts",
 ]

@@ -164,3 +164,41 @@ def run_bounded(queries: Sequence[StreamingQuery], timeout: float = 600.0) -> No
             raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout}s")
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+
+
+def start_fused_alert_query(
+    alerts: DataFrame,
+    archive_path: str,
+    checkpoint_path: str,
+    watch_path: str | None = None,
+    trigger: dict | None = None,
+    region_name: str = DEFAULT_REGION.name,
+    top_label: str = STREAM_CRITICAL_LABEL,
+) -> StreamingQuery:
+    """One query that feeds both outputs from a single read of the source.
+
+    Each micro-batch keeps only the alert rows either output needs (HIGH and
+    above), persists that slice, and writes the archive and watch tables into
+    a folder per batch id with ``overwrite``. A batch replayed after a failure
+    rewrites its own folders, so output stays exactly-once without a second
+    source read. With ``watch_path=None`` the watch rows are printed instead.
+    """
+    watch_cols = [*WATCH_COLUMNS, flag_column(region_name)]
+
+    def write_both(batch: DataFrame, batch_id: int) -> None:
+        second = ALERT_STEPS[1][1]
+        kept = batch.filter(F.col("alert_level").isin(second, top_label)).persist()
+        try:
+            archive = critical_alerts(kept, region_name, top_label)
+            archive.write.mode("overwrite").parquet(f"{archive_path}/batch_id={batch_id}")
+            watch = kept.select(*watch_cols)
+            if watch_path is None:
+                watch.show(truncate=False)
+            else:
+                watch.write.mode("overwrite").parquet(f"{watch_path}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
+
+    writer = alerts.writeStream.foreachBatch(write_both).option("checkpointLocation", checkpoint_path)
+    alerts.sparkSession.streams.resetTerminated()
+    return _with_trigger(writer, trigger).start()
