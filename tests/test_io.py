@@ -52,3 +52,14 @@ def test_await_any_stops_both_queries(spark, catalog_small, tmp_dir):
     await_any(spark, queries, timeout=8)
     assert not any(q.isActive for q in queries)
     assert spark.read.parquet(f"{tmp_dir}/archive").count() == catalog_small.filter(F.col("mag") > 6).count()
+
+
+def test_scratch_root_uses_the_shared_checkpoint_setting(spark):
+    from tremor.session import scratch_path, scratch_root
+
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    root = scratch_root(spark)
+    if configured:
+        assert root == configured.rstrip("/")
+    assert scratch_path(spark, "x").startswith(root + "/tremor/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -62,20 +62,21 @@ def scratch_root(spark: SparkSession) -> str:
     test session — a fresh temporary folder is created and registered as the
     checkpoint directory.
     """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        current = sc.getCheckpointDir()
-        if current:
-            base = current.rstrip("/").rsplit("/", 1)[0]
-    if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: point it at a folder every executor can reach"
-            )
-        base = tempfile.mkdtemp(prefix="tremor-")
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    try:  # classic sessions only (a Spark Connect client has no SparkContext)
+        sc = spark.sparkContext
+    except Exception as exc:  # noqa: BLE001
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder") from exc
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every executor can reach")
+    base = tempfile.mkdtemp(prefix="tremor-")
+    sc.setCheckpointDir(base)
+    return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
