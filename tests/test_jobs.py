@@ -116,3 +116,18 @@ def test_alert_job_fused(spark, catalog_small, tmp_dir):
                           watch_path=f"{tmp_dir}/watch", trigger={"availableNow": True}, timeout=300, fused=True)
     assert spark.read.parquet(f"{tmp_dir}/archive").count() == catalog_small.filter(F.col("mag") > 6).count()
     assert spark.read.parquet(f"{tmp_dir}/watch").count() == catalog_small.filter(F.col("mag") > 5).count()
+
+
+def test_slice_feeds_from_archive(spark, catalog_small):
+    import datetime as dt
+
+    g, r = jobs.slice_feeds(catalog_small, days=30, as_of=dt.date(2024, 1, 20))
+    start, end = dt.datetime(2023, 12, 21), dt.datetime(2024, 1, 20)
+    in_window = (F.col("time") >= F.lit(start)) & (F.col("time") <= F.lit(end))
+    assert "region" not in g.columns
+    assert g.count() == catalog_small.filter(in_window & (F.col("mag") >= 2.5)).count()
+    assert r.count() == catalog_small.filter(in_window & (F.col("mag") >= 2.0) & (F.col("region") == "Pakistan")).count()
+    merged = jobs.merge.merge_feeds([g, r])
+    assert merged.count() == catalog_small.filter(
+        in_window & ((F.col("mag") >= 2.5) | ((F.col("mag") >= 2.0) & (F.col("region") == "Pakistan")))
+    ).count()
