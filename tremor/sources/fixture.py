@@ -12,14 +12,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor.config import DEFAULT_REGION, GLOBAL_FEED_MIN_MAG, REGIONAL_FEED_MIN_MAG
 from tremor.functions.classify import region_label
 from tremor.sources.feeds import feed_slice
 
 
+# Columns of the driver's ``events`` table, given up front so no job is spent
+# inferring the schema from Parquet footers.
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _centi(uid: Column, on_box: tuple[int, int, int], off_box: tuple[int, int, int], jitter: Column) -> Column:
