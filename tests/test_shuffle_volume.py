@@ -1,0 +1,70 @@
+"""Measured shuffle volume under a hot key: rows written by each Exchange of the
+executed plan (read from Spark's SQL metrics after the query has run).
+
+A third of the rows share one key. Map-side combining must cut them to about
+one row per map task before the shuffle.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tremor.operators import dedupe_keep_first, summary, top_places
+
+MAP_TASKS = 6
+N = 3000
+
+
+def exchange_records(df) -> list[int]:
+    """``shuffleRecordsWritten`` of every Exchange in the executed plan, root first."""
+    df.collect()
+    found: list[int] = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange" and node.metrics().contains("shuffleRecordsWritten"):
+            found.append(int(node.metrics().apply("shuffleRecordsWritten").value()))
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif "QueryStage" in name:
+            walk(node.plan())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def _hot_rows(spark):
+    """N rows over MAP_TASKS partitions (no shuffle); every third row is the hot key."""
+    i = F.col("id")
+    hot = i % 3 == 0
+    return spark.range(0, N, 1, MAP_TASKS).select(
+        F.when(hot, F.lit(None)).otherwise(F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+                                           + F.make_interval(secs=i.cast("int"))).alias("time"),
+        F.when(hot, F.lit(None).cast("double")).otherwise((i % 90).cast("double") / 10).alias("mag"),
+        F.when(hot, F.lit("hot place")).otherwise(F.concat(F.lit("place "), (i % 40).cast("string"))).alias("place"),
+        F.lit("Pakistan").alias("region"),
+        F.lit(0).alias("feed"),
+    )
+
+
+def test_hot_place_is_combined_before_the_shuffle(spark):
+    records = exchange_records(top_places(_hot_rows(spark), n=3))
+    # one partial row per (map task, place): 41 places at most in each task
+    assert records and records[0] <= MAP_TASKS * 41 < N // 3
+
+
+def test_hot_dedupe_key_is_trimmed_before_the_shuffle(spark):
+    df = _hot_rows(spark)
+    records = exchange_records(dedupe_keep_first(df))
+    distinct_cold = N - N // 3  # cold (time, mag) keys are unique
+    assert records and records[0] <= distinct_cold + MAP_TASKS
+
+
+def test_global_summary_shuffles_one_row_per_task(spark):
+    records = exchange_records(summary(_hot_rows(spark)))
+    assert records == [MAP_TASKS]
