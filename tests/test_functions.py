@@ -124,3 +124,30 @@ def test_iso_utc_matches_isoformat(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v timestamp_ntz")
     want = [v.replace(tzinfo=dt.timezone.utc).isoformat() if v else None for v in values]
     assert _labels(df, iso_utc(F.col("v"))) == want
+
+
+def test_time_text_ignores_session_zone_even_in_a_dst_gap(spark):
+    from tremor.functions import line_time_text
+
+    gap = dt.datetime(2024, 3, 10, 2, 30, 0, 5)  # does not exist in America/Los_Angeles
+    values = [gap, dt.datetime(2024, 1, 1), dt.datetime(1999, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        iso = _labels(df, iso_utc(F.col("v")))
+        line = _labels(df, line_time_text(F.col("v")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert iso == [v.replace(tzinfo=dt.timezone.utc).isoformat() for v in values]
+    assert line == [v.strftime("%Y-%m-%dT%H:%M:%S.%fZ") for v in values]
+
+
+def test_zoned_text_in_a_repeated_hour(spark):
+    # 08:30Z and 09:30Z are both 01:30 local time in Los Angeles on this day
+    df = _col(spark, ["2024-11-03T08:30:00Z", "2024-11-03T09:30:00.000001Z", "2024-11-03T01:30:00-08:00"], "string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = _labels(df, parse_utc_time(F.col("v")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [dt.datetime(2024, 11, 3, 8, 30), dt.datetime(2024, 11, 3, 9, 30, 0, 1), dt.datetime(2024, 11, 3, 9, 30)]

@@ -15,8 +15,14 @@ _OFFSET_SUFFIX = r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([zZ]|[+-]\d{2}(:?\d{2})
 
 
 def utc_wallclock(ts: Column) -> Column:
-    """A zoned TIMESTAMP as its UTC wall clock (TIMESTAMP_NTZ)."""
-    return F.convert_timezone(None, F.lit("UTC"), ts)
+    """A zoned TIMESTAMP as its UTC wall clock (TIMESTAMP_NTZ).
+
+    Built as epoch + elapsed microseconds, which involves no time zone; going
+    through the session zone's local time would be ambiguous in the hour a
+    daylight-saving change repeats.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
 
 
 def parse_utc_time(text: Column) -> Column:
@@ -42,17 +48,28 @@ def to_utc_time(value: Column, source_type: T.DataType | None) -> Column:
     return parse_utc_time(value)
 
 
+def _wallclock_parts(ts: Column) -> tuple[Column, Column]:
+    """``yyyy-MM-ddTHH:mm:ss`` and the fraction digits (possibly empty) of a
+    TIMESTAMP_NTZ, from its zone-free text form (``cast`` to string involves
+    no time zone, unlike ``date_format``, which goes through the session zone
+    and would move a wall-clock time that falls in a daylight-saving gap)."""
+    text = ts.cast("string")  # yyyy-MM-dd HH:mm:ss[.f…] with trailing zeros dropped
+    seconds = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    fraction = F.substring(text, 21, 6)
+    return seconds, fraction
+
+
 def iso_utc(ts: Column) -> Column:
     """``YYYY-MM-DDTHH:MM:SS[.ffffff]+00:00`` for a UTC TIMESTAMP_NTZ, like
     Python's ``datetime.isoformat`` on an aware UTC value: the fraction is
-    printed only when it is not zero. Null stays null."""
-    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == F.lit("000000"), F.concat(seconds, F.lit("+00:00"))).otherwise(
-        F.concat(seconds, F.lit("."), micros, F.lit("+00:00"))
+    printed (six digits) only when it is not zero. Null stays null."""
+    seconds, fraction = _wallclock_parts(ts)
+    return F.when(F.length(fraction) == 0, F.concat(seconds, F.lit("+00:00"))).otherwise(
+        F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0"), F.lit("+00:00"))
     )
 
 
 def line_time_text(ts: Column) -> Column:
-    """Fixed-width UTC text used by the line codec (microseconds always kept)."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """Fixed-width UTC text used by the line codec (six fraction digits always)."""
+    seconds, fraction = _wallclock_parts(ts)
+    return F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0"), F.lit("Z"))
