@@ -200,3 +200,13 @@ def test_recent_and_regional_order(spark):
     assert recent == [3.0, 2.0]
     regional = [r["mag"] for r in regional_events(_catalog(spark, rows)).collect()]
     assert regional == [2.0, 1.0]
+
+
+def test_dedupe_on_the_key_column_that_exists(spark):
+    # only ``mag`` is present: it alone is the key, and the earlier feed wins
+    a = spark.createDataFrame([(4.5, "a1"), (5.0, "a2")], "mag double, place string")
+    b = spark.createDataFrame([(4.5, "b1"), (6.0, "b2")], "mag double, place string")
+    from tremor.operators import union_feeds
+
+    out = sorted((r["mag"], r["place"]) for r in dedupe_keep_first(union_feeds([a, b])).collect())
+    assert out == [(4.5, "a1"), (5.0, "a2"), (6.0, "b2")]

@@ -50,7 +50,8 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
     ``fmt='csv'``: header CSV. With ``schema`` the columns are read as given;
     without it every column is read as text and typed by :func:`normalize`,
     which avoids a separate inference scan and never guesses a type.
-    Malformed rows are kept (``PERMISSIVE``) with nulls in the bad fields.
+    Malformed rows are kept (``PERMISSIVE``) with nulls in the bad fields;
+    ``multiLine`` stays off so large uncompressed files remain splittable.
     """
     if fmt == "parquet":
         reader = spark.read
