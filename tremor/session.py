@@ -8,12 +8,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the library relies on; applied only when building a session here.
+# Defaults for sessions built here. Results do not depend on the time zone
+# (catalog times are UTC wall clocks); UTC only makes zoned values print as UTC.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
