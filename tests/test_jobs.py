@@ -131,3 +131,15 @@ def test_slice_feeds_from_archive(spark, catalog_small):
     assert merged.count() == catalog_small.filter(
         in_window & ((F.col("mag") >= 2.5) | ((F.col("mag") >= 2.0) & (F.col("region") == "Pakistan")))
     ).count()
+
+
+def test_export_views(spark, catalog_small, tmp_dir):
+    catalog_small.write.parquet(f"{tmp_dir}/cat")
+    assert jobs.main(["export-views", "--catalog", f"{tmp_dir}/cat", "--out", f"{tmp_dir}/views"]) == 0
+    summary = spark.read.json(f"{tmp_dir}/views/summary").first()
+    assert summary["total_earthquakes"] == catalog_small.count()
+    assert spark.read.json(f"{tmp_dir}/views/hotspots").count() == 20
+    assert spark.read.json(f"{tmp_dir}/views/recent").count() == 100
+    regional = spark.read.json(f"{tmp_dir}/views/pakistan")
+    assert regional.count() == catalog_small.filter(F.col("region") == "Pakistan").count()
+    assert "place" in regional.columns  # null fields are written, not dropped

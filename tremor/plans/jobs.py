@@ -28,7 +28,7 @@ from tremor.config import (
     REGIONAL_FEED_MIN_MAG,
     TOP_PLACES_N,
 )
-from tremor.operators import analytics, grid, merge
+from tremor.operators import analytics, grid, merge, views
 from tremor.session import build_session, reliable_checkpoint
 from tremor.sinks import write_catalog, write_lines, write_result
 from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range
@@ -176,6 +176,30 @@ def replay_catalog(spark: SparkSession, catalog_path: str, lines_path: str, cata
     write_lines(read_catalog(spark, catalog_path, fmt=catalog_fmt), lines_path)
 
 
+# -- endpoint views ------------------------------------------------------------------
+
+def endpoint_views(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict[str, DataFrame]:
+    """The five read endpoints of the dashboard service as lazy frames: summary
+    row, every event with its alert level, top cells, regional events newest
+    first, and the most recent events."""
+    return {
+        "summary": analytics.summary(catalog, region),
+        "earthquakes": views.event_records(catalog),
+        "hotspots": grid.hotspots_top(catalog),
+        region.lower(): views.regional_events(catalog, region),
+        "recent": views.recent_events(catalog),
+    }
+
+
+def export_views(spark: SparkSession, catalog_path: str, out_base: str, catalog_fmt: str = "parquet",
+                 region: str = DEFAULT_REGION.name) -> None:
+    """Write each endpoint view as JSON lines under ``out_base/<name>`` so the
+    payloads can be served as static files instead of recomputed per request."""
+    catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt)
+    for name, df in endpoint_views(catalog, region).items():
+        df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{out_base}/{name}")
+
+
 # -- workload ------------------------------------------------------------------------
 
 def workload(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict[str, DataFrame]:
@@ -219,6 +243,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--catalog-format", default="parquet", choices=["csv", "parquet"])
 
+    v = sub.add_parser("export-views", help="write the endpoint views as JSON lines")
+    v.add_argument("--catalog", required=True)
+    v.add_argument("--out", required=True)
+    v.add_argument("--catalog-format", default="parquet", choices=["csv", "parquet"])
+
     s = sub.add_parser("alerts", help="run the alert stream")
     s.add_argument("--source", required=True)
     s.add_argument("--archive", required=True)
@@ -238,6 +267,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "hotspots":
         for name, rows in run_hotspots(spark, args.catalog, args.out, args.format, args.catalog_format).items():
             print(name, [r.asDict() for r in rows])
+    elif args.job == "export-views":
+        export_views(spark, args.catalog, args.out, args.catalog_format)
     elif args.job == "replay":
         replay_catalog(spark, args.catalog, args.out, args.catalog_format)
     elif args.job == "alerts":
