@@ -84,3 +84,43 @@ def test_fused_query_matches_two_queries(spark, catalog_small, tmp_dir):
                                 trigger={"availableNow": True})
     run_bounded([q], timeout=300)
     assert spark.read.parquet(f"{tmp_dir}/archive").count() == critical_alerts(batch).count()
+
+
+def test_crashed_batch_then_restart_is_exactly_once(spark, catalog_small, tmp_dir):
+    import os
+
+    from pyspark import TaskContext
+
+    armed, disarmed = f"{tmp_dir}/armed", f"{tmp_dir}/disarmed"
+    open(armed, "w").close()
+
+    def _maybe_fail(mag):
+        # fails while armed, in the second partition of a batch, after other rows were written
+        if os.path.exists(armed) and not os.path.exists(disarmed) and TaskContext.get().partitionId() == 1:
+            raise RuntimeError("injected batch failure")
+        return True
+
+    maybe_fail = F.udf(_maybe_fail, "boolean").asNondeterministic()
+    write_lines(catalog_small.repartition(4), f"{tmp_dir}/lines")
+
+    def start():
+        alerts = alerts_from_lines(line_stream(spark, f"{tmp_dir}/lines")).repartition(2).filter(maybe_fail("mag"))
+        return start_alert_queries(alerts, f"{tmp_dir}/archive", f"{tmp_dir}/ckpt", watch_path=f"{tmp_dir}/watch",
+                                   trigger={"availableNow": True})
+
+    from pyspark.errors import StreamingQueryException
+
+    queries = start()
+    crashed = 0
+    for q in queries:
+        try:
+            q.awaitTermination(300)
+        except StreamingQueryException as exc:
+            crashed += "injected batch failure" in str(exc)
+    assert crashed == 2  # both queries died mid-batch
+
+    open(disarmed, "w").close()
+    run_bounded(start(), timeout=300)
+    batch = alerts_from_lines(encode_lines(catalog_small))
+    assert _same(spark.read.parquet(f"{tmp_dir}/archive"), critical_alerts(batch))
+    assert _same(spark.read.parquet(f"{tmp_dir}/watch"), watch_alerts(batch))
