@@ -6,7 +6,8 @@ all), ``BENCH_EVENT_LOG_DIR`` (optional: write Spark's event log there),
 ``BENCH_SCALING`` (core counts for the workload scaling run, default 1,2,4;
 empty to skip). The five-action workload is also timed over the catalog at
 rest (written once by ``write_catalog``, outside the timers), which is what
-the scaling run uses. Each query gets one warm-up run, then the median of
+the scaling run uses, and over a CSV copy of it: once read with an inferred
+schema, once read as text and typed in one projection. Each query gets one warm-up run, then the median of
 ``BENCH_RUNS`` timed runs. A run executes the whole plan into Spark's ``noop`` sink, so nothing is
 collected to the driver. Prints one JSON line on stdout.
 """
@@ -26,7 +27,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from tremor.plans.jobs import workload  # noqa: E402
 from tremor.plans.registry import QUERIES  # noqa: E402
 from tremor.session import build_session, scratch_path  # noqa: E402
-from tremor.sinks import write_catalog  # noqa: E402
+from tremor.sinks import write_catalog, write_result  # noqa: E402
 from tremor.sources import read_catalog  # noqa: E402
 from tremor.sources.fixture import load_catalog  # noqa: E402
 
@@ -63,6 +64,9 @@ def main() -> int:
     # several files each. Laid out once, outside every timer.
     stored = scratch_path(spark, "bench-catalog")
     write_catalog(load_catalog(spark, sf_dir).repartition(2 * cpus), stored)
+    # The same catalog as one header CSV folder, for the CSV-input comparison.
+    stored_csv = scratch_path(spark, "bench-catalog-csv")
+    write_result(spark.read.parquet(stored), stored_csv, fmt="csv")
 
     timings: dict[str, float] = {}
     for name in names:
@@ -71,10 +75,16 @@ def main() -> int:
         timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 4)
         print(f"{name}: {timings[name]:.3f}s", file=sys.stderr, flush=True)
 
-    stored_workload = median_workload(spark, stored, runs)
+    # Workload-level timings are short and noisy at these sizes: take more runs.
+    wruns = max(runs, 5)
+    stored_workload = median_workload(spark, stored, wruns)
     print(f"workload on the stored catalog: {stored_workload:.3f}s", file=sys.stderr, flush=True)
+    csv_inferred = median_workload(spark, stored_csv, wruns, fmt="csv-infer")
+    csv_typed = median_workload(spark, stored_csv, wruns, fmt="csv")
+    print(f"workload on CSV, inferred schema: {csv_inferred:.3f}s; typed in one projection: {csv_typed:.3f}s",
+          file=sys.stderr, flush=True)
     spark.stop()
-    scaling = measure_scaling(stored, runs, conf) if os.environ.get("BENCH_SCALING", "1,2,4") else {}
+    scaling = measure_scaling(stored, wruns, conf) if os.environ.get("BENCH_SCALING", "1,2,4") else {}
 
     match = re.search(r"sf([0-9.]+)$", sf_dir)
     result = {
@@ -84,6 +94,8 @@ def main() -> int:
         "queries": timings,
         "workload_sec": round(sum(timings[q] for q in WORKLOAD if q in timings), 4),
         "stored_catalog_workload_sec": round(stored_workload, 4),
+        "csv_inferred_workload_sec": round(csv_inferred, 4),
+        "csv_typed_workload_sec": round(csv_typed, 4),
         "sf": float(match.group(1)) if match else sf_dir,
         "cpus": cpus,
         "runs": runs,
@@ -97,14 +109,19 @@ def main() -> int:
     return 0
 
 
-def median_workload(spark, catalog_path: str, runs: int) -> float:
-    """Median time of the five workload actions over a stored catalog (after a warm-up)."""
-    catalog = read_catalog(spark, catalog_path)
-    actions = workload(catalog)
+def median_workload(spark, catalog_path: str, runs: int, fmt: str = "parquet") -> float:
+    """Median time of the five workload actions over a stored catalog (after a
+    warm-up). The read is inside the timer, so ``fmt="csv-infer"`` (header CSV
+    with ``inferSchema``, an extra pass over the file) pays its inference pass
+    on every run; ``"csv"`` reads text and types it in one projection."""
 
     def once() -> float:
         start = time.perf_counter()
-        for df in actions.values():
+        if fmt == "csv-infer":
+            catalog = spark.read.option("header", True).option("inferSchema", True).csv(catalog_path)
+        else:
+            catalog = read_catalog(spark, catalog_path, fmt=fmt)
+        for df in workload(catalog).values():
             df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
