@@ -63,6 +63,12 @@ DEDUPE_KEYS = ("time", "mag")
 LINE_SEPARATOR = ","
 LINE_BLANKED_CHARS = "\n\r,"
 
+# Output columns: the API event record; the watch alert (plus the region flag);
+# the archived critical alert (plus the region flag).
+RECORD_COLUMNS = ("time", "latitude", "longitude", "depth", "mag", "place", "region", "alert_level")
+WATCH_COLUMNS = ("time", "place", "mag", "depth", "alert_level")
+ARCHIVE_COLUMNS = ("time", "latitude", "longitude", "depth", "mag", "place", "type", "region", "alert_level")
+
 # ---------------------------------------------------------------------------
 
 

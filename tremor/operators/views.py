@@ -12,13 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremor.config import DEFAULT_REGION, RECENT_EVENTS_N
+from tremor.config import DEFAULT_REGION, RECENT_EVENTS_N, RECORD_COLUMNS
 from tremor.functions.classify import alert_level
 from tremor.functions.time import iso_utc
 from tremor.operators.regions import filter_region
 
-RECORD_COLUMNS = ("time", "latitude", "longitude", "depth", "mag", "place", "region", "alert_level")
-
 RECORD_SCHEMA = T.StructType(
     [
         T.StructField("time", T.StringType()),

@@ -22,13 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tremor.config import ALERT_STEPS, DEFAULT_REGION, STREAM_CRITICAL_LABEL
+from tremor.config import ALERT_STEPS, ARCHIVE_COLUMNS, DEFAULT_REGION, STREAM_CRITICAL_LABEL, WATCH_COLUMNS
 from tremor.functions.classify import region_flag, stream_alert_level
 from tremor.sources.lines import decode_lines
 
-WATCH_COLUMNS = ("time", "place", "mag", "depth", "alert_level")
-ARCHIVE_COLUMNS = ("time", "latitude", "longitude", "depth", "mag", "place", "type", "region", "alert_level")
-
 
 def flag_column(region_name: str = DEFAULT_REGION.name) -> str:
     return f"is_{region_name.lower()}"
