@@ -41,18 +41,15 @@ def mag_range(
     """
     if len(labels) != len(bounds) + 1:
         raise ValueError("need exactly one more label than bounds")
-    m = mag
     *open_bounds, closed_bound = bounds
-    expr = None
-    for bound, label in zip(open_bounds, labels):
-        cond = m < F.lit(bound)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    closed = m <= F.lit(closed_bound)
-    expr = F.when(closed, F.lit(labels[-2])) if expr is None else expr.when(closed, F.lit(labels[-2]))
+    conditions = [mag < F.lit(b) for b in open_bounds] + [mag <= F.lit(closed_bound)]
+    expr = F.when(conditions[0], F.lit(labels[0]))
+    for condition, label in zip(conditions[1:], labels[1:]):
+        expr = expr.when(condition, F.lit(label))
+    expr = expr.otherwise(F.lit(labels[-1]))
     if null_label is not None:
-        expr = F.when(m.isNull(), F.lit(null_label)).otherwise(expr.otherwise(F.lit(labels[-1])))
-        return expr
-    return expr.otherwise(F.lit(labels[-1]))
+        expr = F.when(mag.isNull(), F.lit(null_label)).otherwise(expr)
+    return expr
 
 
 def alert_level(
