@@ -143,3 +143,14 @@ def test_export_views(spark, catalog_small, tmp_dir):
     regional = spark.read.json(f"{tmp_dir}/views/pakistan")
     assert regional.count() == catalog_small.filter(F.col("region") == "Pakistan").count()
     assert "place" in regional.columns  # null fields are written, not dropped
+
+
+def test_cli_build_catalog_from_archive(spark, catalog_small, tmp_dir):
+    catalog_small.write.parquet(f"{tmp_dir}/archive")
+    assert jobs.main(["build-catalog", "--archive", f"{tmp_dir}/archive", "--format", "parquet",
+                      "--days", "30", "--as-of", "2024-01-20", "--out", f"{tmp_dir}/cat"]) == 0
+    import datetime as dt
+
+    want = jobs.merge.merge_feeds(jobs.slice_feeds(catalog_small, 30, dt.date(2024, 1, 20)))
+    got = spark.read.parquet(f"{tmp_dir}/cat").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -13,6 +13,7 @@ Run as ``python -m tremor.plans.jobs <job> ...``; see ``--help``.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 from collections.abc import Sequence
 
@@ -221,8 +222,12 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="job", required=True)
 
-    b = sub.add_parser("build-catalog", help="merge landed feeds into the catalog")
-    b.add_argument("--feed", action="append", required=True, help="feed path, highest priority first")
+    b = sub.add_parser("build-catalog", help="merge landed feeds (or feeds sliced from an archive) into the catalog")
+    src = b.add_mutually_exclusive_group(required=True)
+    src.add_argument("--feed", action="append", help="feed path, highest priority first")
+    src.add_argument("--archive", help="catalog to answer the two standard feed requests from")
+    b.add_argument("--days", type=int, default=FEED_DAYS, help="trailing window for --archive")
+    b.add_argument("--as-of", default=None, help="window end date (YYYY-MM-DD, UTC) for --archive; default today")
     b.add_argument("--out", required=True)
     b.add_argument("--format", default="csv", choices=["csv", "parquet"])
 
@@ -259,7 +264,12 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"tremor-{args.job}")
-    if args.job == "build-catalog":
+    if args.job == "build-catalog" and args.archive:
+        as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
+        archive = read_catalog(spark, args.archive, fmt=args.format)
+        write_catalog(merge.merge_feeds(slice_feeds(archive, args.days, as_of)), args.out)
+        merge.merge_report(spark.read.parquet(args.out)).show(truncate=False)
+    elif args.job == "build-catalog":
         build_catalog(spark, args.feed, args.out, fmt=args.format).show(truncate=False)
     elif args.job == "batch-analysis":
         total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format)
