@@ -65,3 +65,23 @@ def test_scratch_root_uses_the_shared_checkpoint_setting(spark):
         assert root == configured.rstrip("/")
     assert scratch_path(spark, "x").startswith(root + "/tremor/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_date_layout_prunes_time_windows(spark, catalog_small, tmp_dir):
+    import contextlib
+    import datetime as dt
+    import io as _io
+
+    from tremor.sources import feed_slice
+
+    write_catalog(catalog_small, f"{tmp_dir}/dated", by_date=True)
+    dated = spark.read.parquet(f"{tmp_dir}/dated")
+    start, end = dt.date(2024, 1, 8), dt.date(2024, 1, 15)
+    got = feed_slice(dated, start, end, 2.5).drop("event_date")
+    want = feed_slice(catalog_small, start, end, 2.5)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert want.select(*got.columns).exceptAll(got).count() == 0
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        feed_slice(dated, start, end, 2.5).explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(event_date" in buf.getvalue()

@@ -53,12 +53,14 @@ def build_catalog(
     out_path: str,
     fmt: str = "csv",
     labels: Sequence[str] | None = None,
+    by_date: bool = False,
 ) -> DataFrame:
     """Landed feeds (first = highest priority) → merged, region-tagged catalog
-    laid out by region. Returns the one-row report (total and per-region)."""
+    laid out by region (and by UTC date with ``by_date``). Returns the one-row
+    report (total and per-region)."""
     labels = list(labels or [f"feed{i}" for i in range(len(feed_paths))])
     feeds = [read_feed(spark, p, label, fmt=fmt) for p, label in zip(feed_paths, labels)]
-    write_catalog(merge.merge_feeds(feeds), out_path)
+    write_catalog(merge.merge_feeds(feeds), out_path, by_date=by_date)
     return merge.merge_report(spark.read.parquet(out_path))
 
 
@@ -66,7 +68,7 @@ def slice_feeds(archive: DataFrame, days: int = FEED_DAYS, as_of=None) -> list[D
     """The two standard feed requests answered from an archive catalog:
     global (min magnitude 2.5) and regional (min 2.0, inside the box)."""
     start, end = trailing_range(days, as_of)
-    raw = archive.drop("region") if "region" in archive.columns else archive
+    raw = archive.drop("region", "event_date")
     return [
         feed_slice(raw, start, end, GLOBAL_FEED_MIN_MAG),
         feed_slice(raw, start, end, REGIONAL_FEED_MIN_MAG, DEFAULT_REGION),
@@ -230,6 +232,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     b.add_argument("--as-of", default=None, help="window end date (YYYY-MM-DD, UTC) for --archive; default today")
     b.add_argument("--out", required=True)
     b.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    b.add_argument("--by-date", action="store_true", help="also lay the catalog out by UTC date")
 
     a = sub.add_parser("batch-analysis", help="count, magnitude ranges, regions, top places, regional stats")
     a.add_argument("--catalog", required=True)
@@ -267,10 +270,10 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.job == "build-catalog" and args.archive:
         as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
         archive = read_catalog(spark, args.archive, fmt=args.format)
-        write_catalog(merge.merge_feeds(slice_feeds(archive, args.days, as_of)), args.out)
+        write_catalog(merge.merge_feeds(slice_feeds(archive, args.days, as_of)), args.out, by_date=args.by_date)
         merge.merge_report(spark.read.parquet(args.out)).show(truncate=False)
     elif args.job == "build-catalog":
-        build_catalog(spark, args.feed, args.out, fmt=args.format).show(truncate=False)
+        build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date).show(truncate=False)
     elif args.job == "batch-analysis":
         total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format)
         print(f"catalog rows: {total}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tremor.sources.lines import encode_lines
 
@@ -41,8 +42,15 @@ def read_result(spark, path: str, fmt: str = "parquet") -> DataFrame:
     raise ValueError(f"unsupported result format {fmt!r}")
 
 
+DATE_COLUMN = "event_date"
+
+
 def write_catalog(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ("region",), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("region",),
+    mode: str = "overwrite",
+    by_date: bool = False,
 ) -> None:
     """Write the catalog as Parquet laid out by ``partition_by``.
 
@@ -50,10 +58,18 @@ def write_catalog(
     would funnel the whole catalog through two tasks. Each task writes one file
     per region it holds instead, and readers filtering on region skip the
     other folder entirely.
+
+    ``by_date=True`` adds ``event_date`` (the UTC date of ``time``) as a further
+    partition column, so time-window reads (:func:`tremor.sources.feed_slice`)
+    skip whole days; rows without a time go to the null-date folder.
     """
+    columns = list(partition_by)
+    if by_date:
+        df = df.withColumn(DATE_COLUMN, F.to_date(F.col("time")))
+        columns.append(DATE_COLUMN)
     writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if columns:
+        writer = writer.partitionBy(*columns)
     writer.parquet(path)
 
 

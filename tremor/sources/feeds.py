@@ -61,13 +61,20 @@ def feed_slice(
     ``mag >= min_mag`` and, when given, inside ``region``'s box.
 
     One conjunctive filter, so every part reaches the Parquet scan as a pushed
-    filter (and row-group statistics skip whole groups).
+    filter (and row-group statistics skip whole groups). On a catalog laid out
+    by date (``write_catalog(by_date=True)``) the same bounds are also applied
+    to ``event_date``, which prunes whole day folders.
     """
     cond = F.lit(True)
+    dated = "event_date" in df.columns
     if start is not None:
         cond = cond & (F.col("time") >= _bound(start))
+        if dated:
+            cond = cond & (F.col("event_date") >= F.to_date(_bound(start)))
     if end is not None:
         cond = cond & (F.col("time") <= _bound(end))
+        if dated:
+            cond = cond & (F.col("event_date") <= F.to_date(_bound(end)))
     if min_mag is not None:
         cond = cond & (F.col("mag") >= F.lit(float(min_mag)))
     if region is not None:
