@@ -35,7 +35,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return 0.0 if v == 0 else v
+        # Python's 0.0 == -0.0; a value hash would tell them apart, so keep the sign.
+        return (math.copysign(1.0, v), v)
     if isinstance(v, dt.datetime) and v.tzinfo is not None:
         return v.astimezone(dt.timezone.utc).replace(tzinfo=None)
     return v
