@@ -151,3 +151,11 @@ def test_zoned_text_in_a_repeated_hour(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [dt.datetime(2024, 11, 3, 8, 30), dt.datetime(2024, 11, 3, 9, 30, 0, 1), dt.datetime(2024, 11, 3, 9, 30)]
+
+
+def test_offset_spellings(spark):
+    texts = ["2024-01-02T08:34:05+05:30", "2024-01-02T08:34:05+0530", "2024-01-02T08:04:05+05",
+             "2024-01-01T19:04:05-08:00", "2024-01-02 03:04:05 Z", "2024-01-02T03:04:05.5Z"]
+    got = _labels(_col(spark, texts, "string"), parse_utc_time(F.col("v")))
+    base = dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert got == [base] * 5 + [base.replace(microsecond=500000)]
