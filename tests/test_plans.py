@@ -70,3 +70,16 @@ def test_region_filter_prunes_partitions_and_pushes_down(spark, tmp_dir):
     write_catalog(cat, flat, partition_by=())
     text = plan(analytics.regional_stats(spark.read.parquet(flat)))
     assert "PushedFilters: [IsNotNull(region), EqualTo(region,Pakistan)]" in text
+
+
+def test_stream_plans_are_shuffle_free(spark, tmp_dir):
+    from tremor.sinks import write_lines
+    from tremor.sources.fixture import load_catalog
+    from tremor.streaming import alerts_from_lines, critical_alerts, line_stream, watch_alerts
+
+    write_lines(load_catalog(spark, SF_SMALL), f"{tmp_dir}/lines")
+    alerts = alerts_from_lines(line_stream(spark, f"{tmp_dir}/lines"))
+    for df in (watch_alerts(alerts), critical_alerts(alerts)):
+        assert df.isStreaming
+        text = plan(df)
+        assert "Exchange" not in text and not any(node in text for node in PYTHON_NODES), text
