@@ -67,3 +67,11 @@ def test_round_trip_keeps_values(spark, catalog_small):
     )
     got = back.select(*src.columns)
     assert src.exceptAll(got).count() == 0 and got.exceptAll(src).count() == 0
+
+
+def test_pass_through_columns_do_not_clash(spark):
+    df = spark.createDataFrame([("k1", "old", "2024-01-01T00:00:00Z,30,70,10,4.5,p,t,Global")],
+                               "key string, type string, value string")
+    out = decode_lines(df)
+    assert out.columns.count("type") == 1 and "key" in out.columns
+    assert out.first()["type"] == "t"

@@ -35,7 +35,8 @@ def decode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
       ``time_raw``, so a row with a bad clock is still delivered;
     * rows without a magnitude are dropped.
 
-    Other input columns (e.g. a Kafka key or timestamp) pass through.
+    Other input columns (e.g. a Kafka key or timestamp) pass through, except
+    ones named like a decoded column, which the decoded value replaces.
     """
     parts = F.split(F.col(value_col), LINE_SEPARATOR, -1)
 
@@ -50,7 +51,8 @@ def decode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
             typed[name] = to_double(field(i))
         else:
             typed[name] = field(i)
-    keep = [c for c in df.columns if c != value_col]
+    produced = set(CATALOG_COLUMNS) | {"time_raw"}
+    keep = [c for c in df.columns if c != value_col and c not in produced]
     decoded = df.select(
         *keep,
         *[expr.alias(name) for name, expr in typed.items()],
