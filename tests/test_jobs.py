@@ -154,3 +154,18 @@ def test_cli_build_catalog_from_archive(spark, catalog_small, tmp_dir):
     want = jobs.merge.merge_feeds(jobs.slice_feeds(catalog_small, 30, dt.date(2024, 1, 20)))
     got = spark.read.parquet(f"{tmp_dir}/cat").select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_windowed_batch_analysis_on_a_dated_catalog(spark, catalog_small, tmp_dir):
+    import datetime as dt
+
+    from tremor.sinks import write_catalog
+    from tremor.sources import trailing_window
+
+    write_catalog(catalog_small, f"{tmp_dir}/dated", by_date=True)
+    assert jobs.main(["batch-analysis", "--catalog", f"{tmp_dir}/dated", "--out", f"{tmp_dir}/b",
+                      "--days", "7", "--as-of", "2024-01-15"]) == 0
+    window = trailing_window(catalog_small, 7, dt.date(2024, 1, 15))
+    got = {r["mag_range"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/b/mag_ranges").collect()}
+    want = {r["mag_range"]: r["count"] for r in analytics.mag_range_counts(window).collect()}
+    assert got == want and sum(got.values()) < catalog_small.count()

@@ -32,7 +32,7 @@ from tremor.config import (
 from tremor.operators import analytics, grid, merge, views
 from tremor.session import build_session, reliable_checkpoint
 from tremor.sinks import write_catalog, write_lines, write_result
-from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range
+from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range, trailing_window
 from tremor.streaming import (
     alerts_from_lines,
     await_any,
@@ -87,8 +87,15 @@ def batch_outputs(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict
     }
 
 
+def _windowed(catalog: DataFrame, days: int | None, as_of: dt.date | None) -> DataFrame:
+    """The trailing ``days`` ending at ``as_of`` when ``days`` is given (on a
+    catalog laid out by date this reads only those day folders)."""
+    return trailing_window(catalog, days, as_of) if days else catalog
+
+
 def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fmt: str = "parquet",
-                       catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name) -> int:
+                       catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name,
+                       days: int | None = None, as_of: dt.date | None = None) -> int:
     """Count plus four analyses, each written once. Returns the row count.
 
     Two passes over the catalog instead of five: one aggregate over
@@ -96,7 +103,7 @@ def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fm
     range and region counts and the regional statistics; the places top-k is
     the second pass, over ``place`` only.
     """
-    catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt)
+    catalog = _windowed(read_catalog(spark, catalog_path, fmt=catalog_fmt), days, as_of)
     profile = reliable_checkpoint(analytics.range_region_profile(catalog))
     tables = analytics.profile_tables(profile, region)
     total = tables["catalog_count"].first()["count"]
@@ -114,7 +121,8 @@ def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fm
 # -- hotspots ---------------------------------------------------------------------
 
 def run_hotspots(spark: SparkSession, catalog_path: str, out_base: str, fmt: str = "parquet",
-                 catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name) -> dict[str, list]:
+                 catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name,
+                 days: int | None = None, as_of: dt.date | None = None) -> dict[str, list]:
     """Global and regional hotspot tables (written unsorted), plus the top
     cells of each for the log.
 
@@ -122,7 +130,7 @@ def run_hotspots(spark: SparkSession, catalog_path: str, out_base: str, fmt: str
     and the regional count per cell; it is bounded by the grid size and
     checkpointed, and both tables and their previews are read from it.
     """
-    catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt)
+    catalog = _windowed(read_catalog(spark, catalog_path, fmt=catalog_fmt), days, as_of)
     profile = reliable_checkpoint(grid.cell_profile(catalog, region))
     outputs = {
         "global": (grid.profile_hotspots(profile), HOTSPOTS_PREVIEW_N),
@@ -219,6 +227,10 @@ def workload(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict[str,
 
 # -- command line ---------------------------------------------------------------------
 
+def _date(text: str | None) -> dt.date | None:
+    return dt.date.fromisoformat(text) if text else None
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="python -m tremor.plans.jobs")
     p.add_argument("--master", default=None)
@@ -239,12 +251,16 @@ def main(argv: Sequence[str] | None = None) -> int:
     a.add_argument("--out", required=True)
     a.add_argument("--catalog-format", default="parquet", choices=["csv", "parquet"])
     a.add_argument("--format", default="parquet", choices=["csv", "parquet"])
+    a.add_argument("--days", type=int, default=None, help="analyse only the trailing N days")
+    a.add_argument("--as-of", default=None, help="end date of --days (YYYY-MM-DD, UTC); default today")
 
     h = sub.add_parser("hotspots", help="global and regional grid hotspots")
     h.add_argument("--catalog", required=True)
     h.add_argument("--out", required=True)
     h.add_argument("--catalog-format", default="parquet", choices=["csv", "parquet"])
     h.add_argument("--format", default="parquet", choices=["csv", "parquet"])
+    h.add_argument("--days", type=int, default=None, help="only the trailing N days")
+    h.add_argument("--as-of", default=None, help="end date of --days (YYYY-MM-DD, UTC); default today")
 
     r = sub.add_parser("replay", help="write the catalog as event-line files")
     r.add_argument("--catalog", required=True)
@@ -268,17 +284,19 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"tremor-{args.job}")
     if args.job == "build-catalog" and args.archive:
-        as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
+        as_of = _date(args.as_of)
         archive = read_catalog(spark, args.archive, fmt=args.format)
         write_catalog(merge.merge_feeds(slice_feeds(archive, args.days, as_of)), args.out, by_date=args.by_date)
         merge.merge_report(spark.read.parquet(args.out)).show(truncate=False)
     elif args.job == "build-catalog":
         build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date).show(truncate=False)
     elif args.job == "batch-analysis":
-        total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format)
+        total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format,
+                                   days=args.days, as_of=_date(args.as_of))
         print(f"catalog rows: {total}")
     elif args.job == "hotspots":
-        for name, rows in run_hotspots(spark, args.catalog, args.out, args.format, args.catalog_format).items():
+        for name, rows in run_hotspots(spark, args.catalog, args.out, args.format, args.catalog_format,
+                                       days=args.days, as_of=_date(args.as_of)).items():
             print(name, [r.asDict() for r in rows])
     elif args.job == "export-views":
         export_views(spark, args.catalog, args.out, args.catalog_format)
