@@ -8,6 +8,11 @@ Scale: the dedupe is ``row_number() = 1`` over the key. Spark plans it with a
 partial ``WindowGroupLimit`` before the shuffle, so each map task forwards at
 most one row per key; a hot key (e.g. rows missing both time and magnitude)
 costs one row per task on the wire, not its full size.
+
+Whole rows cross the shuffle once. Finding the winners on a narrow projection
+first would not save that: the winners would then have to be joined back to
+the full rows, a second full shuffle (or a broadcast whose size the data
+decides), so the single window shuffle is the cheaper plan.
 """
 
 from __future__ import annotations
