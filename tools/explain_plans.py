@@ -2,8 +2,8 @@
 
     python tools/explain_plans.py [sf_dir] > PLANS.md
 
-Queries that write files before returning (round trips, streams) are listed
-with the plan of their streaming or read-back side only.
+Round-trip queries, which write files before returning, are listed with the
+plan of the frame they return; the two stream keys with their streaming plan.
 """
 
 from __future__ import annotations
@@ -35,6 +35,19 @@ def tree(df) -> str:
     return head + "\n\n" + "\n".join(scans)
 
 
+def stream_frames(spark, sf_dir):
+    """The unstarted streaming frames behind the two stream query keys."""
+    from tremor.session import scratch_path
+    from tremor.sinks import write_lines
+    from tremor.sources.fixture import load_catalog
+    from tremor.streaming import alerts_from_lines, critical_alerts, line_stream, watch_alerts
+
+    lines = scratch_path(spark, "plan-lines")
+    write_lines(load_catalog(spark, sf_dir), lines)
+    alerts = alerts_from_lines(line_stream(spark, lines))
+    return {"stream_watch_alerts": watch_alerts(alerts), "stream_critical_alerts": critical_alerts(alerts)}
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
@@ -43,8 +56,11 @@ def main(argv):
     print(f"Generated by `tools/explain_plans.py` on `{sf_dir}` (Spark {spark.version}, AQE on; "
           "plans shown before adaptive re-optimization). Queries that write files first are "
           "shown by the plan of the frame they return.\n")
+    streams = stream_frames(spark, sf_dir)
     for key, fn in QUERIES.items():
-        print(f"## {key}\n\n```\n{tree(fn(spark, sf_dir))}\n```\n")
+        df = streams[key] if key in streams else fn(spark, sf_dir)
+        note = " (the streaming query itself)" if key in streams else ""
+        print(f"## {key}{note}\n\n```\n{tree(df)}\n```\n")
     spark.stop()
 
 
