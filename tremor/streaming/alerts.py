@@ -76,26 +76,36 @@ def alerts_from_lines(lines: DataFrame, region_name: str = DEFAULT_REGION.name)
     return classify_alerts(decode_lines(lines), region_name)
 
 
+def _above(threshold: float):
+    """``mag > threshold`` for a known (non-NaN) magnitude: the row test behind
+    a ladder label. Filtering on it rather than on the label text keeps the
+    predicate a plain comparison; a label test reaches the source as a
+    ``CASE`` over the whole ladder."""
+    mag = F.col("mag")
+    return (mag > F.lit(threshold)) & ~F.isnan(mag)
+
+
 def watch_alerts(
     alerts: DataFrame,
     region_name: str = DEFAULT_REGION.name,
     steps: Sequence[tuple[float, str]] = ALERT_STEPS,
-    top_label: str = STREAM_CRITICAL_LABEL,
 ) -> DataFrame:
-    """HIGH and top-level alerts: ``time, place, mag, depth, alert_level, is_<region>``."""
-    second = steps[1][1]
-    return alerts.filter(F.col("alert_level").isin(second, top_label)).select(
-        *WATCH_COLUMNS, flag_column(region_name)
-    )
+    """HIGH and top-level alerts: ``time, place, mag, depth, alert_level, is_<region>``.
+
+    ``alerts`` comes from :func:`classify_alerts` with the same ``steps``; the
+    two top labels are exactly the rows above the second threshold.
+    """
+    return alerts.filter(_above(steps[1][0])).select(*WATCH_COLUMNS, flag_column(region_name))
 
 
 def critical_alerts(
-    alerts: DataFrame, region_name: str = DEFAULT_REGION.name, top_label: str = STREAM_CRITICAL_LABEL
+    alerts: DataFrame,
+    region_name: str = DEFAULT_REGION.name,
+    steps: Sequence[tuple[float, str]] = ALERT_STEPS,
 ) -> DataFrame:
-    """Top-level alerts with every catalog field, the region flag and the raw time text."""
-    return alerts.filter(F.col("alert_level") == F.lit(top_label)).select(
-        *ARCHIVE_COLUMNS, flag_column(region_name), "time_raw"
-    )
+    """Top-level alerts with every catalog field, the region flag and the raw
+    time text (the rows above the top threshold of ``steps``)."""
+    return alerts.filter(_above(steps[0][0])).select(*ARCHIVE_COLUMNS, flag_column(region_name), "time_raw")
 
 
 def _with_trigger(writer, trigger: dict | None):
@@ -170,7 +180,6 @@ def start_fused_alert_query(
     watch_path: str | None = None,
     trigger: dict | None = None,
     region_name: str = DEFAULT_REGION.name,
-    top_label: str = STREAM_CRITICAL_LABEL,
 ) -> StreamingQuery:
     """One query that feeds both outputs from a single read of the source.
 
@@ -183,10 +192,9 @@ def start_fused_alert_query(
     watch_cols = [*WATCH_COLUMNS, flag_column(region_name)]
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
-        second = ALERT_STEPS[1][1]
-        kept = batch.filter(F.col("alert_level").isin(second, top_label)).persist()
+        kept = batch.filter(_above(ALERT_STEPS[1][0])).persist()
         try:
-            archive = critical_alerts(kept, region_name, top_label)
+            archive = critical_alerts(kept, region_name)
             archive.write.mode("overwrite").parquet(f"{archive_path}/batch_id={batch_id}")
             watch = kept.select(*watch_cols)
             if watch_path is None:
