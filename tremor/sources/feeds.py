@@ -60,10 +60,13 @@ def feed_slice(
     """Rows a feed request would return: ``start <= time <= end``,
     ``mag >= min_mag`` and, when given, inside ``region``'s box.
 
-    One conjunctive filter, so every part reaches the Parquet scan as a pushed
-    filter (and row-group statistics skip whole groups). On a catalog laid out
-    by date (``write_catalog(by_date=True)``) the same bounds are also applied
-    to ``event_date``, which prunes whole day folders.
+    One conjunctive filter. The time bounds reach the Parquet scan as pushed
+    filters (row-group statistics skip whole groups of a time-clustered
+    catalog), and on a catalog laid out by date (``write_catalog(by_date=True)``)
+    they are also applied to ``event_date``, which prunes whole day folders.
+    The magnitude and box tests run right after the scan in the same codegen
+    stage (after :func:`normalize` they read NaN-cleaned values, which a
+    Parquet filter cannot express).
     """
     cond = F.lit(True)
     dated = "event_date" in df.columns
