@@ -83,3 +83,15 @@ def test_stream_plans_are_shuffle_free(spark, tmp_dir):
         assert df.isStreaming
         text = plan(df)
         assert "Exchange" not in text and not any(node in text for node in PYTHON_NODES), text
+
+
+def test_pushdown_survives_normalization(spark, tmp_dir):
+    import datetime as dt
+
+    from tremor.sources import feed_slice, read_catalog
+
+    write_catalog(load_catalog(spark, SF_SMALL), f"{tmp_dir}/flat", partition_by=())
+    cat = read_catalog(spark, f"{tmp_dir}/flat")
+    assert "PushedFilters: [IsNotNull(region), EqualTo(region,Pakistan)]" in plan(analytics.regional_stats(cat))
+    text = plan(feed_slice(cat, dt.date(2024, 1, 8), dt.date(2024, 1, 15), 2.5))
+    assert "GreaterThanOrEqual(time,2024-01-08T00:00)" in text and "LessThanOrEqual(time,2024-01-15T00:00)" in text
