@@ -210,3 +210,10 @@ def test_dedupe_on_the_key_column_that_exists(spark):
 
     out = sorted((r["mag"], r["place"]) for r in dedupe_keep_first(union_feeds([a, b])).collect())
     assert out == [(4.5, "a1"), (5.0, "a2"), (6.0, "b2")]
+
+
+def test_summary_rounds_like_python(spark):
+    # the average is exactly 4.125: Python's round gives 4.12, SQL round would give 4.13
+    rows = [_row(mag=4.0), _row(mag=4.25)]
+    (r,) = summary(_catalog(spark, rows)).collect()
+    assert r["average_magnitude"] == round(4.125, 2) == 4.12

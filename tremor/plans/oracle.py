@@ -106,8 +106,8 @@ SELECT count(*) AS total_earthquakes,
        count(*) FILTER (WHERE region = 'Pakistan') AS pakistan_count,
        count(*) FILTER (WHERE mag > 6) AS critical_count,
        count(*) FILTER (WHERE mag > 5 AND mag <= 6) AS high_count,
-       coalesce(round(avg(mag), 2), 0.0) AS average_magnitude,
-       coalesce(round(max(mag), 2), 0.0) AS max_magnitude
+       coalesce(round_even(avg(mag), 2), 0.0) AS average_magnitude,
+       coalesce(round_even(max(mag), 2), 0.0) AS max_magnitude
 FROM quakes""",
     "classify_mag_range": f"""{_BASE}
 SELECT event_id, CASE WHEN mag < 2 THEN 'Minor' WHEN mag < 4 THEN 'Light'
