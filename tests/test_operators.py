@@ -217,3 +217,10 @@ def test_summary_rounds_like_python(spark):
     rows = [_row(mag=4.0), _row(mag=4.25)]
     (r,) = summary(_catalog(spark, rows)).collect()
     assert r["average_magnitude"] == round(4.125, 2) == 4.12
+
+
+def test_summary_average_on_a_stored_tie(spark):
+    # (2.65 + 2.70) / 2 is stored as 2.67499999…: Python's round gives 2.67
+    rows = [_row(mag=2.65), _row(mag=2.70)]
+    (r,) = summary(_catalog(spark, rows)).collect()
+    assert r["average_magnitude"] == round((2.65 + 2.70) / 2, 2) == 2.67

@@ -10,7 +10,7 @@ from tremor.functions.classify import (
     stream_alert_level,
 )
 from tremor.functions.ladder import ladder
-from tremor.functions.numeric import grid_snap, nan_to_null, round_half_even, to_double
+from tremor.functions.numeric import grid_snap, nan_to_null, round_half_even, round_like_python, to_double
 from tremor.functions.time import iso_utc, line_time_text, parse_utc_time, to_utc_time, utc_wallclock
 
 __all__ = [
@@ -27,6 +27,7 @@ __all__ = [
     "region_label",
     "risk_level",
     "round_half_even",
+    "round_like_python",
     "stream_alert_level",
     "to_double",
     "to_utc_time",

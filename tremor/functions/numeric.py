@@ -52,3 +52,27 @@ def round_half_even(value: Column, digits: int) -> Column:
     0.0, so equal cells always print alike."""
     scale = F.lit(float(10**digits))
     return F.rint(value * scale) / scale + F.lit(0.0)
+
+
+def round_like_python(value: Column, digits: int) -> Column:
+    """Python's ``round(x, digits)`` on a float, exactly: round half to even on
+    the exact binary value of ``x`` (2.675 is stored as 2.67499999… and
+    gives 2.67).
+
+    The scaled value ``p = x * 10**digits`` is rounded half to even as in
+    :func:`round_half_even`, except when ``p`` lands exactly on a tie: then the
+    exact rounding error of that product (Dekker's error-free product, splitting
+    ``x`` into two halves that multiply exactly) decides the direction. Plain
+    double arithmetic, no UDF.
+    """
+    scale = float(10**digits)
+    x = value
+    p = x * F.lit(scale)
+    t = x * F.lit(134217729.0)  # 2**27 + 1: splits x into 26-bit halves
+    high = t - (t - x)
+    low = x - high
+    error = (high * F.lit(scale) - p) + low * F.lit(scale)  # x*scale == p + error, exactly
+    floor = F.floor(p).cast("double")
+    tie = (p - floor) == F.lit(0.5)
+    k = F.when(tie & (error > 0), floor + 1).when(tie & (error < 0), floor).otherwise(F.rint(p))
+    return k / F.lit(scale) + F.lit(0.0)

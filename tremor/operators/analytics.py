@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tremor.config import ALERT_STEPS, DEFAULT_REGION, TOP_PLACES_N
 from tremor.functions.classify import mag_range
-from tremor.functions.numeric import nan_to_null, round_half_even
+from tremor.functions.numeric import nan_to_null, round_like_python
 from tremor.operators.regions import filter_region
 
 
@@ -83,8 +83,8 @@ def regional_avg_mag(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFram
 def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2) -> DataFrame:
     """Dashboard summary in one scan: total, regional count, alert counts
     (above the top alert threshold; above the second and up to the top), and
-    the average and maximum magnitude rounded to ``digits`` the way Python
-    rounds a float (ties to even; 0.0 when no magnitude is known)."""
+    the average and maximum magnitude rounded to ``digits`` exactly as
+    Python's ``round`` does (0.0 when no magnitude is known)."""
     m = _mag()
     (top, _), (second, _) = ALERT_STEPS[0], ALERT_STEPS[1]
     return df.agg(
@@ -92,8 +92,8 @@ def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2) ->
         F.count_if(F.col("region") == F.lit(name)).alias(f"{name.lower()}_count"),
         F.count_if(m > F.lit(top)).alias("critical_count"),
         F.count_if((m > F.lit(second)) & (m <= F.lit(top))).alias("high_count"),
-        F.coalesce(round_half_even(F.avg(m), digits), F.lit(0.0)).alias("average_magnitude"),
-        F.coalesce(round_half_even(F.max(m), digits), F.lit(0.0)).alias("max_magnitude"),
+        F.coalesce(round_like_python(F.avg(m), digits), F.lit(0.0)).alias("average_magnitude"),
+        F.coalesce(round_like_python(F.max(m), digits), F.lit(0.0)).alias("max_magnitude"),
     )
 
 
