@@ -159,3 +159,12 @@ def test_offset_spellings(spark):
     got = _labels(_col(spark, texts, "string"), parse_utc_time(F.col("v")))
     base = dt.datetime(2024, 1, 2, 3, 4, 5)
     assert got == [base] * 5 + [base.replace(microsecond=500000)]
+
+
+def test_round_like_python_edges(spark):
+    from tremor.functions import round_like_python
+
+    values = [1e300, -1e17, float("inf"), float("nan"), None, 123456789.125]
+    got = _labels(_col(spark, values), round_like_python(F.col("v"), 2))
+    assert got[:3] == [1e300, -1e17, float("inf")] and got[3] != got[3] and got[4] is None
+    assert got[5] == round(123456789.125, 2)

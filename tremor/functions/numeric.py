@@ -75,4 +75,7 @@ def round_like_python(value: Column, digits: int) -> Column:
     floor = F.floor(p).cast("double")
     tie = (p - floor) == F.lit(0.5)
     k = F.when(tie & (error > 0), floor + 1).when(tie & (error < 0), floor).otherwise(F.rint(p))
-    return k / F.lit(scale) + F.lit(0.0)
+    # NaN, infinities and |p| >= 2**52 (no fractional digits left) pass through,
+    # which also keeps floor() inside bigint range under ANSI mode.
+    whole = F.isnan(x) | (F.abs(p) >= F.lit(float(2**52)))
+    return F.when(whole, x).otherwise(k / F.lit(scale) + F.lit(0.0))
