@@ -109,7 +109,8 @@ def q_assign_region(spark, sf_dir):
 
 def _raw_text_catalog(spark, sf_dir):
     """The catalog as text, the way a landed CSV arrives: three time spellings,
-    some junk numbers, and no ``type`` column."""
+    some junk numbers, and no ``type`` column. Every row is kept; ``event_id``
+    only decides which spelling a row gets and which fields turn into junk."""
     cat = _catalog(spark, sf_dir)
     eid = F.col("event_id")
     time_text = (
