@@ -8,13 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import chat, packing, simhash, token_files
+from tremor.llm import chat, langid, line_dedup, packing, quality, simhash, token_files, url_filter
 from tremor.llm.common import table
 from tremor.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest, threshold = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, forest, threshold)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    host = url_filter.url_host(F.col("url"))
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    urls = pages.where(host.rlike(url_filter.LISTED_SITES)).select(
+        url_filter.canonical(host, url_filter.url_path(F.col("url"))).alias("canonical"))
+    return url_filter.filter_urls(pages, url_filter.listing(rules, urls))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packing.piece_digest(pieces)
@@ -35,18 +50,33 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.file_digest(token_files.read_token_files(spark, path))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_digest(line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicate_classes(table(spark, sf_dir, "documents"), shingle_words=4, radius=4)
     return classes.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_url_filter": op2_url_filter,
     "op4_packing": op4_packing,
     "op5_chat": op5_chat,
     "op6_token_files": op6_token_files,
+    "op8_langid": op8_langid,
+    "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.ORACLE,
     "op5_chat": chat.ORACLE,
+    "op9_line_dedup": line_dedup.ORACLE,
 }
