@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import chat, langid, line_dedup, packing, quality, simhash, token_files, url_filter
+from tremor.llm import chat, langid, line_dedup, packing, pii, quality, simhash, token_files, url_filter
 from tremor.llm.common import table
 from tremor.session import scratch_path
 
@@ -30,6 +30,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.listing(rules, urls))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packing.piece_digest(pieces)
@@ -67,6 +71,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_chat": op5_chat,
     "op6_token_files": op6_token_files,

@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Words kept per generation of the cache, per Python worker (two generations).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 _LAST_SIMPLE = "ɏ"  # words up to Latin Extended-B take the short path
 
