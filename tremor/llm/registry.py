@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import chat, langid, line_dedup, packing, pii, quality, simhash, token_files, url_filter
+from tremor.llm import chat, decontaminate, langid, line_dedup, packing, pii, quality, simhash, token_files, url_filter
 from tremor.llm.common import table
 from tremor.session import scratch_path
 
@@ -54,6 +54,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.file_digest(token_files.read_token_files(spark, path))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_chat": op5_chat,
     "op6_token_files": op6_token_files,
+    "op7_decontaminate": op7_decontaminate,
     "op8_langid": op8_langid,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
