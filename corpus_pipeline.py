@@ -1,7 +1,8 @@
 """Corpus pipeline over ``documents``: stages built from ``tremor.llm`` operators.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; its result
-is written as Parquet and read again as the next stage's ``docs``.
+is written as Parquet and read again as the next stage's ``docs``. All stages
+but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -11,26 +12,56 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = str(Path(__file__).resolve().parent)
 if _ROOT not in sys.path:
     sys.path.insert(0, _ROOT)
 
-from tremor.llm import packing, registry  # noqa: E402
-from tremor.llm.common import stored, table  # noqa: E402
+from tremor.llm import decontaminate, langid, line_dedup, packing, registry, simhash  # noqa: E402
+from tremor.llm.common import let_workers_import, stored, table  # noqa: E402
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; rejected ones go."""
+    let_workers_import(spark)
+    return langid.keep_identified(docs, langid.fit(docs))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that a document of smaller id has; ``n_chars`` follows."""
+    cut = line_dedup.drop_repeated_lines(docs, counts=False)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of smallest id."""
+    let_workers_import(spark)
+    return simhash.keep_one_of_each(docs, shingle_words=4, radius=4)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents, packed into sequences."""
-    pieces = packing.pack_documents(docs, public_tokenizers.path(registry.TOKENIZER))
-    return packing.piece_digest(pieces)
+    let_workers_import(spark)
+    return packing.piece_digest(packing.pack_documents(docs, public_tokenizers.path(registry.TOKENIZER)))
 
 
 STAGES = [
+    ("language", identify_language),
+    ("lines", dedup_lines),
+    ("near-copies", dedup_near_copies),
+    ("benchmark", drop_benchmark_leaks),
     ("packing", pack),
 ]
 
-#: Language identification has no SQL form; see the tests.
+#: Language identification has no SQL form; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -93,8 +93,9 @@ _LAST = (1 << 63) - 1
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 4,
-                        fanout: int = 3) -> DataFrame:
-    """``docs`` with the text cut to the kept lines, and ``n_lines, n_dropped``.
+                        fanout: int = 3, counts: bool = True) -> DataFrame:
+    """``docs`` with the text cut to the kept lines and, with ``counts``, the
+    columns ``n_lines`` and ``n_dropped``.
 
     A line's key is the line without white space at both ends, A-Z lower-cased.
     Keys of ten or more code points found in two or more documents lose all
@@ -104,8 +105,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null and empty texts are one empty line, and come back empty. Rows of one id
     are one document, each row cut by itself; rows with a null id are together
     one document, behind all others. Texts of any length are read whole. An
-    empty table gives no rows. Other columns come back as they are;
-    ``n_lines`` and ``n_dropped`` of the input are replaced.
+    empty table gives no rows. Other columns come back as they are, whatever
+    their names; with ``counts``, input columns of those two names are replaced.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
@@ -128,7 +129,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .select("doc", "body", "pos"))
         dropped = out if dropped is None else dropped.unionByName(out)
     drops = dropped.groupBy("doc", "body").agg(F.collect_set("pos").alias("drops"))
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    names = [c for c in docs.columns if not counts or c not in ("n_lines", "n_dropped")]
     marked = docs.select(F.struct(*names).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"),
                          F.xxhash64(text).alias("body"))
     joined = marked.join(drops, ["doc", "body"], "left")
@@ -137,10 +138,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stay = F.transform(F.array_except(every, F.col("drops")), lambda i: F.get(all_lines, i))
     cut = F.when(F.col("drops").isNull(), F.coalesce(F.col("row")[text_col], F.lit(""))).otherwise(
         F.array_join(stay, "\n"))
-    return joined.select(
-        *[cut.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names],
-        F.size(all_lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))
+    numbers = [F.size(all_lines).cast("long").alias("n_lines"),
+               F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped")]
+    return joined.select(*[cut.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names],
+                         *(numbers if counts else []))
 
 
 #: Equivalent result over the given table.

@@ -258,6 +258,19 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, spare: int = 2, bucket_ro
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, radius: int, spare: int,
+             bucket_rows: int) -> DataFrame:
+    """``doc_id, fp, root, component_id`` per row; ``root`` is the component's smallest fingerprint."""
+    fps = stored(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    roots = connected_components(fingerprint_links(fps, radius, spare, bucket_rows))
+    nodes = (fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+             .join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+             .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
+    ids = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    classes = stored(nodes.join(ids, "root").select("fp", "root", "component_id"), "classes")
+    return fps.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
                            radius: int = 4, spare: int = 2, bucket_rows: int = 4096) -> DataFrame:
     """``doc_id, fp, component_id`` per row: the smallest id reachable over links
@@ -269,25 +282,36 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     a component of null ids only has a null id. An empty table gives no rows.
     Other columns are not read.
     """
-    fps = stored(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    roots = connected_components(fingerprint_links(fps, radius, spare, bucket_rows))
-    nodes = (fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-             .join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
-    ids = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = stored(nodes.join(ids, "root").select("fp", "component_id"), "classes")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return _classes(docs, id_col, text_col, shingle_words, radius, spare, bucket_rows).drop("root")
 
 
 def fingerprint_hex(c: Column) -> Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest, one row per id.
+def _of_fingerprints(docs: DataFrame, wanted: DataFrame, text_col: str, shingle_words: int) -> DataFrame:
+    """One row of ``docs`` for each fingerprint in ``wanted``."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = rows.select("row").withColumn("fp", F.lit(0).cast("long")).schema
 
-    Of repeated rows of that id one stays. Rows without an id stay, one of each
-    distinct row, where their component has no other document."""
-    classes = near_duplicate_classes(docs, id_col, **how)
-    kept = classes.select(F.col("component_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([id_col])
+    def run(batches):
+        for batch in batches:
+            fps = np.fromiter((fingerprint(t.as_py(), shingle_words) for t in batch.column(1)), dtype="<u8",
+                              count=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], names=["row", "fp"])
+
+    return rows.mapInArrow(run, schema).join(wanted, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
+                     radius: int = 4, spare: int = 2, bucket_rows: int = 4096) -> DataFrame:
+    """One row of ``docs`` for each component: that of its smallest id, columns as they are.
+
+    Of repeated rows of that id one stays. Rows without an id go where their
+    component has a document with one; else one of them stays.
+    """
+    classes = _classes(docs, id_col, text_col, shingle_words, radius, spare, bucket_rows)
+    kept = classes.select(F.col("component_id").alias("_kept")).where(F.col("_kept").isNotNull()).distinct()
+    named = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col])
+    nameless = classes.where(F.col("component_id").isNull() & (F.col("fp") == F.col("root"))).select("fp").distinct()
+    return named.unionByName(_of_fingerprints(docs.where(F.col(id_col).isNull()), nameless, text_col, shingle_words))
