@@ -84,6 +84,8 @@ class LineRuns:
 
 def _batch_bounds(docs: DataFrame, batches: int) -> list[int]:
     """Ids that cut the documents into about equal batches."""
+    if batches < 2:
+        return []
     cuts = docs.where(F.col("doc") < _LAST).stat.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.001)
     return sorted({int(c) for c in cuts})
 
