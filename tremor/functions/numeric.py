@@ -15,17 +15,23 @@ def nan_to_null(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
+# Decimal, exponent and infinity spellings; Java's own ones (5d, 0x1p3) are not numbers here.
+_NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def to_double(value: Column, source_type: T.DataType | None = None) -> Column:
     """Lenient numeric coercion: unparseable text becomes null, never an error.
 
     Uses ``try_cast`` so a bad value cannot abort a job under ANSI mode, then
-    maps NaN to null.
+    maps NaN to null. One rule for batch and stream: decimal and exponent
+    spellings and infinities are numbers, everything else is missing.
     """
     if isinstance(source_type, T.DoubleType):
         return nan_to_null(value)
     if isinstance(source_type, (T.FloatType, T.IntegralType, T.DecimalType)):
         return nan_to_null(value.cast("double"))
-    return nan_to_null(value.cast("string").try_cast("double"))
+    text = value.cast("string")
+    return F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
 
 
 def grid_snap(value: Column, digits: int = GRID_DIGITS, mode: str = "half_up") -> Column:

@@ -10,8 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text that ends in an explicit zone: ...HH:mm[:ss[.f]] followed by Z or +hh[:mm].
-_OFFSET_SUFFIX = r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([zZ]|[+-]\d{2}(:?\d{2})?)$"
+# A date, an optional time of day, and nothing else: taken as UTC.
+_NAIVE = r"\d{4}(?:-\d{1,2}(?:-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?)?)?"
+# A date and a time of day, then Z, or an offset of hours and optional minutes
+# (after UTC or GMT if need be).
+_ZONED = (r"^(\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*"
+          r"(?:[zZ]|(UTC|GMT)?([+-])(\d{1,2})(?::?([0-5]\d))?|UTC|GMT)$")
 
 
 def utc_wallclock(ts: Column) -> Column:
@@ -28,13 +32,21 @@ def utc_wallclock(ts: Column) -> Column:
 def parse_utc_time(text: Column) -> Column:
     """Lenient text → UTC TIMESTAMP_NTZ. Unparseable or empty text → null.
 
-    Text with an offset (``...Z``, ``...+05:00``) is moved to UTC; text without
-    one is taken to be UTC already.
+    Text with an offset (``...Z``, ``...+05:00``, ``... UTC+5``) is moved to
+    UTC; text without one is taken to be UTC already. ``GMT+5`` is five hours
+    behind UTC, as the POSIX zone of that name is. Named zones, offsets with
+    seconds and times without a date are unreadable, so no answer depends on
+    the session or on today.
     """
     t = F.trim(text.cast("string"))
-    zoned = utc_wallclock(F.try_to_timestamp(t))
-    naive = t.try_cast("timestamp_ntz")
-    return F.when(t.rlike(_OFFSET_SUFFIX), zoned).otherwise(naive)
+    # A fraction is read to the microsecond; further digits are cut.
+    naive = F.when(t.rlike(f"^{_NAIVE}$"), t.try_cast("timestamp_ntz"))
+    wall = F.regexp_extract(t, _ZONED, 1).try_cast("timestamp_ntz")
+    hours = F.regexp_extract(t, _ZONED, 4).try_cast("int")
+    minutes = F.coalesce(F.regexp_extract(t, _ZONED, 5).try_cast("int"), F.lit(0))
+    ahead = (F.regexp_extract(t, _ZONED, 3) == "+") != (F.regexp_extract(t, _ZONED, 2) == "GMT")
+    offset = F.when(hours.isNull(), 0).when(hours < 24, F.when(ahead, 1).otherwise(-1) * (hours * 60 + minutes))
+    return F.coalesce(naive, F.when(t.rlike(_ZONED), F.timestamp_add("MINUTE", -offset, wall)))
 
 
 def to_utc_time(value: Column, source_type: T.DataType | None) -> Column:

@@ -10,6 +10,8 @@ Global aggregates shuffle a single partial row per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,13 +82,14 @@ def regional_avg_mag(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFram
     return filter_region(df, name).agg(F.avg(_mag()).alias("avg_mag"))
 
 
-def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2) -> DataFrame:
+def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2,
+            steps: Sequence[tuple[float, str]] = ALERT_STEPS) -> DataFrame:
     """Dashboard summary in one scan: total, regional count, alert counts
     (above the top alert threshold; above the second and up to the top), and
     the average and maximum magnitude rounded to ``digits`` exactly as
     Python's ``round`` does (0.0 when no magnitude is known)."""
     m = _mag()
-    (top, _), (second, _) = ALERT_STEPS[0], ALERT_STEPS[1]
+    (top, _), (second, _) = steps[0], steps[1]
     return df.agg(
         F.count(F.lit(1)).alias("total_earthquakes"),
         F.count_if(F.col("region") == F.lit(name)).alias(f"{name.lower()}_count"),

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tremor.config import DEDUPE_KEYS, DEFAULT_REGION, OTHER_REGION, Region
 from tremor.operators.regions import assign_region
+from tremor.sources.feeds import key_text_column
 
 FEED_COLUMN = "feed"
 
@@ -49,21 +50,26 @@ def dedupe_keep_first(
 ) -> DataFrame:
     """One row per key (nulls equal each other), the first by
     ``(feed_column, *tiebreak)``; keys absent from ``df`` are ignored, and with
-    no key left whole-row duplicates are removed instead."""
+    no key left whole-row duplicates are removed instead.
+
+    Where a key could not be read, its text as read decides
+    (:func:`tremor.sources.feeds.with_key_text`); keys that were empty in the
+    feed equal each other. Those text columns are dropped."""
+    texts = [key_text_column(k) for k in keys if key_text_column(k) in df.columns]
     present = [k for k in keys if k in df.columns]
     if not present:
-        return dedupe_full_row(df, exclude=(feed_column,))
+        return dedupe_full_row(df, exclude=(feed_column, *texts))
     if tiebreak is None:
         tiebreak = [
             f.name
             for f in df.schema.fields
-            if f.name not in present and f.name != feed_column and isinstance(f.dataType, _ORDERABLE)
+            if f.name not in present and f.name not in texts and f.name != feed_column and isinstance(f.dataType, _ORDERABLE)
         ]
     order = ([F.col(feed_column).asc()] if feed_column in df.columns else []) + [
         F.col(c).asc_nulls_first() for c in tiebreak
     ]
-    w = Window.partitionBy(*present).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+    w = Window.partitionBy(*present, *texts).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank", *texts)
 
 
 def dedupe_full_row(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -87,9 +93,11 @@ def merge_feeds(
 
 
 def merge_report(df: DataFrame, region: Region = DEFAULT_REGION, other: str = OTHER_REGION) -> DataFrame:
-    """One row: ``total`` and the count per region label."""
+    """One row: ``total``, the count per region label, and the rows whose time
+    or magnitude is missing or could not be read (``null_key_count``)."""
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("region") == F.lit(region.name)).alias(f"{region.name.lower()}_count"),
         F.count_if(F.col("region") == F.lit(other)).alias(f"{other.lower()}_count"),
+        F.count_if(F.col("time").isNull() | F.col("mag").isNull()).alias("null_key_count"),
     )

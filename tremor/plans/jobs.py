@@ -21,19 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.config import (
+    ALERT_STEPS,
     DEFAULT_REGION,
     FEED_DAYS,
     GLOBAL_FEED_MIN_MAG,
     HOTSPOTS_PREVIEW_N,
     HOTSPOTS_REGIONAL_PREVIEW_N,
     REGIONAL_FEED_MIN_MAG,
+    STREAM_CRITICAL_LABEL,
     TOP_PLACES_N,
 )
 from tremor.operators import analytics, grid, merge, views
-from tremor.session import build_session, reliable_checkpoint
+from tremor.session import build_session, reliable_checkpoint, size_for
 from tremor.sinks import write_catalog, write_lines, write_result
 from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range, trailing_window
 from tremor.streaming import (
+    NO_AGE_LIMIT,
     alerts_from_lines,
     await_any,
     kafka_line_stream,
@@ -155,29 +158,39 @@ def run_alert_stream(
     max_files_per_trigger: int | None = None,
     timeout: float | None = None,
     fused: bool = False,
+    max_file_age: str = NO_AGE_LIMIT,
+    kafka_options: dict[str, str] | None = None,
+    steps: Sequence[tuple[float, str]] = ALERT_STEPS,
+    top_label: str = STREAM_CRITICAL_LABEL,
+    console_rows: int = 20,
 ) -> None:
     """Start the watch and archive queries; with an ``availableNow`` trigger wait
     for both to drain their input, otherwise wait for either to end and stop both.
+    There is no time limit unless ``timeout`` (seconds) is given.
 
     ``source``: a directory of line files, ``kafka://host:port/topic`` or
-    ``socket://host:port``.
+    ``socket://host:port``. A bounded run over Kafka starts at the earliest
+    offset unless ``kafka_options`` says otherwise.
     """
+    bounded = bool(trigger and trigger.get("availableNow"))
     if source.startswith("kafka://"):
         servers, topic = source[len("kafka://"):].split("/", 1)
-        lines = kafka_line_stream(spark, servers, topic)
+        options = {"startingOffsets": "earliest"} if bounded else {}
+        lines = kafka_line_stream(spark, servers, topic, **{**options, **(kafka_options or {})})
     elif source.startswith("socket://"):
         host, port = source[len("socket://"):].rsplit(":", 1)
         lines = socket_line_stream(spark, host, int(port))
     else:
-        lines = line_stream(spark, source, max_files_per_trigger)
-    alerts = alerts_from_lines(lines)
+        lines = line_stream(spark, source, max_files_per_trigger, max_file_age)
+    alerts = alerts_from_lines(lines, steps=steps, top_label=top_label)
+    how = {"trigger": trigger, "steps": steps, "console_rows": console_rows}
     if fused:  # one source read feeding both outputs
-        queries = [start_fused_alert_query(alerts, archive_path, f"{checkpoint_root}/fused", watch_path, trigger)]
+        queries = [start_fused_alert_query(alerts, archive_path, f"{checkpoint_root}/fused", watch_path, **how)]
     else:
-        queries = list(start_alert_queries(alerts, archive_path, checkpoint_root, watch_path, trigger))
-    if trigger and trigger.get("availableNow"):
+        queries = list(start_alert_queries(alerts, archive_path, checkpoint_root, watch_path, **how))
+    if bounded:
         # bounded catch-up: both queries drain their input and stop on their own
-        run_bounded(queries, timeout if timeout is not None else 3600.0)
+        run_bounded(queries, timeout)
     else:
         await_any(spark, queries, timeout)
 
@@ -234,6 +247,8 @@ def _date(text: str | None) -> dt.date | None:
 def main(argv: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="python -m tremor.plans.jobs")
     p.add_argument("--master", default=None)
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="instead of the number derived from the input's size")
     sub = p.add_subparsers(dest="job", required=True)
 
     b = sub.add_parser("build-catalog", help="merge landed feeds (or feeds sliced from an archive) into the catalog")
@@ -280,9 +295,18 @@ def main(argv: Sequence[str] | None = None) -> int:
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--fused", action="store_true", help="one query, one source read, both outputs")
+    s.add_argument("--timeout", type=float, default=None, help="stop after so many seconds (default: no limit)")
+    s.add_argument("--max-file-age", default=NO_AGE_LIMIT, help="skip line files older than this before the newest")
+    s.add_argument("--console-rows", type=int, default=20, help="watch rows printed per micro-batch")
+    s.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="e.g. startingOffsets=earliest, maxOffsetsPerTrigger=1000000")
 
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"tremor-{args.job}")
+    inputs = getattr(args, "feed", None) or [x for x in (getattr(args, "archive", None) if args.job == "build-catalog"
+                                                         else getattr(args, "catalog", None),) if x]
+    if inputs:
+        size_for(spark, inputs, args.shuffle_partitions)
     if args.job == "build-catalog" and args.archive:
         as_of = _date(args.as_of)
         archive = read_catalog(spark, args.archive, fmt=args.format)
@@ -305,7 +329,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "alerts":
         trigger = {"availableNow": True} if args.available_now else None
         run_alert_stream(spark, args.source, args.archive, args.checkpoint, args.watch, trigger,
-                         args.max_files_per_trigger, fused=args.fused)
+                         args.max_files_per_trigger, args.timeout, args.fused, args.max_file_age,
+                         dict(o.split("=", 1) for o in args.kafka_option), console_rows=args.console_rows)
     return 0
 
 

@@ -54,6 +54,28 @@ def build_session(master: str | None = None, app_name: str = "tremor", conf: dic
     return builder.getOrCreate()
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Bytes stored under ``paths``, from the file system that holds them."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        location = sc._jvm.org.apache.hadoop.fs.Path(path)
+        total += location.getFileSystem(conf).getContentSummary(location).getLength()
+    return total
+
+
+def size_for(spark: SparkSession, paths, shuffle_partitions: int | None = None) -> dict[str, str]:
+    """Set :func:`sizing_conf` for a job that reads ``paths`` (``shuffle_partitions``
+    overrides the derived number); returns what was set."""
+    conf = sizing_conf(input_bytes(spark, paths), spark.sparkContext.defaultParallelism)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Base folder for intermediate tables and streaming checkpoints.
 

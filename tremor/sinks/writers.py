@@ -16,7 +16,13 @@ from tremor.sources.lines import encode_lines
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write one result table (``parquet`` or header ``csv``)."""
+    """Write one result table (``parquet`` or header ``csv``).
+
+    CSV keeps blanks at the ends of a text, doubles quotes inside quoted fields
+    and leaves line breaks inside them; :func:`tremor.sources.read_catalog` and
+    :func:`read_result` read them back. CSV cannot tell an empty text from a
+    missing one: both read back as null.
+    """
     writer = df.write.mode(mode)
     if fmt == "parquet":
         writer.parquet(path)
@@ -24,6 +30,9 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
         # Spark's default CSV timestamp text keeps milliseconds only; write all six digits.
         (
             writer.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
             .csv(path)
@@ -38,7 +47,8 @@ def read_result(spark, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+        return (spark.read.option("header", True).option("inferSchema", True).option("escape", '"')
+                .option("multiLine", True).csv(path))
     raise ValueError(f"unsupported result format {fmt!r}")
 
 
@@ -54,19 +64,22 @@ def write_catalog(
 ) -> None:
     """Write the catalog as Parquet laid out by ``partition_by``.
 
-    No repartition on the partition column first: with two region values that
+    Without dates, no repartition on the partition column first: with two region values that
     would funnel the whole catalog through two tasks. Each task writes one file
     per region it holds instead, and readers filtering on region skip the
     other folder entirely.
 
     ``by_date=True`` adds ``event_date`` (the UTC date of ``time``) as a further
     partition column, so time-window reads (:func:`tremor.sources.feed_slice`)
-    skip whole days; rows without a time go to the null-date folder.
+    skip whole days; rows without a time go to the null-date folder. Rows are
+    then rebalanced by folder: a folder's rows meet in few files, and adaptive
+    execution splits folders above its advisory size over several tasks.
     """
     columns = list(partition_by)
     if by_date:
         df = df.withColumn(DATE_COLUMN, F.to_date(F.col("time")))
         columns.append(DATE_COLUMN)
+        df = df.hint("rebalance", *columns)
     writer = df.write.mode(mode)
     if columns:
         writer = writer.partitionBy(*columns)

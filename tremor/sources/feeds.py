@@ -11,9 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.config import FEED_DAYS, Region
+from tremor.config import DEDUPE_KEYS, FEED_DAYS, Region
 from tremor.functions.classify import in_region
-from tremor.sources.catalog import read_catalog
+from tremor.sources.catalog import normalize, read_catalog, read_csv_text
 
 
 class EmptyFeedError(RuntimeError):
@@ -27,9 +27,30 @@ def require_non_empty(df: DataFrame, label: str) -> DataFrame:
     return df
 
 
-def read_feed(spark: SparkSession, path: str, label: str, fmt: str = "csv", check: bool = True) -> DataFrame:
-    """Read one landed feed (raw columns, no ``region``), normalized."""
-    df = read_catalog(spark, path, fmt=fmt).drop("region")
+def key_text_column(key: str) -> str:
+    """Column that holds a key's text as it stood in the feed."""
+    return f"{key}_as_read"
+
+
+def with_key_text(raw: DataFrame) -> DataFrame:
+    """Normalize a raw feed, keeping the text of unreadable merge keys: two
+    events whose times (or magnitudes) cannot be read are still two events."""
+    texts = {key_text_column(k): F.col(k).cast("string") for k in DEDUPE_KEYS if k in raw.columns}
+    typed = normalize(raw.withColumns(texts) if texts else raw)
+    unread = {key_text_column(k): F.when(F.col(k).isNull(), F.col(key_text_column(k))) for k in DEDUPE_KEYS
+              if key_text_column(k) in typed.columns}
+    return typed.withColumns(unread) if unread else typed
+
+
+def read_feed(spark: SparkSession, path: str, label: str, fmt: str = "csv", check: bool = True,
+              multi_line: bool = True) -> DataFrame:
+    """Read one landed feed (raw columns, no ``region``), normalized; the text of
+    unreadable ``time`` and ``mag`` values stays beside them for the merge."""
+    if fmt == "csv":
+        df = with_key_text(read_csv_text(spark, path, multi_line))
+    else:
+        df = read_catalog(spark, path, fmt=fmt)
+    df = df.drop("region")
     return require_non_empty(df, label) if check else df
 
 

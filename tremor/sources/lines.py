@@ -74,6 +74,8 @@ def _field_text(df: DataFrame, name: str) -> Column:
         text = nan_to_null(c.cast("double")).cast("string")
     else:
         text = c.cast("string")
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.NumericType)):
+        return F.coalesce(text, F.lit(""))  # holds no separator and no blank
     blanked = F.translate(F.coalesce(text, F.lit("")), LINE_BLANKED_CHARS, " " * len(LINE_BLANKED_CHARS))
     return F.trim(blanked, F.lit(_WHITESPACE))
 

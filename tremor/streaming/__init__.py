@@ -1,6 +1,7 @@
 """Structured Streaming alert queries."""
 
 from tremor.streaming.alerts import (
+    NO_AGE_LIMIT,
     alerts_from_lines,
     await_any,
     classify_alerts,
@@ -16,6 +17,7 @@ from tremor.streaming.alerts import (
 )
 
 __all__ = [
+    "NO_AGE_LIMIT",
     "alerts_from_lines",
     "await_any",
     "classify_alerts",

@@ -16,6 +16,7 @@ for deployments that have them.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,21 @@ def flag_column(region_name: str = DEFAULT_REGION.name) -> str:
     return f"is_{region_name.lower()}"
 
 
-def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame with one ``value`` column, read from line files under ``path``."""
-    reader = spark.readStream.format("text")
+#: Longer than any file is old: no line file is too late to be read.
+NO_AGE_LIMIT = "36500d"
+
+
+def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                max_file_age: str = NO_AGE_LIMIT) -> DataFrame:
+    """Streaming frame with one ``value`` column, read from line files under ``path``.
+
+    Spark's file source skips files older than ``maxFileAge`` before the newest
+    one (its default is a week), which would lose alerts of files that arrive
+    late with their old modification time. By default no file is skipped; the
+    cost is that the source remembers every file it has read. A shorter
+    ``max_file_age`` bounds that memory where late files cannot happen.
+    """
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.load(path)
@@ -71,9 +84,14 @@ def classify_alerts(
     )
 
 
-def alerts_from_lines(lines: DataFrame, region_name: str = DEFAULT_REGION.name) -> DataFrame:
+def alerts_from_lines(
+    lines: DataFrame,
+    region_name: str = DEFAULT_REGION.name,
+    steps: Sequence[tuple[float, str]] = ALERT_STEPS,
+    top_label: str = STREAM_CRITICAL_LABEL,
+) -> DataFrame:
     """Decode then classify (batch or streaming)."""
-    return classify_alerts(decode_lines(lines), region_name)
+    return classify_alerts(decode_lines(lines), region_name, steps, top_label)
 
 
 def _above(threshold: float):
@@ -85,17 +103,22 @@ def _above(threshold: float):
     return (mag > F.lit(threshold)) & ~F.isnan(mag)
 
 
+def _watch_columns(region_name: str) -> list[str]:
+    return [*WATCH_COLUMNS, flag_column(region_name), "time_raw"]
+
+
 def watch_alerts(
     alerts: DataFrame,
     region_name: str = DEFAULT_REGION.name,
     steps: Sequence[tuple[float, str]] = ALERT_STEPS,
 ) -> DataFrame:
-    """HIGH and top-level alerts: ``time, place, mag, depth, alert_level, is_<region>``.
+    """HIGH and top-level alerts: ``time, place, mag, depth, alert_level,
+    is_<region>``, and the raw time text, which is all there is for a bad clock.
 
     ``alerts`` comes from :func:`classify_alerts` with the same ``steps``; the
     two top labels are exactly the rows above the second threshold.
     """
-    return alerts.filter(_above(steps[1][0])).select(*WATCH_COLUMNS, flag_column(region_name))
+    return alerts.filter(_above(steps[1][0])).select(*_watch_columns(region_name))
 
 
 def critical_alerts(
@@ -112,6 +135,14 @@ def _with_trigger(writer, trigger: dict | None):
     return writer.trigger(**trigger) if trigger else writer
 
 
+def print_rows(df: DataFrame, rows: int) -> None:
+    """Print the first ``rows`` rows and say how many were left out."""
+    df.show(rows, truncate=False)
+    left = df.count() - rows
+    if left > 0:
+        print(f"... and {left} more rows")
+
+
 def start_alert_queries(
     alerts: DataFrame,
     archive_path: str,
@@ -120,19 +151,32 @@ def start_alert_queries(
     trigger: dict | None = None,
     region_name: str = DEFAULT_REGION.name,
     name_prefix: str | None = None,
+    steps: Sequence[tuple[float, str]] = ALERT_STEPS,
+    console_rows: int = 20,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the watch and archive queries; returns ``(watch, archive)``.
 
-    ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
-    ``{"availableNow": True}`` for a bounded catch-up run, or
-    ``{"processingTime": "5 seconds"}``). Each query has its own checkpoint.
+    ``steps`` is the ladder that ``alerts`` was classified with. ``trigger`` is
+    passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}`` for
+    a bounded catch-up run, or ``{"processingTime": "5 seconds"}``). Each query
+    has its own checkpoint. Without a ``watch_path`` the watch rows are printed,
+    ``console_rows`` of each micro-batch and the number of the others. If the
+    second query does not start, the first is stopped.
     """
-    watch_df = watch_alerts(alerts, region_name)
-    archive_df = critical_alerts(alerts, region_name)
+    watch_df = watch_alerts(alerts, region_name, steps)
+    archive_df = critical_alerts(alerts, region_name, steps)
 
     watch = watch_df.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint_root}/watch")
     if watch_path is None:
-        watch = watch.format("console").option("truncate", False)
+        def show(batch: DataFrame, batch_id: int) -> None:
+            kept = batch.persist()
+            try:
+                print(f"batch {batch_id}")
+                print_rows(kept, console_rows)
+            finally:
+                kept.unpersist()
+
+        watch = watch.foreachBatch(show)
     else:
         watch = watch.format("parquet").option("path", watch_path)
     archive = (
@@ -144,35 +188,62 @@ def start_alert_queries(
     if name_prefix:
         watch = watch.queryName(f"{name_prefix}_watch")
         archive = archive.queryName(f"{name_prefix}_archive")
-    # so a later awaitAnyTermination waits for these queries, not for ones that ended earlier
-    alerts.sparkSession.streams.resetTerminated()
-    return _with_trigger(watch, trigger).start(), _with_trigger(archive, trigger).start()
+    first = _with_trigger(watch, trigger).start()
+    try:
+        return first, _with_trigger(archive, trigger).start()
+    except Exception:
+        first.stop()
+        raise
 
 
-def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
-    """Block until any query ends (or ``timeout`` seconds), then stop them all."""
-    try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
-    finally:
-        for q in queries:
-            if q.isActive:
-                q.stop()
+#: Seconds between two looks at running queries.
+_POLL_SECONDS = 0.2
 
 
-def run_bounded(queries: Sequence[StreamingQuery], timeout: float = 600.0) -> None:
-    """Wait for ``availableNow`` queries to drain their input; raise on failure."""
+def _stop_all(queries: Sequence[StreamingQuery]) -> None:
     for q in queries:
-        finished = q.awaitTermination(timeout)
-        if not finished:
+        if q.isActive:
             q.stop()
-            raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout}s")
-        if q.exception() is not None:
+
+
+def _raise_failure(queries: Sequence[StreamingQuery]) -> None:
+    for q in queries:
+        if not q.isActive and q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
 
 
+def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Block until one of ``queries`` ends (or ``timeout`` seconds, if given),
+    then stop them all; a failure is raised. Other queries of the session play
+    no part."""
+    end = None if timeout is None else time.monotonic() + timeout
+    try:
+        while all(q.isActive for q in queries) and (end is None or time.monotonic() < end):
+            time.sleep(_POLL_SECONDS)
+        _raise_failure(queries)
+    finally:
+        _stop_all(queries)
+
+
+def run_bounded(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait for all ``availableNow`` queries to drain their input.
+
+    There is no time limit unless ``timeout`` (seconds) is given. The first
+    failure is raised at once, whichever query it is; then, as on expiry, all
+    queries are stopped.
+    """
+    end = None if timeout is None else time.monotonic() + timeout
+    try:
+        while any(q.isActive for q in queries):
+            _raise_failure(queries)
+            if end is not None and time.monotonic() >= end:
+                raise TimeoutError(f"streaming queries did not finish in {timeout}s")
+            time.sleep(_POLL_SECONDS)
+        _raise_failure(queries)
+    finally:
+        _stop_all(queries)
+
+
 def start_fused_alert_query(
     alerts: DataFrame,
     archive_path: str,
@@ -180,6 +251,8 @@ def start_fused_alert_query(
     watch_path: str | None = None,
     trigger: dict | None = None,
     region_name: str = DEFAULT_REGION.name,
+    steps: Sequence[tuple[float, str]] = ALERT_STEPS,
+    console_rows: int = 20,
 ) -> StreamingQuery:
     """One query that feeds both outputs from a single read of the source.
 
@@ -187,23 +260,21 @@ def start_fused_alert_query(
     above), persists that slice, and writes the archive and watch tables into
     a folder per batch id with ``overwrite``. A batch replayed after a failure
     rewrites its own folders, so output stays exactly-once without a second
-    source read. With ``watch_path=None`` the watch rows are printed instead.
+    source read. With ``watch_path=None`` the watch rows are printed instead,
+    ``console_rows`` of each micro-batch and the number of the others.
     """
-    watch_cols = [*WATCH_COLUMNS, flag_column(region_name)]
-
     def write_both(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.filter(_above(ALERT_STEPS[1][0])).persist()
+        kept = batch.filter(_above(steps[1][0])).persist()
         try:
-            archive = critical_alerts(kept, region_name)
+            archive = critical_alerts(kept, region_name, steps)
             archive.write.mode("overwrite").parquet(f"{archive_path}/batch_id={batch_id}")
-            watch = kept.select(*watch_cols)
+            watch = kept.select(*_watch_columns(region_name))
             if watch_path is None:
-                watch.show(truncate=False)
+                print_rows(watch, console_rows)
             else:
                 watch.write.mode("overwrite").parquet(f"{watch_path}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
     writer = alerts.writeStream.foreachBatch(write_both).option("checkpointLocation", checkpoint_path)
-    alerts.sparkSession.streams.resetTerminated()
     return _with_trigger(writer, trigger).start()
