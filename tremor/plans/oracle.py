@@ -75,6 +75,33 @@ _LINE_PLACE = "trim(replace(coalesce(place, ''), ',', ' '))"
 _LINE_TIME = "strftime(time, '%Y-%m-%dT%H:%M:%S.%fZ')"
 
 
+# Event lines: the catalog, and for every fiftieth event the messy lines that still hold a magnitude.
+_LINES = f"""lines AS (
+  SELECT time, latitude, longitude, depth, mag, {_LINE_PLACE} AS place, type, region, {_LINE_TIME} AS time_raw FROM quakes
+  UNION ALL
+  SELECT m.* FROM (SELECT event_id FROM events WHERE event_id % 50 = 0) e CROSS JOIN (VALUES
+    (CAST(NULL AS TIMESTAMP), 1.0::DOUBLE, 2.0::DOUBLE, 3.0::DOUBLE, 7.5::DOUBLE, 'Some Place', 'quake', 'Global', 'bad clock'),
+    (TIMESTAMP '2024-02-03 04:05:06', 1.5, 2.5, NULL, 6.5, NULL, NULL, NULL, '2024-02-03T04:05:06Z'),
+    (TIMESTAMP '2024-02-03 04:05:06', 91.0, 181.0, NULL, 5.5, 'A', 'B', 'Pakistan', '2024-02-03 04:05:06'),
+    (NULL, 1.0, 2.0, 3.0, 8.0, 'P', '', '', '')) m)"""
+
+_ODD_PLACE = """CASE event_id % 13 WHEN 0 THEN '5 km "N", ' || place WHEN 1 THEN '  ' || place || '  '
+  WHEN 2 THEN place || chr(10) || 'second line' WHEN 3 THEN '""' || place || '"'
+  WHEN 4 THEN place || chr(13) || chr(10) || ', end' ELSE place END"""
+
+_MESSY = """messy AS (
+  SELECT event_id, time, latitude, longitude, CASE WHEN feed = 0 THEN depth END AS depth, mag, place, type, feed,
+         CASE WHEN feed = 1 THEN event_id % 10 END AS felt FROM feeds
+  UNION ALL
+  SELECT event_id, CASE WHEN event_id % 2 = 1 THEN time END, latitude, longitude, depth, mag, place, type, 2, NULL
+  FROM raw WHERE event_id % 97 = 13),
+messy_merged AS (
+  SELECT event_id, time, latitude, longitude, depth, mag, place, type, felt,
+         CASE WHEN latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77
+              THEN 'Pakistan' ELSE 'Global' END AS region
+  FROM (SELECT *, row_number() OVER (PARTITION BY time, mag ORDER BY feed, event_id) AS rn FROM messy) WHERE rn = 1)"""
+
+
 def _hotspots(where: str = "", order_limit: str = "") -> str:
     return f"""{_BASE}
 SELECT round(latitude, 1) + 0.0 AS lat_grid, round(longitude, 1) + 0.0 AS lon_grid,
@@ -119,10 +146,12 @@ SELECT event_id, {_STREAM_ALERT} AS alert_level, region = 'Pakistan' AS is_pakis
     "assign_region": f"{_BASE} SELECT event_id, region FROM quakes",
     "normalize_catalog": f"""{_BASE}
 SELECT event_id,
-       CASE WHEN event_id % 61 = 3 THEN NULL ELSE time END AS time,
+       CASE WHEN event_id % 61 = 3 OR event_id % 67 IN (4, 5, 6) THEN NULL
+            WHEN event_id % 67 IN (1, 2) THEN time - INTERVAL 5 HOUR
+            WHEN event_id % 67 = 3 THEN time + INTERVAL 5 HOUR ELSE time END AS time,
        latitude, longitude,
        CASE WHEN event_id % 59 = 2 THEN NULL ELSE depth END AS depth,
-       CASE WHEN event_id % 53 = 11 THEN NULL ELSE mag END AS mag,
+       CASE WHEN event_id % 53 BETWEEN 11 AND 15 THEN NULL ELSE mag END AS mag,
        place, region, CAST(NULL AS VARCHAR) AS type
 FROM quakes""",
     "grid_half_up": f"""{_BASE}
@@ -155,7 +184,8 @@ WHERE time >= TIMESTAMP '2024-01-08 00:00:00' AND time <= TIMESTAMP '2024-01-15
     "merge_feeds": f"{_BASE} SELECT * FROM merged",
     "merge_report": f"""{_BASE}
 SELECT count(*) AS total, count(*) FILTER (WHERE region = 'Pakistan') AS pakistan_count,
-       count(*) FILTER (WHERE region = 'Global') AS global_count
+       count(*) FILTER (WHERE region = 'Global') AS global_count,
+       count(*) FILTER (WHERE time IS NULL OR mag IS NULL) AS null_key_count
 FROM merged""",
     "dedupe_full_row": f"""{_BASE}
 SELECT DISTINCT event_id, latitude, longitude, depth, place, type FROM (
@@ -173,18 +203,44 @@ SELECT {_RECORD} FROM (SELECT * FROM quakes ORDER BY {_NEWEST_FIRST} LIMIT 100)"
 SELECT {_LINE_TIME} AS time, latitude, longitude, depth, mag,
        {_LINE_PLACE} AS place, type, region, 8 AS n_fields
 FROM quakes""",
-    "decode_lines": f"""{_BASE}
-SELECT time, latitude, longitude, depth, mag, {_LINE_PLACE} AS place, type, region,
-       {_LINE_TIME} AS time_raw
-FROM quakes WHERE mag IS NOT NULL""",
-    "csv_roundtrip": f"{_BASE} SELECT * FROM quakes",
+    "decode_lines": f"{_BASE}, {_LINES} SELECT * FROM lines WHERE mag IS NOT NULL",
+    "csv_roundtrip": f"{_BASE} SELECT * REPLACE ({_ODD_PLACE} AS place) FROM quakes",
     "catalog_roundtrip": f"{_BASE} SELECT * FROM quakes",
-    "stream_watch_alerts": f"""{_BASE}
-SELECT time, {_LINE_PLACE} AS place, mag, depth, {_STREAM_ALERT} AS alert_level,
-       region = 'Pakistan' AS is_pakistan
-FROM quakes WHERE mag > 5""",
-    "stream_critical_alerts": f"""{_BASE}
-SELECT time, latitude, longitude, depth, mag, {_LINE_PLACE} AS place, type, region,
-       'CRITICAL !!' AS alert_level, region = 'Pakistan' AS is_pakistan, {_LINE_TIME} AS time_raw
-FROM quakes WHERE mag > 6""",
+    "union_messy_feeds": f"{_BASE}, {_MESSY} SELECT * FROM messy",
+    "merge_messy_feeds": f"{_BASE}, {_MESSY} SELECT * FROM messy_merged",
+    "merge_messy_report": f"""{_BASE}, {_MESSY}
+SELECT count(*) AS total, count(*) FILTER (WHERE region = 'Pakistan') AS pakistan_count,
+       count(*) FILTER (WHERE region = 'Global') AS global_count,
+       count(*) FILTER (WHERE time IS NULL OR mag IS NULL) AS null_key_count
+FROM messy_merged""",
+    "build_catalog_from_csv": f"""{_BASE},
+landed AS (
+  SELECT event_id, time, latitude, longitude, depth, mag, {_ODD_PLACE} AS place, type, CAST(NULL AS BIGINT) AS felt, 0 AS feed
+  FROM raw WHERE event_id % 3 <> 0
+  UNION ALL
+  SELECT event_id, time, latitude, longitude, NULL, mag, 'R ' || {_ODD_PLACE}, type, event_id % 10, 1
+  FROM raw WHERE event_id % 3 = 0 OR event_id % 7 = 0),
+read AS (
+  SELECT * REPLACE (CASE WHEN event_id % 61 = 3 THEN NULL ELSE time END AS time,
+                    CASE WHEN event_id % 53 = 11 THEN NULL ELSE mag END AS mag),
+    CASE WHEN event_id % 61 = 3 THEN event_id % 5 END AS bad_time, CASE WHEN event_id % 53 = 11 THEN event_id % 4 END AS bad_mag
+  FROM landed)
+SELECT event_id, time, latitude, longitude, depth, mag, place, type, felt,
+  CASE WHEN latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77 THEN 'Pakistan' ELSE 'Global' END AS region
+FROM (SELECT *, row_number() OVER (PARTITION BY time, bad_time, mag, bad_mag
+        ORDER BY feed, CAST(event_id AS VARCHAR)) AS rn FROM read) WHERE rn = 1""",
+    "catalog_by_date_roundtrip": f"{_BASE} SELECT *, CAST(time AS DATE) AS event_date FROM quakes",
+    "cell_profile_hotspots": _hotspots(),
+    "cell_profile_hotspots_regional": _hotspots("WHERE region = 'Pakistan'"),
+    "stream_watch_alerts": f"""{_BASE}, {_LINES}
+SELECT time, place, mag, depth, {_STREAM_ALERT} AS alert_level, region = 'Pakistan' AS is_pakistan, time_raw
+FROM lines WHERE mag > 5""",
+    "stream_critical_alerts": f"""{_BASE}, {_LINES}
+SELECT time, latitude, longitude, depth, mag, place, type, region,
+       'CRITICAL !!' AS alert_level, region = 'Pakistan' AS is_pakistan, time_raw
+FROM lines WHERE mag > 6""",
 }
+# The jobs' fused tables equal the direct ones.
+ORACLE_SQL |= {fused: ORACLE_SQL[direct] for fused, direct in (
+    ("batch_profile_count", "catalog_count"), ("batch_profile_mag_ranges", "mag_range_counts"),
+    ("batch_profile_regions", "region_counts"), ("batch_profile_regional_stats", "regional_stats"))}

@@ -25,6 +25,7 @@ from tremor.functions.classify import alert_level, mag_range
 from tremor.functions.numeric import grid_snap
 from tremor.functions.time import iso_utc, line_time_text
 from tremor.operators import analytics, grid, merge, regions, views
+from tremor.plans.jobs import build_catalog
 from tremor.session import scratch_path
 from tremor.sinks.writers import write_catalog, write_lines, write_result
 from tremor.sources.catalog import normalize, read_catalog
@@ -48,6 +49,21 @@ TRAILING_DAYS = 7
 # cluster, small enough to bound one batch.
 STREAM_FILES_PER_TRIGGER = 1000
 
+# Zone spellings: the first three are read (five hours ahead, ahead and behind), the others are not.
+ODD_ZONES = (" UTC+05:00", "+5:00", " GMT+5", " Asia/Karachi", "+05:30:00")
+ODD_NUMBERS = ("abc", "5d", "5f", "5D", "0x1p3")
+# Lines as a feed may send them: bad clock, too few fields, empty, junk, too many
+# fields, a number in Java's spelling, empty fields.
+MESSY_LINES = (
+    "bad clock,1.0,2.0,3.0,7.5,Some Place,quake,Global",
+    "2024-02-03T04:05:06Z,1.5,2.5,,6.5",
+    "",
+    "abc,def",
+    "2024-02-03 04:05:06,91,181,x,5.5,A,B,Pakistan,extra,more",
+    "2024-02-03T04:05:06Z,1,2,3,5d,P,T,Global",
+    ",1,2,3,8.0,P,,",
+)
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -115,6 +131,9 @@ def _raw_text_catalog(spark, sf_dir):
     eid = F.col("event_id")
     time_text = (
         F.when(eid % 61 == 3, F.lit("not a time"))
+        .when((eid % 67).between(1, 5), F.concat(F.col("time").cast("string"), F.get(
+            F.array(*map(F.lit, ODD_ZONES)), ((eid % 67) - 1).cast("int"))))
+        .when(eid % 67 == 6, F.lit("T10:00:00Z"))
         .when(eid % 3 == 0, line_time_text(F.col("time")))
         .when(eid % 3 == 1, iso_utc(F.col("time")))
         .otherwise(F.col("time").cast("string"))
@@ -125,7 +144,8 @@ def _raw_text_catalog(spark, sf_dir):
         F.col("latitude").cast("string").alias("latitude"),
         F.col("longitude").cast("string").alias("longitude"),
         F.when(eid % 59 == 2, F.lit("NaN")).otherwise(F.col("depth").cast("string")).alias("depth"),
-        F.when(eid % 53 == 11, F.lit("abc")).otherwise(F.col("mag").cast("string")).alias("mag"),
+        F.when((eid % 53).between(11, 15), F.get(F.array(*map(F.lit, ODD_NUMBERS)), ((eid % 53) - 11).cast("int")))
+        .otherwise(F.col("mag").cast("string")).alias("mag"),
         "place",
         "region",
     )
@@ -205,6 +225,46 @@ def q_merge_report(spark, sf_dir):
     return merge.merge_report(merge.merge_feeds(list(fixture_feeds(spark, sf_dir))))
 
 
+def _messy_feeds(spark, sf_dir):
+    """The two feeds, the second with a column of its own and without depths, and
+    a third of events without a magnitude, half of them without a time too."""
+    first, second = fixture_feeds(spark, sf_dir)
+    raw = raw_quakes(read_events(spark, sf_dir))
+    third = raw.where(F.col("event_id") % 97 == 13).withColumn(
+        "time", F.when(F.col("event_id") % 2 == 1, F.col("time")))
+    return [first, second.drop("depth").withColumn("felt", F.col("event_id") % 10), third]
+
+
+def q_union_messy_feeds(spark, sf_dir):
+    return merge.union_feeds(_messy_feeds(spark, sf_dir))
+
+
+def q_merge_messy_feeds(spark, sf_dir):
+    return merge.merge_feeds(_messy_feeds(spark, sf_dir))
+
+
+def q_merge_messy_report(spark, sf_dir):
+    return merge.merge_report(merge.merge_feeds(_messy_feeds(spark, sf_dir)))
+
+
+def q_build_catalog_from_csv(spark, sf_dir):
+    # Feeds landed as CSV text, then the whole build job.
+    root = scratch_path(spark, "build")
+    eid = F.col("event_id")
+    raw = raw_quakes(read_events(spark, sf_dir)).withColumns({
+        "time": F.when(eid % 61 == 3, F.concat(F.lit("bad clock "), (eid % 5).cast("string"))).otherwise(line_time_text(F.col("time"))),
+        "mag": F.when(eid % 53 == 11, F.concat(F.lit("x"), (eid % 4).cast("string"))).otherwise(F.col("mag").cast("string")),
+        "place": _odd_place(),
+    })
+    second = raw.where((eid % 3 == 0) | (eid % 7 == 0)).drop("depth").withColumns(
+        {"place": F.concat(F.lit("R "), F.col("place")), "felt": eid % 10})
+    write_result(raw.where(eid % 3 != 0), f"{root}/first", fmt="csv")
+    write_result(second, f"{root}/second", fmt="csv")
+    build_catalog(spark, [f"{root}/first", f"{root}/second"], f"{root}/catalog")
+    return spark.read.parquet(f"{root}/catalog").withColumns(
+        {"event_id": eid.try_cast("bigint"), "felt": F.col("felt").try_cast("bigint")})
+
+
 def q_dedupe_full_row(spark, sf_dir):
     # Feeds without either key column: the merge falls back to whole-row dedupe.
     raw = raw_quakes(read_events(spark, sf_dir))
@@ -249,16 +309,31 @@ def q_encode_lines(spark, sf_dir):
     )
 
 
+def _land_lines(spark, sf_dir, path: str) -> None:
+    """The catalog as event lines, and for every fiftieth event a set of messy ones."""
+    write_lines(_catalog(spark, sf_dir), path)
+    some = read_events(spark, sf_dir).where(F.col("event_id") % 50 == 0)
+    some.select(F.explode(F.array(*map(F.lit, MESSY_LINES))).alias("value")).write.mode("append").text(path)
+
+
 def q_decode_lines(spark, sf_dir):
     # Lines at rest, as the stream source sees them: written once, then decoded from text.
     path = scratch_path(spark, "lines")
-    write_lines(_catalog(spark, sf_dir), path)
+    _land_lines(spark, sf_dir, path)
     return decode_lines(spark.read.text(path))
 
 
+def _odd_place():
+    """Places with quotes, doubled quotes, commas, blanks at the ends and line breaks."""
+    eid, place = F.col("event_id"), F.col("place")
+    return (F.when(eid % 13 == 0, F.concat(F.lit('5 km "N", '), place)).when(eid % 13 == 1, F.concat(F.lit("  "), place, F.lit("  ")))
+            .when(eid % 13 == 2, F.concat(place, F.lit("\nsecond line"))).when(eid % 13 == 3, F.concat(F.lit('""'), place, F.lit('"')))
+            .when(eid % 13 == 4, F.concat(place, F.lit("\r\n, end"))).otherwise(place))
+
+
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    write_result(_catalog(spark, sf_dir), path, fmt="csv")
+    write_result(_catalog(spark, sf_dir).withColumn("place", _odd_place()), path, fmt="csv")
     back = read_catalog(spark, path, fmt="csv")
     return back.withColumn("event_id", F.col("event_id").try_cast("bigint"))
 
@@ -269,13 +344,49 @@ def q_catalog_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_catalog_by_date_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "catalog-by-date")
+    write_catalog(_catalog(spark, sf_dir), path, by_date=True)
+    return spark.read.parquet(path)
+
+
+# -- the fused tables of the jobs --------------------------------------------
+
+def _batch_profile(spark, sf_dir, name):
+    return analytics.profile_tables(analytics.range_region_profile(_catalog(spark, sf_dir)))[name]
+
+
+def q_batch_profile_count(spark, sf_dir):
+    return _batch_profile(spark, sf_dir, "catalog_count")
+
+
+def q_batch_profile_mag_ranges(spark, sf_dir):
+    return _batch_profile(spark, sf_dir, "mag_range_counts")
+
+
+def q_batch_profile_regions(spark, sf_dir):
+    return _batch_profile(spark, sf_dir, "region_counts")
+
+
+def q_batch_profile_regional_stats(spark, sf_dir):
+    return _batch_profile(spark, sf_dir, "regional_stats").withColumn("avg_mag", F.round("avg_mag", 6))
+
+
+def q_cell_profile_hotspots(spark, sf_dir):
+    return grid.profile_hotspots(grid.cell_profile(_catalog(spark, sf_dir)))
+
+
+def q_cell_profile_hotspots_regional(spark, sf_dir):
+    return grid.profile_hotspots(grid.cell_profile(_catalog(spark, sf_dir)), regional=True)
+
+
 # -- streaming ---------------------------------------------------------------
 
 def _run_alert_stream(spark, sf_dir) -> tuple[str, str]:
     """Replay the catalog as line files, run both alert queries to completion
     (``availableNow``), return ``(watch_path, archive_path)``."""
     root = scratch_path(spark, "alerts")
-    write_lines(_catalog(spark, sf_dir), f"{root}/lines")
+    _land_lines(spark, sf_dir, f"{root}/lines")
     alerts = alerts_from_lines(line_stream(spark, f"{root}/lines", max_files_per_trigger=STREAM_FILES_PER_TRIGGER))
     queries = start_alert_queries(
         alerts,
@@ -333,6 +444,17 @@ QUERIES: dict[str, QueryFn] = {
     "decode_lines": q_decode_lines,
     "csv_roundtrip": q_csv_roundtrip,
     "catalog_roundtrip": q_catalog_roundtrip,
+    "union_messy_feeds": q_union_messy_feeds,
+    "merge_messy_feeds": q_merge_messy_feeds,
+    "merge_messy_report": q_merge_messy_report,
+    "build_catalog_from_csv": q_build_catalog_from_csv,
+    "catalog_by_date_roundtrip": q_catalog_by_date_roundtrip,
+    "batch_profile_count": q_batch_profile_count,
+    "batch_profile_mag_ranges": q_batch_profile_mag_ranges,
+    "batch_profile_regions": q_batch_profile_regions,
+    "batch_profile_regional_stats": q_batch_profile_regional_stats,
+    "cell_profile_hotspots": q_cell_profile_hotspots,
+    "cell_profile_hotspots_regional": q_cell_profile_hotspots_regional,
     "stream_watch_alerts": q_stream_watch_alerts,
     "stream_critical_alerts": q_stream_critical_alerts,
 }
