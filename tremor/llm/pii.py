@@ -204,8 +204,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .groupBy("b1", "b2").agg(F.collect_set(F.struct(
                    "start", "end", F.lit(len(KINDS)).alias("rank"), F.lit(LEARNED).alias("kind"))).cast(_SPAN).alias("learned")))
     both = F.array_sort(F.concat("spans", F.coalesce("learned", F.array().cast(_SPAN))))
-    return marked.select("doc_id", "b1", "b2", "spans").join(learned, ["b1", "b2"], "left").select(
-        "doc_id", F.col("spans").alias("base"), both.alias("spans"))
+    # Only texts with unlabelled identifier-like tokens can have learned spans; the others are not shuffled.
+    hopeful = (marked.where(F.size("others") > 0).select("doc_id", "b1", "b2", "spans")
+               .join(learned, ["b1", "b2"], "left").select("doc_id", F.col("spans").alias("base"), both.alias("spans")))
+    rest = marked.where(F.size("others") == 0).select("doc_id", F.col("spans").alias("base"), "spans")
+    return rest.unionByName(hopeful)
 
 
 def span_text(spans: Column) -> Column:
