@@ -24,6 +24,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tremor.plans.jobs import workload  # noqa: E402
 from tremor.plans.registry import QUERIES  # noqa: E402
 from tremor.session import build_session, scratch_path  # noqa: E402
@@ -35,6 +37,22 @@ from tremor.sources.fixture import load_catalog  # noqa: E402
 WORKLOAD = ("catalog_count", "mag_range_counts", "region_counts", "top_places", "regional_avg_mag")
 
 
+#: Speed-up on two and four cores that the reference's scaling script derives.
+THEORETICAL_SPEEDUP = {"2": 1.74, "4": 2.76}
+
+
+def write_large(spark, sf_dir: str, rows: int, path: str, tasks: int) -> int:
+    """A catalog of at least ``rows`` rows: every event repeated at later times."""
+    catalog = load_catalog(spark, sf_dir)
+    n = catalog.count()
+    copies = -(-rows // n)
+    large = (catalog.repartition(4 * tasks).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+             .withColumns({"event_id": F.col("event_id") + F.col("copy") * n,
+                           "time": F.timestamp_add("SECOND", F.col("copy"), F.col("time"))}).drop("copy"))
+    write_catalog(large, path)
+    return n * copies
+
+
 def run_once(spark, fn, sf_dir) -> float:
     start = time.perf_counter()
     df = fn(spark, sf_dir)
@@ -68,10 +86,18 @@ def main() -> int:
     stored_csv = scratch_path(spark, "bench-catalog-csv")
     write_result(spark.read.parquet(stored), stored_csv, fmt="csv")
 
+    large_rows = int(os.environ.get("BENCH_LARGE_ROWS", "50000000"))
+    scaling_on = bool(os.environ.get("BENCH_SCALING", "1,2,4"))
+    large = scratch_path(spark, "bench-catalog-large")
+    if scaling_on:
+        large_rows = write_large(spark, sf_dir, large_rows, large, cpus)
+    median_workload(spark, stored, 1)
+
     timings: dict[str, float] = {}
     for name in names:
         fn = QUERIES[name]
-        run_once(spark, fn, sf_dir)  # warm-up
+        for _ in range(2):  # warm-up
+            run_once(spark, fn, sf_dir)
         timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 4)
         print(f"{name}: {timings[name]:.3f}s", file=sys.stderr, flush=True)
 
@@ -84,7 +110,7 @@ def main() -> int:
     print(f"workload on CSV, inferred schema: {csv_inferred:.3f}s; typed in one projection: {csv_typed:.3f}s",
           file=sys.stderr, flush=True)
     spark.stop()
-    scaling = measure_scaling(stored, wruns, conf) if os.environ.get("BENCH_SCALING", "1,2,4") else {}
+    scaling = measure_scaling(large, runs, conf) if scaling_on else {}
 
     match = re.search(r"sf([0-9.]+)$", sf_dir)
     result = {
@@ -100,15 +126,14 @@ def main() -> int:
         "cpus": cpus,
         "runs": runs,
     }
-    result["note"] = (
-        "sf0.1 is 100k catalog rows: each action is ~0.1-0.3 s of fixed per-job overhead and the raw "
-        "tables are single Parquet row groups (one scan task), so core scaling has little to work with"
-    )
     if scaling:
         base = scaling.get("1")
+        result["scaling_rows"] = large_rows
         result["workload_scaling_sec"] = scaling
+        result["workload_rows_per_sec"] = {k: round(large_rows / v) for k, v in scaling.items()}
         if base:
             result["workload_speedup"] = {k: round(base / v, 3) for k, v in scaling.items()}
+            result["theoretical_speedup"] = THEORETICAL_SPEEDUP
     print(json.dumps(result), flush=True)
     return 0
 

@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from tremor.plans.registry import QUERIES  # noqa: E402
 from tremor.session import build_session  # noqa: E402
 
-EAGER = {"csv_roundtrip", "catalog_roundtrip", "decode_lines", "stream_watch_alerts", "stream_critical_alerts"}
+EAGER = {"build_catalog_from_csv", "catalog_by_date_roundtrip", "csv_roundtrip", "catalog_roundtrip", "decode_lines", "stream_watch_alerts", "stream_critical_alerts"}
 
 
 def tree(df) -> str:

@@ -232,6 +232,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY time, bad_time, mag, bad_mag
     "catalog_by_date_roundtrip": f"{_BASE} SELECT *, CAST(time AS DATE) AS event_date FROM quakes",
     "cell_profile_hotspots": _hotspots(),
     "cell_profile_hotspots_regional": _hotspots("WHERE region = 'Pakistan'"),
+    "hotspot_job_global": _hotspots(),
+    "replay_lines": f"""{_BASE}
+SELECT time, latitude, longitude, depth, mag, {_LINE_PLACE} AS place, type, region, {_LINE_TIME} AS time_raw
+FROM quakes WHERE mag IS NOT NULL""",
     "stream_watch_alerts": f"""{_BASE}, {_LINES}
 SELECT time, place, mag, depth, {_STREAM_ALERT} AS alert_level, region = 'Pakistan' AS is_pakistan, time_raw
 FROM lines WHERE mag > 5""",
@@ -243,4 +247,5 @@ FROM lines WHERE mag > 6""",
 # The jobs' fused tables equal the direct ones.
 ORACLE_SQL |= {fused: ORACLE_SQL[direct] for fused, direct in (
     ("batch_profile_count", "catalog_count"), ("batch_profile_mag_ranges", "mag_range_counts"),
-    ("batch_profile_regions", "region_counts"), ("batch_profile_regional_stats", "regional_stats"))}
+    ("batch_profile_regions", "region_counts"), ("batch_profile_regional_stats", "regional_stats"),
+    ("batch_job_top_places", "top_places"))}

@@ -25,7 +25,7 @@ from tremor.functions.classify import alert_level, mag_range
 from tremor.functions.numeric import grid_snap
 from tremor.functions.time import iso_utc, line_time_text
 from tremor.operators import analytics, grid, merge, regions, views
-from tremor.plans.jobs import build_catalog
+from tremor.plans.jobs import build_catalog, replay_catalog, run_batch_analysis, run_hotspots
 from tremor.session import scratch_path
 from tremor.sinks.writers import write_catalog, write_lines, write_result
 from tremor.sources.catalog import normalize, read_catalog
@@ -380,6 +380,32 @@ def q_cell_profile_hotspots_regional(spark, sf_dir):
     return grid.profile_hotspots(grid.cell_profile(_catalog(spark, sf_dir)), regional=True)
 
 
+# -- whole jobs ---------------------------------------------------------------
+
+def _stored_catalog(spark, sf_dir) -> str:
+    path = scratch_path(spark, "job-catalog")
+    write_catalog(_catalog(spark, sf_dir), path)
+    return path
+
+
+def q_batch_job_top_places(spark, sf_dir):
+    out = scratch_path(spark, "batch-job")
+    run_batch_analysis(spark, _stored_catalog(spark, sf_dir), out)
+    return spark.read.parquet(f"{out}/top_places")
+
+
+def q_hotspot_job_global(spark, sf_dir):
+    out = scratch_path(spark, "hotspot-job")
+    run_hotspots(spark, _stored_catalog(spark, sf_dir), out)
+    return spark.read.parquet(f"{out}/global")
+
+
+def q_replay_lines(spark, sf_dir):
+    out = scratch_path(spark, "replay")
+    replay_catalog(spark, _stored_catalog(spark, sf_dir), out)
+    return decode_lines(spark.read.text(out))
+
+
 # -- streaming ---------------------------------------------------------------
 
 def _run_alert_stream(spark, sf_dir) -> tuple[str, str]:
@@ -455,6 +481,9 @@ QUERIES: dict[str, QueryFn] = {
     "batch_profile_regional_stats": q_batch_profile_regional_stats,
     "cell_profile_hotspots": q_cell_profile_hotspots,
     "cell_profile_hotspots_regional": q_cell_profile_hotspots_regional,
+    "batch_job_top_places": q_batch_job_top_places,
+    "hotspot_job_global": q_hotspot_job_global,
+    "replay_lines": q_replay_lines,
     "stream_watch_alerts": q_stream_watch_alerts,
     "stream_critical_alerts": q_stream_critical_alerts,
 }
