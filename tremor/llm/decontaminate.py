@@ -166,3 +166,58 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **
     found = contaminated_texts(docs, benchmark, text_col, **how).select("b1", "b2").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.join(found, (F.xxhash64(text) == found["b1"]) & (F.xxhash64(F.lit(1), text) == found["b2"]), "left_anti")
+
+
+def _sql_forms(table: str, id_col: str) -> str:
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    return f"""SELECT {id_col}, raw, list_transform(raw, lambda t, i: CASE WHEN starts_with(t, chr(2)) THEN '<name>'
+      WHEN t >= '0' AND t < ':' THEN '<number>'
+      WHEN lower(t) IN ({units}) AND i > 1 AND raw[i - 1] >= '0' AND raw[i - 1] < ':' THEN '<unit>' ELSE lower(t) END) AS form
+    FROM (SELECT {id_col}, regexp_extract_all(regexp_replace(replace(coalesce(text, ''), chr(2), ' '),
+        '([\\p{{Ll}},;:] )(\\p{{Lu}}\\p{{Ll}})', '\\1' || chr(2) || '\\2', 'g'),
+        chr(2) || '?\\p{{L}}[\\p{{L}}\\p{{N}}]*|[0-9]+(?:[.,][0-9]+)*|\\p{{N}}+') AS raw FROM {table})"""
+
+
+#: Equivalent result over the given tables (``documents`` with distinct ids).
+ORACLE = f"""
+WITH docs AS ({_sql_forms('documents','doc_id')}),
+items AS (SELECT *, least(len(form), 8) AS length FROM ({_sql_forms('benchmark','item_id')}) WHERE len(raw) > 0),
+targets AS (
+  SELECT item_id, length, q, form[q + 1:q + length] AS w
+  FROM (SELECT *, unnest(range(0, len(form) - length + 1)) AS q FROM items)),
+wanted AS (
+  SELECT * FROM targets
+  WHERE len(list_filter(w, lambda t: t NOT IN ('<number>', '<unit>', '<name>'))) >= least(length, 4)),
+windows AS (
+  SELECT doc_id, pos, form[pos + 1:pos + length] AS w
+  FROM (SELECT doc_id, form, length, unnest(range(0, len(form) - length + 1)) AS pos
+        FROM docs CROSS JOIN (SELECT DISTINCT length FROM wanted) WHERE len(form) >= length)),
+hits AS (SELECT DISTINCT doc_id, item_id, pos - q AS shift FROM windows JOIN wanted USING (w)),
+tokens AS (
+  SELECT h.doc_id, h.item_id, h.shift, i.length, len(i.raw) AS n, k, i.form[k] AS form, lower(i.raw[k]) AS raw,
+    CASE WHEN shift + k >= 1 THEN lower(d.raw[shift + k]) END AS doc_raw,
+    coalesce(shift + k >= 1 AND d.form[shift + k] = i.form[k], false) AS same
+  FROM (SELECT h.*, unnest(range(1, len(i.raw) + 1)) AS k FROM hits h JOIN items i USING (item_id)) h
+  JOIN items i USING (item_id) JOIN docs d ON d.doc_id = h.doc_id),
+framed AS (
+  SELECT *, form IN ('<number>', '<unit>', '<name>') AND same AS slot,
+    bool_and(same) OVER w AND k <= n - length + 1 AS whole,
+    bool_and(same AND raw = doc_raw) OVER w AND k <= n - length + 1 AS literal
+  FROM tokens
+  WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY k ROWS BETWEEN CURRENT ROW AND length - 1 FOLLOWING)),
+checked AS (
+  SELECT doc_id, item_id, shift, any_value(n - length + 1) AS item_windows, count(*) FILTER (whole) AS n_windows,
+    count(*) FILTER (literal) AS n_literal, count(*) FILTER (slot) AS slots,
+    count(*) FILTER (slot AND raw <> doc_raw) AS slots_changed,
+    count(DISTINCT {{'raw': raw, 'doc_raw': doc_raw}}) FILTER (slot) = count(DISTINCT raw) FILTER (slot) AS consistent
+  FROM framed GROUP BY doc_id, item_id, shift),
+held AS (
+  SELECT * FROM checked WHERE 2 * n_literal >= item_windows OR consistent AND 2 * n_windows >= item_windows),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+    ORDER BY n_literal DESC, n_windows DESC, slots DESC, slots_changed DESC, consistent DESC) AS place FROM held)
+SELECT doc_id, item_id, CAST(item_windows AS INTEGER) AS item_windows, CAST(n_literal AS INTEGER) AS n_literal,
+  CAST(n_windows AS INTEGER) AS n_windows, CAST(slots AS INTEGER) AS slots, CAST(slots_changed AS INTEGER) AS slots_changed,
+  consistent
+FROM best WHERE place = 1
+"""

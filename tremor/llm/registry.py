@@ -88,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": url_filter.ORACLE,
     "op5_chat": chat.ORACLE,
+    "op7_decontaminate": decontaminate.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
 }
