@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 HELD_OUT_MODULUS, HELD_OUT_REST = 4, 2
 UNKNOWN = "und"
+SALTS = 64
 SIZES = (2, 3, 4)
 BUCKET_BITS = 15
 _LETTER = re.compile(r"[^\W\d_]")
@@ -169,8 +170,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                        F.col(lang_col).cast("string").alias("lang"))
     usable = base.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     order = F.xxhash64("doc_id", F.lit(seed))
+    # Salted first: a language is spread over tasks, and few documents of each salt go on.
+    salt = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(SALTS))
+    salted = Window.partitionBy("lang", "salt").orderBy(order, "doc_id")
+    thin = (usable.select("doc_id", "lang", salt.alias("salt")).withColumn("n", F.row_number().over(salted))
+            .where(F.col("n") <= max(8, 4 * docs_per_language // SALTS)))
     first = Window.partitionBy("lang").orderBy(order, "doc_id")
-    ids = (usable.select("doc_id", "lang").withColumn("n", F.row_number().over(first))
+    ids = (thin.select("doc_id", "lang").withColumn("n", F.row_number().over(first))
            .where(F.col("n") <= docs_per_language).orderBy("n", "lang").limit(max_docs).select("doc_id", "lang"))
     sample = usable.where(F.col("text").isNotNull()).join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
     sample = sample.dropDuplicates(["doc_id", "lang"])
