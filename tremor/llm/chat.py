@@ -12,9 +12,9 @@ back exactly: ``\\`` is written ``\\s``, ``###`` ``\\h``, ``</turn>`` ``\\t``,
 ``<+>`` ``\\j``, and a line break in a role ``\\n``. An escaped text thus holds no
 control string, and a backslash always starts one of these pairs.
 
-Long conversations are formatted in stretches of ``stretch`` turn numbers, so
-sorting and merging one conversation is spread over tasks; only the finished
-stretches meet in the conversation's row.
+Long conversations are sorted and merged in stretches of ``stretch`` turn
+numbers, which bounds the arrays worked on; the stretches meet in the
+conversation's row, which holds the whole conversation in any case.
 """
 
 from __future__ import annotations
@@ -88,7 +88,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
         F.col(conv_col).alias("conv_id"), F.floor(F.col(turn_col) / stretch).alias("stretch"),
         F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                  F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("row"))
-    parts = rows.groupBy("conv_id", "stretch").agg(F.sort_array(F.collect_list("row")).alias("rows")).select(
+    # One shuffle serves both groupings: stretches of a conversation are formed where it is put together.
+    parts = rows.repartition("conv_id").groupBy("conv_id", "stretch").agg(F.sort_array(F.collect_list("row")).alias("rows")).select(
         "conv_id", F.struct("stretch", _merge_adjacent(F.col("rows")).alias("runs")).alias("part"))
     runs = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts")).select(
         "conv_id", F.flatten(F.transform("parts", lambda p: p["runs"])).alias("runs"))
