@@ -25,8 +25,8 @@ UNITS = ("kg", "g", "mg", "km", "m", "cm", "mm", "l", "ml", "s", "ms", "h", "min
 _NAME_MARK = "\u0002"
 _NAME_START = r"([\p{Ll},;:] )(\p{Lu}\p{Ll})"
 _TOKEN = rf"{_NAME_MARK}?\p{{L}}[\p{{L}}\p{{N}}]*|[0-9]+(?:[.,][0-9]+)*|\p{{N}}+"
-#: Item windows are broadcast up to this many; beyond, both sides are shuffled.
-MAX_BROADCAST_WINDOWS = 1_000_000
+#: Item windows, and texts with matches, are broadcast up to so many; beyond, both sides are shuffled.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def raw_tokens(text: Column) -> Column:
@@ -80,6 +80,11 @@ def item_windows(items: DataFrame, min_words: int) -> DataFrame:
     return at.where(words >= F.least("length", F.lit(min_words))).select("hash", "length", "item_id", "at")
 
 
+def _broadcast_if_small(rows: DataFrame) -> DataFrame:
+    """Counted first: so joins with many equal texts need no shuffle by text while this holds."""
+    return F.broadcast(rows) if rows.count() <= MAX_BROADCAST_ROWS else rows
+
+
 def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.withColumn("_b1", F.xxhash64(text)).withColumn("_b2", F.xxhash64(F.lit(1), text))
@@ -98,8 +103,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     targets = item_windows(items, min_words)
     # One number per distinct length, at most `window` of them.
     lengths = sorted(r["length"] for r in targets.select("length").distinct().collect())
-    if targets.count() <= MAX_BROADCAST_WINDOWS:
-        targets = F.broadcast(targets)
+    targets = _broadcast_if_small(targets)
     texts = _hashed(docs.select(F.col(text_col).cast("string").alias("text")), "text")
     forms = texts.withColumn("raw", raw_tokens(F.col("text"))).withColumn("form", template(F.col("raw")))
     hits = None
@@ -112,7 +116,8 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         hits = texts.limit(0).select("_b1", "_b2", F.lit(None).cast(dict(items.dtypes)["item_id"]).alias("item_id"),
                                      F.lit(0).alias("shift"))
     hits = stored(hits.distinct(), "benchmark-hits")
-    matched = texts.join(hits.select("_b1", "_b2").distinct(), ["_b1", "_b2"], "left_semi").dropDuplicates(["_b1", "_b2"])
+    bodies = _broadcast_if_small(hits.select("_b1", "_b2").distinct())
+    matched = texts.join(bodies, ["_b1", "_b2"], "left_semi").dropDuplicates(["_b1", "_b2"])
     doc = matched.withColumn("raw", raw_tokens(F.col("text"))).withColumn("form", template(F.col("raw"))).select(
         "_b1", "_b2", F.col("raw").alias("doc_raw"), F.col("form").alias("doc_form"))
     near = hits.join(doc, ["_b1", "_b2"])
@@ -155,7 +160,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     match nothing. Whole texts of any length are compared. Empty tables give no
     rows. Other columns are not read.
     """
-    found = contaminated_texts(docs, benchmark, text_col, **how)
+    found = _broadcast_if_small(stored(contaminated_texts(docs, benchmark, text_col, **how), "contaminated"))
     ids = _hashed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text")
     return ids.select("doc_id", F.col("_b1").alias("b1"), F.col("_b2").alias("b2")).join(found, ["b1", "b2"]).drop(
         "b1", "b2")
@@ -163,7 +168,8 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` in whose text no benchmark item is found, columns as they are."""
-    found = contaminated_texts(docs, benchmark, text_col, **how).select("b1", "b2").distinct()
+    found = _broadcast_if_small(stored(
+        contaminated_texts(docs, benchmark, text_col, **how).select("b1", "b2").distinct(), "contaminated"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.join(found, (F.xxhash64(text) == found["b1"]) & (F.xxhash64(F.lit(1), text) == found["b2"]), "left_anti")
 
