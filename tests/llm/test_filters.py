@@ -264,6 +264,18 @@ def test_decontamination_messy(spark, messy):
     assert kept.columns == messy.columns and kept.count() == messy.count() - 5
 
 
+def found_pairs(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return sorted((r.doc_id, r.item_id) for r in decontaminate.find_contaminated(docs, benchmark).collect())
+
+
+def test_decontamination_finds_copies_without_ordinary_words(spark):
+    items = ["What is 17 plus 25?", "Compute 12 + 7 * 30 - 4 + 18 / 6 - 2 ="]
+    texts = [f"Some prose. {items[0]} 42.", f"1. {items[1]} 214", "What is 17 plus 26?", "12 7 30 4 18 6 1 2"]
+    assert found_pairs(spark, texts, items) == [(0, 0), (1, 1)]
+
+
 # --- language ------------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):

@@ -4,9 +4,11 @@ Texts become tokens: runs of letters and digits, and numbers. A template
 replaces each number, unit after a number and name (a capitalised word inside a
 sentence) by a typed placeholder; other words are lower-cased. Windows of
 template tokens of every document meet those of the benchmark items in a hash
-join, so a question whose values were changed still matches. For the few
-documents with matches the windows are compared token by token and the slots are
-checked: one value of the item must always have become the same value.
+join, so a question whose values were changed still matches. Windows of the
+lower-cased tokens as written meet in the same join, whatever they hold, so a
+copy needs no ordinary words. For the few documents with matches the windows are
+compared token by token and the slots are checked: one value of the item must
+always have become the same value.
 
 Spark expressions only.
 """
@@ -50,34 +52,47 @@ def template(tokens: Column) -> Column:
     return F.transform(tokens, of)
 
 
-def _windows(tokens: Column, length) -> Column:
-    """Hash of every window of ``length`` tokens."""
+def written(tokens: Column) -> Column:
+    """Lower-cased tokens without name marks: the same wherever a text stands."""
+    return F.transform(tokens, lambda t: F.lower(F.translate(t, _NAME_MARK, "")))
+
+
+def _windows(tokens: Column, length, *kind: Column) -> Column:
+    """Hash of every window of ``length`` tokens, and of its ``kind``."""
     n = F.size(tokens) - length + 1
     return F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                                      lambda i: F.xxhash64(F.slice(tokens, i, length)))).otherwise(
+                                      lambda i: F.xxhash64(*kind, F.slice(tokens, i, length)))).otherwise(
         F.array().cast("array<bigint>"))
 
 
+def _both_windows(length) -> Column:
+    """Hashes of the windows of ``form``, then of ``plain``: window ``i`` is at ``i`` and ``n + i`` of ``2 n``."""
+    return F.concat(_windows(F.col("form"), length), _windows(F.col("plain"), length, F.lit(1)))
+
+
 def _is_slot(token: Column) -> Column:
     return token.isin(NUMBER, UNIT, NAME)
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                     window: int = 8) -> DataFrame:
-    """``item_id, raw, form, length``: tokens, template and window length; items
-    without a token are left out, shorter ones are one window."""
+    """``item_id, raw, form, plain, length``: tokens, template, tokens as written
+    and window length; items without a token are left out, shorter ones are one window."""
     raw = benchmark.select(F.col(id_col).alias("item_id"), raw_tokens(F.col(text_col)).alias("raw"))
     return raw.where(F.size("raw") > 0).withColumn("form", template(F.col("raw"))).withColumn(
-        "length", F.least(F.size("form"), F.lit(window)))
+        "plain", written(F.col("raw"))).withColumn("length", F.least(F.size("form"), F.lit(window)))
 
 
 def item_windows(items: DataFrame, min_words: int) -> DataFrame:
-    """``hash, length, item_id, at`` of the item windows with at least
-    ``min_words`` ordinary words (or nothing but them, in short items)."""
-    at = items.select("item_id", "form", "length", F.posexplode(_windows(F.col("form"), F.col("length"))).alias(
-        "at", "hash"))
+    """``hash, length, item_id, at`` of all item windows as written, and of the
+    template windows with at least ``min_words`` ordinary words (or nothing but
+    them, in short items)."""
+    n = F.size("form") - F.col("length") + 1
+    at = items.select("item_id", "form", "length", n.alias("n"), F.posexplode(_both_windows(F.col("length"))).alias(
+        "place", "hash")).withColumn("at", F.col("place") % F.col("n"))
     words = F.size(F.filter(F.slice("form", F.col("at") + 1, F.col("length")), lambda t: ~_is_slot(t)))
-    return at.where(words >= F.least("length", F.lit(min_words))).select("hash", "length", "item_id", "at")
+    return at.where((F.col("place") >= F.col("n")) | (words >= F.least("length", F.lit(min_words)))).select(
+        "hash", "length", "item_id", "at")
 
 
 def _broadcast_if_small(rows: DataFrame) -> DataFrame:
@@ -105,12 +120,14 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     lengths = sorted(r["length"] for r in targets.select("length").distinct().collect())
     targets = _broadcast_if_small(targets)
     texts = _hashed(docs.select(F.col(text_col).cast("string").alias("text")), "text")
-    forms = texts.withColumn("raw", raw_tokens(F.col("text"))).withColumn("form", template(F.col("raw")))
+    forms = texts.withColumn("raw", raw_tokens(F.col("text"))).withColumn("form", template(F.col("raw"))).withColumn(
+        "plain", written(F.col("raw")))
     hits = None
     for length in lengths:
-        found = (forms.select("_b1", "_b2", F.posexplode(_windows(F.col("form"), F.lit(length))).alias("pos", "hash"))
+        n = F.size("form") - length + 1
+        found = (forms.select("_b1", "_b2", n.alias("n"), F.posexplode(_both_windows(F.lit(length))).alias("place", "hash"))
                  .join(targets.where(F.col("length") == length), "hash")
-                 .select("_b1", "_b2", "item_id", (F.col("pos") - F.col("at")).alias("shift")))
+                 .select("_b1", "_b2", "item_id", (F.col("place") % F.col("n") - F.col("at")).alias("shift")))
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         hits = texts.limit(0).select("_b1", "_b2", F.lit(None).cast(dict(items.dtypes)["item_id"]).alias("item_id"),
