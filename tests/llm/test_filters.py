@@ -276,6 +276,13 @@ def test_decontamination_finds_copies_without_ordinary_words(spark):
     assert found_pairs(spark, texts, items) == [(0, 0), (1, 1)]
 
 
+def test_decontamination_finds_copies_in_another_setting(spark):
+    items = ["What is the capital of France?", "Then Paul met Ida, and Ida told Paul that the old mill by the river was sold."]
+    texts = [f"Question: {items[0]}", items[0].lower(), f"then {items[1].replace(' Ida', chr(10) + 'Ida')}", items[1].upper(),
+             "What is the capital city of France?"]
+    assert found_pairs(spark, texts, items) == [(0, 0), (1, 0), (2, 1), (3, 1)]
+
+
 # --- language ------------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):

@@ -108,11 +108,13 @@ def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = 8,
                        min_words: int = 4, min_share: float = 0.5) -> DataFrame:
     """Texts that hold an item: ``b1, b2`` (hashes of the text), ``item_id``,
-    ``n_windows`` matched of ``item_windows``, ``n_literal`` of them as written,
-    ``slots``, ``slots_changed``, ``consistent``.
+    ``n_windows`` of ``item_windows`` that match as templates, ``n_literal`` of
+    them as written, ``slots``, ``slots_changed``, ``consistent``.
 
     An item is in a text if along one alignment at least ``min_share`` of its
-    windows match as written, or match as templates with consistent slots.
+    windows match as written (lower-cased tokens, wherever the item stands), or
+    match as templates with consistent slots. ``n_literal`` may be less: it counts
+    windows whose names are also marked alike.
     """
     items = benchmark_items(benchmark, window=window)
     targets = item_windows(items, min_words)
@@ -135,15 +137,16 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     hits = stored(hits.distinct(), "benchmark-hits")
     bodies = _broadcast_if_small(hits.select("_b1", "_b2").distinct())
     matched = texts.join(bodies, ["_b1", "_b2"], "left_semi").dropDuplicates(["_b1", "_b2"])
-    doc = matched.withColumn("raw", raw_tokens(F.col("text"))).withColumn("form", template(F.col("raw"))).select(
-        "_b1", "_b2", F.col("raw").alias("doc_raw"), F.col("form").alias("doc_form"))
+    doc = matched.withColumn("raw", raw_tokens(F.col("text"))).select(
+        "_b1", "_b2", written(F.col("raw")).alias("doc_plain"), template(F.col("raw")).alias("doc_form"))
     near = hits.join(doc, ["_b1", "_b2"])
-    every = F.sequence(F.lit(0), F.size("raw") - 1)
+    every = F.sequence(F.lit(0), F.size("plain") - 1)
     pairs = near.join(items, near["item_id"].eqNullSafe(items["item_id"])).drop(items["item_id"]).select(
-        "_b1", "_b2", "item_id", "length", F.size("raw").alias("n"),
+        "_b1", "_b2", "item_id", "length", F.size("plain").alias("n"),
         F.transform(every, lambda k: F.struct(
-            F.get("form", k).alias("form"), F.get("raw", k).alias("raw"),
-            F.get("doc_raw", F.col("shift") + k).alias("doc_raw"),
+            F.get("form", k).alias("form"), F.get("plain", k).alias("plain"),
+            F.get("doc_plain", F.col("shift") + k).alias("doc_plain"),
+            F.coalesce(F.get("plain", k) == F.get("doc_plain", F.col("shift") + k), F.lit(False)).alias("literal"),
             F.coalesce(F.get("form", k) == F.get("doc_form", F.col("shift") + k), F.lit(False)).alias("same"))).alias("t"))
 
     def whole(test):
@@ -151,17 +154,19 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
             F.slice("t", i, F.col("length")), test)))
 
     slots = F.filter("t", lambda t: t["same"] & _is_slot(t["form"]))
-    values = F.transform("slots", lambda t: F.struct(F.lower(t["raw"]).alias("raw"), F.lower(t["doc_raw"]).alias("doc_raw")))
+    values = F.transform("slots", lambda t: F.struct(t["plain"], t["doc_plain"]))
     checked = pairs.withColumn("slots", slots).select(
         "_b1", "_b2", "item_id", (F.col("n") - F.col("length") + 1).alias("item_windows"),
         whole(lambda t: t["same"]).alias("n_windows"),
-        whole(lambda t: t["same"] & (F.lower(t["raw"]) == F.lower(t["doc_raw"]))).alias("n_literal"),
+        whole(lambda t: t["same"] & t["literal"]).alias("n_literal"),
+        # Where a name is marked depends on what stands before it: what decides is the token as written.
+        whole(lambda t: t["literal"]).alias("as_written"), whole(lambda t: t["same"] | t["literal"]).alias("as_form"),
         F.size("slots").alias("slots"),
-        F.size(F.filter(values, lambda v: v["raw"] != v["doc_raw"])).alias("slots_changed"),
-        (F.size(F.array_distinct(values)) == F.size(F.array_distinct(F.transform(values, lambda v: v["raw"]))))
+        F.size(F.filter(values, lambda v: v["plain"] != v["doc_plain"])).alias("slots_changed"),
+        (F.size(F.array_distinct(values)) == F.size(F.array_distinct(F.transform(values, lambda v: v["plain"]))))
         .alias("consistent"))
     enough = min_share * F.col("item_windows")
-    held = checked.where((F.col("n_literal") >= enough) | (F.col("consistent") & (F.col("n_windows") >= enough)))
+    held = checked.where((F.col("as_written") >= enough) | (F.col("consistent") & (F.col("as_form") >= enough)))
     best = F.max(F.struct("n_literal", "n_windows", "slots", "slots_changed", "consistent")).alias("best")
     return held.groupBy(F.col("_b1").alias("b1"), F.col("_b2").alias("b2"), "item_id", "item_windows").agg(best).select(
         "b1", "b2", "item_id", "item_windows", "best.*")
