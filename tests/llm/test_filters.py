@@ -283,6 +283,27 @@ def test_decontamination_finds_copies_in_another_setting(spark):
     assert found_pairs(spark, texts, items) == [(0, 0), (1, 0), (2, 1), (3, 1)]
 
 
+def test_decontamination_adds_the_windows_of_all_alignments(spark):
+    def words(n, letter):
+        return [f"{letter}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)]
+
+    long, short, longest, other = words(40, "q"), words(20, "z"), words(120, "k"), words(40, "v")
+    items = [" ".join(x) for x in (long, short, longest)]
+    texts = [*(" ".join([*long[:k], "extra", *long[k:]]) for k in (17, 20, 23)), " ".join([*long[:20], *long[21:]]),
+             " ".join([*short[:10], "instead", *short[11:]]), " ".join([*other, *longest[50:63], *other]),
+             " ".join([*other, *longest[50:62], *other]), " ".join([*short[:10], *other]),
+             " ".join([*long[:12], *other, *long[12:20]])]
+    assert found_pairs(spark, texts, items) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 2)]
+
+
+def test_decontamination_adds_templates_over_alignments(spark):
+    item = ("If Anna has 5 apples and gives her brother 3 of them in the old garden behind the mill before the rain comes, "
+            "how many apples does Anna keep for the 9 guests who sit at the long table?")
+    changed = item.replace("Anna", "Mary").replace("5", "7").replace("3", "4").replace("9", "6")
+    split = changed.replace("garden", "little garden").replace("apples does", "red apples does")
+    assert found_pairs(spark, [changed, split, split.replace("before the rain comes", "")], [item]) == [(0, 0), (1, 0), (2, 0)]
+
+
 # --- language ------------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):

@@ -29,6 +29,8 @@ _NAME_START = r"([\p{Ll},;:] )(\p{Lu}\p{Ll})"
 _TOKEN = rf"{_NAME_MARK}?\p{{L}}[\p{{L}}\p{{N}}]*|[0-9]+(?:[.,][0-9]+)*|\p{{N}}+"
 #: Item windows, and texts with matches, are broadcast up to so many; beyond, both sides are shuffled.
 MAX_BROADCAST_ROWS = 1_000_000
+#: So many tokens of an item in a row, as written, count by themselves.
+LONG_RUN = 13
 
 
 def raw_tokens(text: Column) -> Column:
@@ -106,14 +108,19 @@ def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = 8,
-                       min_words: int = 4, min_share: float = 0.5) -> DataFrame:
+                       min_words: int = 4, min_share: float = 0.5, long_run: int = LONG_RUN) -> DataFrame:
     """Texts that hold an item: ``b1, b2`` (hashes of the text), ``item_id``,
     ``n_windows`` of ``item_windows`` that match as templates, ``n_literal`` of
     them as written, ``slots``, ``slots_changed``, ``consistent``.
 
-    An item is in a text if along one alignment at least ``min_share`` of its
-    windows match as written (lower-cased tokens, wherever the item stands), or
-    match as templates with consistent slots. ``n_literal`` may be less: it counts
+    An item is in a text if at least ``min_share`` of its windows, or windows that
+    cover more than that share of its tokens, match as written (lower-cased tokens,
+    wherever the item stands), or match as written or as templates along
+    alignments with consistent slots; or if ``long_run`` tokens in a row (no fewer
+    than ``window``) match as written. Windows of all alignments are added, so
+    words put in, left out or replaced only cost the windows they touch.
+
+    The counts returned are those of the best alignment. ``n_literal`` counts
     windows whose names are also marked alike.
     """
     items = benchmark_items(benchmark, window=window)
@@ -142,34 +149,53 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     near = hits.join(doc, ["_b1", "_b2"])
     every = F.sequence(F.lit(0), F.size("plain") - 1)
     pairs = near.join(items, near["item_id"].eqNullSafe(items["item_id"])).drop(items["item_id"]).select(
-        "_b1", "_b2", "item_id", "length", F.size("plain").alias("n"),
+        "_b1", "_b2", "item_id", F.xxhash64("raw").alias("item"), "length", F.size("plain").alias("n"),
         F.transform(every, lambda k: F.struct(
             F.get("form", k).alias("form"), F.get("plain", k).alias("plain"),
             F.get("doc_plain", F.col("shift") + k).alias("doc_plain"),
             F.coalesce(F.get("plain", k) == F.get("doc_plain", F.col("shift") + k), F.lit(False)).alias("literal"),
             F.coalesce(F.get("form", k) == F.get("doc_form", F.col("shift") + k), F.lit(False)).alias("same"))).alias("t"))
 
+    last = F.col("n") - F.col("length") + 1
+
     def whole(test):
-        return F.size(F.filter(F.sequence(F.lit(1), F.col("n") - F.col("length") + 1), lambda i: F.forall(
-            F.slice("t", i, F.col("length")), test)))
+        return F.filter(F.sequence(F.lit(1), last), lambda i: F.forall(F.slice("t", i, F.col("length")), test))
 
     slots = F.filter("t", lambda t: t["same"] & _is_slot(t["form"]))
     values = F.transform("slots", lambda t: F.struct(t["plain"], t["doc_plain"]))
     checked = pairs.withColumn("slots", slots).select(
-        "_b1", "_b2", "item_id", (F.col("n") - F.col("length") + 1).alias("item_windows"),
-        whole(lambda t: t["same"]).alias("n_windows"),
-        whole(lambda t: t["same"] & t["literal"]).alias("n_literal"),
+        "_b1", "_b2", "item_id", "item", "n", "length", last.alias("item_windows"),
+        F.size(whole(lambda t: t["same"])).alias("n_windows"),
+        F.size(whole(lambda t: t["same"] & t["literal"])).alias("n_literal"),
         # Where a name is marked depends on what stands before it: what decides is the token as written.
         whole(lambda t: t["literal"]).alias("as_written"), whole(lambda t: t["same"] | t["literal"]).alias("as_form"),
         F.size("slots").alias("slots"),
         F.size(F.filter(values, lambda v: v["plain"] != v["doc_plain"])).alias("slots_changed"),
         (F.size(F.array_distinct(values)) == F.size(F.array_distinct(F.transform(values, lambda v: v["plain"]))))
         .alias("consistent"))
-    enough = min_share * F.col("item_windows")
-    held = checked.where((F.col("as_written") >= enough) | (F.col("consistent") & (F.col("as_form") >= enough)))
-    best = F.max(F.struct("n_literal", "n_windows", "slots", "slots_changed", "consistent")).alias("best")
-    return held.groupBy(F.col("_b1").alias("b1"), F.col("_b2").alias("b2"), "item_id", "item_windows").agg(best).select(
-        "b1", "b2", "item_id", "item_windows", "best.*")
+    # Windows in a row from one to one so much later: that many tokens in a row.
+    ahead = F.greatest(F.lit(long_run) - F.col("length"), F.lit(0))
+    run = F.exists(F.transform("as_written", lambda at, i: F.coalesce(
+        F.get("as_written", i + ahead) - at == ahead, F.lit(False))), lambda long: long)
+    checked = checked.withColumn("long", run & (F.lit(long_run) <= F.col("n"))).withColumn(
+        "as_form", F.when(F.col("consistent"), F.col("as_form")).otherwise(F.col("as_written")))
+    # The alignment that counts most by itself is the best.
+    alone = F.greatest(F.size("as_written"), F.size("as_form")) >= min_share * F.col("item_windows")
+    added = checked.groupBy("_b1", "_b2", "item_id", "item", "n", "length", "item_windows").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("as_written")))).alias("as_written"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("as_form")))).alias("as_form"),
+        F.max("long").alias("long"),
+        F.max(F.struct(alone.alias("alone"), "n_literal", "n_windows", "slots", "slots_changed", "consistent")).alias("best"))
+
+    def enough(places):
+        covered = F.aggregate(F.transform(places, lambda at, i: F.least(F.col("length"), F.get(places, i + 1) - at)),
+                              F.lit(0), lambda a, b: a + b)
+        return (F.size(places) >= min_share * F.col("item_windows")) | (covered > min_share * F.col("n"))
+
+    held = added.where(F.col("long") | enough(F.col("as_written")) | enough(F.col("as_form")))
+    return held.groupBy(F.col("_b1").alias("b1"), F.col("_b2").alias("b2"), "item_id", "item_windows").agg(
+        F.max("best").alias("best")).select("b1", "b2", "item_id", "item_windows", "best.n_literal", "best.n_windows",
+                                            "best.slots", "best.slots_changed", "best.consistent")
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
