@@ -59,19 +59,16 @@ def written(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.lower(F.translate(t, _NAME_MARK, "")))
 
 
-def _windows(tokens: Column, length, *kind: Column) -> Column:
-    """Hash of every window of ``length`` tokens, and of its ``kind``."""
-    n = F.size(tokens) - length + 1
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                                      lambda i: F.xxhash64(*kind, F.slice(tokens, i, length)))).otherwise(
+def _windows(length) -> Column:
+    """Hashes of every window of ``length`` tokens, as template and as written in
+    turn: those of window ``i`` are at ``2 i`` and ``2 i + 1``. Nothing else of
+    the row is needed to read them, so no token is carried along with each."""
+    n = F.size("form") - length + 1
+    return F.when(n >= 1, F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array(
+        F.xxhash64(F.slice("form", i, length)), F.xxhash64(F.lit(1), F.slice("plain", i, length)))))).otherwise(
         F.array().cast("array<bigint>"))
 
 
-def _both_windows(length) -> Column:
-    """Hashes of the windows of ``form``, then of ``plain``: window ``i`` is at ``i`` and ``n + i`` of ``2 n``."""
-    return F.concat(_windows(F.col("form"), length), _windows(F.col("plain"), length, F.lit(1)))
-
-
 def _is_slot(token: Column) -> Column:
     return token.isin(NUMBER, UNIT, NAME)
 
@@ -89,11 +86,10 @@ def item_windows(items: DataFrame, min_words: int) -> DataFrame:
     """``hash, length, item_id, at`` of all item windows as written, and of the
     template windows with at least ``min_words`` ordinary words (or nothing but
     them, in short items)."""
-    n = F.size("form") - F.col("length") + 1
-    at = items.select("item_id", "form", "length", n.alias("n"), F.posexplode(_both_windows(F.col("length"))).alias(
-        "place", "hash")).withColumn("at", F.col("place") % F.col("n"))
+    at = items.select("item_id", "form", "length", F.posexplode(_windows(F.col("length"))).alias("place", "hash"))
+    at = at.withColumn("at", F.shiftright("place", 1))
     words = F.size(F.filter(F.slice("form", F.col("at") + 1, F.col("length")), lambda t: ~_is_slot(t)))
-    return at.where((F.col("place") >= F.col("n")) | (words >= F.least("length", F.lit(min_words)))).select(
+    return at.where((F.col("place") % 2 == 1) | (words >= F.least("length", F.lit(min_words)))).select(
         "hash", "length", "item_id", "at")
 
 
@@ -133,10 +129,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         "plain", written(F.col("raw")))
     hits = None
     for length in lengths:
-        n = F.size("form") - length + 1
-        found = (forms.select("_b1", "_b2", n.alias("n"), F.posexplode(_both_windows(F.lit(length))).alias("place", "hash"))
+        found = (forms.select("_b1", "_b2", F.posexplode(_windows(F.lit(length))).alias("place", "hash"))
                  .join(targets.where(F.col("length") == length), "hash")
-                 .select("_b1", "_b2", "item_id", (F.col("place") % F.col("n") - F.col("at")).alias("shift")))
+                 .select("_b1", "_b2", "item_id", (F.shiftright("place", 1) - F.col("at")).alias("shift")))
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         hits = texts.limit(0).select("_b1", "_b2", F.lit(None).cast(dict(items.dtypes)["item_id"]).alias("item_id"),
