@@ -182,6 +182,13 @@ def test_base_spans_by_hand(spark):
                 dict(rows))
 
 
+def test_base_spans_of_one_start_go_by_kind(spark):
+    rows = [(0, "+15551234567@sms.example.com"), (1, "1.2.3.4@example.com")]
+    found = check_spans(pii.span_digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))),
+                        dict(rows))
+    assert {r.doc_id: r.spans.split(",")[0] for r in found} == {0: "email:0:28", 1: "email:0:19"}
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aB.@-_+ ()0123456789é%\n"), max_size=60), min_size=20, max_size=40))
 def test_base_spans_at_random(spark, texts):

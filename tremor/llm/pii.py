@@ -24,7 +24,7 @@ KINDS = ("email", "ip", "card", "phone")
 LEARNED = "id"
 _MARK, _NOT_MARK = "\u0002", "\u0003"
 _PART = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_SPAN = "array<struct<start:int,end:int,rank:int,kind:string>>"
+_SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 _FOUND = "array<struct<start:int,end:int,value:string,left2:string,left1:string,right1:string>>"
 _CHUNK = 64
 _CONTEXT_CHARS = 80
@@ -142,7 +142,7 @@ def _valid_of(kind: str):
 
 
 def _span_of(rank: int, kind: str):
-    return lambda found: F.struct(found["start"].alias("start"), found["end"].alias("end"), F.lit(rank).alias("rank"),
+    return lambda found: F.struct(found["start"].alias("start"), F.lit(rank).alias("rank"), found["end"].alias("end"),
                                   F.lit(kind).alias("kind"))
 
 
@@ -185,7 +185,7 @@ def score_patterns(marked: DataFrame, rounds: int = 3, min_seeds: int = 5, smoot
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
                        min_seeds: int = 5, confident: float = 0.9) -> DataFrame:
-    """Per row: ``doc_id, base`` and ``spans``, arrays of ``(start, end, rank, kind)``
+    """Per row: ``doc_id, base`` and ``spans``, arrays of ``(start, rank, end, kind)``
     in code points, end exclusive, sorted by start, then kind.
 
     ``base`` are the pattern matches that pass their check; ``spans`` also holds
@@ -202,7 +202,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "b1", "b2", "f.start", "f.end", F.lower("f.value").alias("instance"), F.explode(_patterns(F.col("f"))).alias("pattern"))
     learned = (open_tokens.join(instances, "instance", "left_semi").join(patterns, "pattern", "left_semi")
                .groupBy("b1", "b2").agg(F.collect_set(F.struct(
-                   "start", "end", F.lit(len(KINDS)).alias("rank"), F.lit(LEARNED).alias("kind"))).cast(_SPAN).alias("learned")))
+                   "start", F.lit(len(KINDS)).alias("rank"), "end", F.lit(LEARNED).alias("kind"))).cast(_SPAN).alias("learned")))
     both = F.array_sort(F.concat("spans", F.coalesce("learned", F.array().cast(_SPAN))))
     # Only texts with unlabelled identifier-like tokens can have learned spans; the others are not shuffled.
     hopeful = (marked.where(F.size("others") > 0).select("doc_id", "b1", "b2", "spans")
