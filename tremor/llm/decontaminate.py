@@ -59,13 +59,23 @@ def written(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.lower(F.translate(t, _NAME_MARK, "")))
 
 
+def _token_hashes(tokenised: DataFrame) -> DataFrame:
+    return tokenised.withColumn("form_hashes", F.transform("form", lambda t: F.xxhash64(t))).withColumn(
+        "plain_hashes", F.transform("plain", lambda t: F.xxhash64(t)))
+
+
 def _windows(length) -> Column:
     """Hashes of every window of ``length`` tokens, as template and as written in
     turn: those of window ``i`` are at ``2 i`` and ``2 i + 1``. Nothing else of
     the row is needed to read them, so no token is carried along with each."""
-    n = F.size("form") - length + 1
+    n = F.size("form_hashes") - length + 1
+
+    def window(tokens, i):
+        # Hashing values one after another equals hashing their array, and is faster.
+        return [F.get(tokens, i - 1 + k) for k in range(length)] if isinstance(length, int) else [F.slice(tokens, i, length)]
+
     return F.when(n >= 1, F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array(
-        F.xxhash64(F.slice("form", i, length)), F.xxhash64(F.lit(1), F.slice("plain", i, length)))))).otherwise(
+        F.xxhash64(*window("form_hashes", i)), F.xxhash64(F.lit(1), *window("plain_hashes", i)))))).otherwise(
         F.array().cast("array<bigint>"))
 
 
@@ -86,7 +96,7 @@ def item_windows(items: DataFrame, min_words: int) -> DataFrame:
     """``hash, length, item_id, at`` of all item windows as written, and of the
     template windows with at least ``min_words`` ordinary words (or nothing but
     them, in short items)."""
-    at = items.select("item_id", "form", "length", F.posexplode(_windows(F.col("length"))).alias("place", "hash"))
+    at = _token_hashes(items).select("item_id", "form", "length", F.posexplode(_windows(F.col("length"))).alias("place", "hash"))
     at = at.withColumn("at", F.shiftright("place", 1))
     words = F.size(F.filter(F.slice("form", F.col("at") + 1, F.col("length")), lambda t: ~_is_slot(t)))
     return at.where((F.col("place") % 2 == 1) | (words >= F.least("length", F.lit(min_words)))).select(
@@ -127,9 +137,10 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     texts = _hashed(docs.select(F.col(text_col).cast("string").alias("text")), "text")
     forms = texts.withColumn("raw", raw_tokens(F.col("text"))).withColumn("form", template(F.col("raw"))).withColumn(
         "plain", written(F.col("raw")))
+    forms = _token_hashes(forms)
     hits = None
     for length in lengths:
-        found = (forms.select("_b1", "_b2", F.posexplode(_windows(F.lit(length))).alias("place", "hash"))
+        found = (forms.select("_b1", "_b2", F.posexplode(_windows(length)).alias("place", "hash"))
                  .join(targets.where(F.col("length") == length), "hash")
                  .select("_b1", "_b2", "item_id", (F.shiftright("place", 1) - F.col("at")).alias("shift")))
         hits = found if hits is None else hits.unionByName(found)
