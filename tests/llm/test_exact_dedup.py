@@ -1,0 +1,120 @@
+"""Exact dedup by chunk recipes (12), against brute force."""
+
+from __future__ import annotations
+
+import contextlib
+import hashlib
+import io
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tremor.llm import exact_dedup, registry
+
+FOLD = {c: c + 32 for c in range(65, 91)}
+
+
+def folded(text):
+    return (text or "").translate(FOLD)
+
+
+def check(rows, got):
+    """``got`` must hold one row per row of ``(id, text)``, and keep one of each class."""
+    classes = defaultdict(list)
+    for doc_id, text in rows:
+        classes[folded(text)].append(doc_id)
+    expected = []
+    for text, ids in classes.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        expected += [(str(i), str(keep), len(ids), digest) for i in ids]
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.text_sha256) for r in got) == sorted(expected)
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len(classes) == len({r.text_sha256 for r in kept})
+    assert all(r.doc_id == r.keep_id for r in kept)
+
+
+def rows_of(rng, n):
+    sentences = [f"Sentence Number {i} says {'so ' * (i % 9)}very much." for i in range(12)]
+    rows = []
+    for i in rng.permutation(n):
+        text = " ".join(rng.choice(sentences, rng.integers(0, 30)))
+        text = text.upper() if rng.random() < 0.2 else text
+        rows.append((int(i), text))
+        if rng.random() < 0.5:
+            rows.append((int(i) + n, text.swapcase() if rng.random() < 0.5 else text))
+        if rng.random() < 0.3:
+            rows.append((int(i) + 2 * n, text + "é" if rng.random() < 0.5 else text.replace("9", "8")))
+    return rows
+
+
+@pytest.mark.parametrize("bits", [64, 3, 0])
+def test_classes_whatever_the_chunk_hash(spark, bits):
+    """With three bits, or none, most contents share a hash: verification tells them apart."""
+    rows = rows_of(np.random.default_rng(bits), 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = exact_dedup.exact_classes(docs, min_chunk=40, max_chunk=200,
+                                    chunk_hash=lambda c: F.xxhash64(c) if bits == 64 else F.pmod(F.xxhash64(c), F.lit(1 << bits)))
+    check(rows, got.collect())
+
+
+@pytest.mark.parametrize("bits", [64, 2])
+def test_dictionary_and_recipes_give_the_texts_back(spark, bits):
+    rows = rows_of(np.random.default_rng(7), 40) + [(900, None), (901, ""), (902, "日本語。" * 300), (903, "x" * 9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = exact_dedup.Recipes(docs, chunk_hash=lambda c: F.xxhash64(c) if bits == 64 else F.pmod(F.xxhash64(c), F.lit(4)))
+    held = made.dictionary().collect()
+    book = {(r.h, r.k): r.chunk for r in held}
+    assert len(book) == len(held) == len({r.chunk for r in held})
+    assert all(len(r.chunk) <= exact_dedup.MAX_CHUNK + 2 for r in held)
+    texts = {r.doc_id: "".join(book[(s.h, s.k)] for s in r.recipe) for r in made.recipes().collect()}
+    assert texts == {i: folded(t) for i, t in rows}
+    used = defaultdict(int)
+    for r in made.recipes().collect():
+        for s in r.recipe:
+            used[(s.h, s.k)] += 1
+    assert used == {(r.h, r.k): r.copies for r in held}
+
+
+def test_an_edit_changes_few_chunks(spark):
+    rng = np.random.default_rng(3)
+    words = "the apple eats is so tall at every inn but no more Red dogs come out".split()
+    text = " ".join(" ".join(rng.choice(words, rng.integers(3, 14))).capitalize() + "." for _ in range(600))
+    edited = text[:9000] + " A few more words. " + text[9000:]
+    docs = spark.createDataFrame([(1, text), (2, edited)], "doc_id long, text string")
+    one, two = ({(s.h, s.k) for s in r.recipe} for r in exact_dedup.Recipes(docs).recipes().orderBy("doc_id").collect())
+    assert len(one) > 40 and len(two - one) <= 20
+
+
+def test_fold_lowers_nothing_but_a_to_z(spark):
+    texts = ["ABC xyz", "ÀÉ ABC ß", "İSTANBUL ΣΑΣ", "Ⅷ Ⓐ Ǆ K", ""]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(exact_dedup.fold(F.col("t"))).collect()]
+    assert got == [folded(t) for t in texts]
+
+
+def test_messy(spark, messy):
+    rows = [(r.doc_id, r.text) for r in messy.collect()]
+    check(rows, exact_dedup.exact_classes(messy).collect())
+    assert exact_dedup.exact_classes(messy.limit(0)).collect() == []
+
+
+def test_a_third_of_all_rows_is_one_class_over_many_tasks(spark):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "Copied text.")
+                                    .otherwise(F.concat(F.lit("own "), F.col("id").cast("string"))).alias("text"))
+    got = exact_dedup.exact_classes(docs)
+    assert got.where("kept").count() == 6001
+    sizes = got.where("group_size > 1").agg(F.min("group_size"), F.max("keep_id"), F.count("*")).first()
+    assert tuple(sizes) == (3000, 8997, 3000)
+    spread = got.where("group_size > 1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) == 1 or max(r["count"] for r in spread) < 1500
+
+
+def test_native_and_texts_do_not_follow_the_recipes(spark):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        registry.op12_exact_dedup(spark, "/root/testdata/sf0.001").explain("formatted")
+    text = out.getvalue()
+    assert not any(word in text for word in ("Python", "Pandas", "MapInArrow", "CartesianProduct", "NestedLoop"))
+    assert "chunks" not in text and "documents.parquet" not in text

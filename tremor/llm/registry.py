@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import chat, decontaminate, langid, line_dedup, packing, pii, quality, simhash, token_files, url_filter
+from tremor.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    langid,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_files,
+    url_filter,
+)
 from tremor.llm.common import table
 from tremor.session import scratch_path
 
@@ -72,6 +84,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
@@ -83,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -90,4 +107,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat": chat.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
+    "op12_exact_dedup": exact_dedup.ORACLE,
 }
