@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tremor.llm import (
     chat,
     decontaminate,
+    divergence,
     exact_dedup,
     langid,
     line_dedup,
@@ -84,6 +85,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op11_divergence": op11_divergence,
     "op12_exact_dedup": op12_exact_dedup,
 }
 
@@ -107,5 +113,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat": chat.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
+    "op11_divergence": divergence.ORACLE,
     "op12_exact_dedup": exact_dedup.ORACLE,
 }
