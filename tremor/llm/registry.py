@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm import (
     chat,
+    collocations,
     decontaminate,
     divergence,
     exact_dedup,
@@ -93,6 +94,10 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_divergence": op11_divergence,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -115,4 +121,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": line_dedup.ORACLE,
     "op11_divergence": divergence.ORACLE,
     "op12_exact_dedup": exact_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
