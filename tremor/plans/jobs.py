@@ -57,12 +57,13 @@ def build_catalog(
     fmt: str = "csv",
     labels: Sequence[str] | None = None,
     by_date: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """Landed feeds (first = highest priority) → merged, region-tagged catalog
-    laid out by region (and by UTC date with ``by_date``). Returns the one-row
-    report (total and per-region)."""
+    """Landed feeds (files, folders or globs; first = highest priority) → merged,
+    region-tagged catalog laid out by region (and by UTC date with ``by_date``).
+    Returns the one-row report (total and per-region)."""
     labels = list(labels or [f"feed{i}" for i in range(len(feed_paths))])
-    feeds = [read_feed(spark, p, label, fmt=fmt) for p, label in zip(feed_paths, labels)]
+    feeds = [read_feed(spark, p, label, fmt=fmt, multi_line=multi_line) for p, label in zip(feed_paths, labels)]
     write_catalog(merge.merge_feeds(feeds), out_path, by_date=by_date)
     return merge.merge_report(spark.read.parquet(out_path))
 
@@ -98,7 +99,8 @@ def _windowed(catalog: DataFrame, days: int | None, as_of: dt.date | None) -> Da
 
 def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fmt: str = "parquet",
                        catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name,
-                       days: int | None = None, as_of: dt.date | None = None) -> int:
+                       days: int | None = None, as_of: dt.date | None = None,
+                       multi_line: bool | None = None) -> int:
     """Count plus four analyses, each written once. Returns the row count.
 
     Two passes over the catalog instead of five: one aggregate over
@@ -106,7 +108,7 @@ def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fm
     range and region counts and the regional statistics; the places top-k is
     the second pass, over ``place`` only.
     """
-    catalog = _windowed(read_catalog(spark, catalog_path, fmt=catalog_fmt), days, as_of)
+    catalog = _windowed(read_catalog(spark, catalog_path, fmt=catalog_fmt, multi_line=multi_line), days, as_of)
     profile = reliable_checkpoint(analytics.range_region_profile(catalog))
     tables = analytics.profile_tables(profile, region)
     total = tables["catalog_count"].first()["count"]
@@ -125,7 +127,8 @@ def run_batch_analysis(spark: SparkSession, catalog_path: str, out_base: str, fm
 
 def run_hotspots(spark: SparkSession, catalog_path: str, out_base: str, fmt: str = "parquet",
                  catalog_fmt: str = "parquet", region: str = DEFAULT_REGION.name,
-                 days: int | None = None, as_of: dt.date | None = None) -> dict[str, list]:
+                 days: int | None = None, as_of: dt.date | None = None,
+                 multi_line: bool | None = None) -> dict[str, list]:
     """Global and regional hotspot tables (written unsorted), plus the top
     cells of each for the log.
 
@@ -133,7 +136,7 @@ def run_hotspots(spark: SparkSession, catalog_path: str, out_base: str, fmt: str
     and the regional count per cell; it is bounded by the grid size and
     checkpointed, and both tables and their previews are read from it.
     """
-    catalog = _windowed(read_catalog(spark, catalog_path, fmt=catalog_fmt), days, as_of)
+    catalog = _windowed(read_catalog(spark, catalog_path, fmt=catalog_fmt, multi_line=multi_line), days, as_of)
     profile = reliable_checkpoint(grid.cell_profile(catalog, region))
     outputs = {
         "global": (grid.profile_hotspots(profile), HOTSPOTS_PREVIEW_N),
@@ -195,9 +198,10 @@ def run_alert_stream(
         await_any(spark, queries, timeout)
 
 
-def replay_catalog(spark: SparkSession, catalog_path: str, lines_path: str, catalog_fmt: str = "parquet") -> None:
+def replay_catalog(spark: SparkSession, catalog_path: str, lines_path: str, catalog_fmt: str = "parquet",
+                   multi_line: bool | None = None) -> None:
     """Write a stored catalog as event-line files for the alert stream."""
-    write_lines(read_catalog(spark, catalog_path, fmt=catalog_fmt), lines_path)
+    write_lines(read_catalog(spark, catalog_path, fmt=catalog_fmt, multi_line=multi_line), lines_path)
 
 
 # -- endpoint views ------------------------------------------------------------------
@@ -216,10 +220,10 @@ def endpoint_views(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dic
 
 
 def export_views(spark: SparkSession, catalog_path: str, out_base: str, catalog_fmt: str = "parquet",
-                 region: str = DEFAULT_REGION.name) -> None:
+                 region: str = DEFAULT_REGION.name, multi_line: bool | None = None) -> None:
     """Write each endpoint view as JSON lines under ``out_base/<name>`` so the
     payloads can be served as static files instead of recomputed per request."""
-    catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt)
+    catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt, multi_line=multi_line)
     for name, df in endpoint_views(catalog, region).items():
         df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{out_base}/{name}")
 
@@ -240,6 +244,10 @@ def workload(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict[str,
 
 # -- command line ---------------------------------------------------------------------
 
+#: Command-line spelling → ``multi_line`` of the readers.
+MULTI_LINE = {"auto": None, "always": True, "never": False}
+
+
 def _date(text: str | None) -> dt.date | None:
     return dt.date.fromisoformat(text) if text else None
 
@@ -249,6 +257,9 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="instead of the number derived from the input's size")
+    p.add_argument("--multi-line", choices=list(MULTI_LINE), default="auto",
+                   help="quoted line breaks in CSV: auto (split files, join records that cross lines), "
+                        "always (one task per file), never (fail on them)")
     sub = p.add_subparsers(dest="job", required=True)
 
     b = sub.add_parser("build-catalog", help="merge landed feeds (or feeds sliced from an archive) into the catalog")
@@ -302,6 +313,7 @@ def main(argv: Sequence[str] | None = None) -> int:
                    help="e.g. startingOffsets=earliest, maxOffsetsPerTrigger=1000000")
 
     args = p.parse_args(argv)
+    lines = MULTI_LINE[args.multi_line]
     spark = build_session(args.master, app_name=f"tremor-{args.job}")
     inputs = getattr(args, "feed", None) or [x for x in (getattr(args, "archive", None) if args.job == "build-catalog"
                                                          else getattr(args, "catalog", None),) if x]
@@ -309,23 +321,24 @@ def main(argv: Sequence[str] | None = None) -> int:
         size_for(spark, inputs, args.shuffle_partitions)
     if args.job == "build-catalog" and args.archive:
         as_of = _date(args.as_of)
-        archive = read_catalog(spark, args.archive, fmt=args.format)
+        archive = read_catalog(spark, args.archive, fmt=args.format, multi_line=lines)
         write_catalog(merge.merge_feeds(slice_feeds(archive, args.days, as_of)), args.out, by_date=args.by_date)
         merge.merge_report(spark.read.parquet(args.out)).show(truncate=False)
     elif args.job == "build-catalog":
-        build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date).show(truncate=False)
+        build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date,
+                      multi_line=lines).show(truncate=False)
     elif args.job == "batch-analysis":
         total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format,
-                                   days=args.days, as_of=_date(args.as_of))
+                                   days=args.days, as_of=_date(args.as_of), multi_line=lines)
         print(f"catalog rows: {total}")
     elif args.job == "hotspots":
         for name, rows in run_hotspots(spark, args.catalog, args.out, args.format, args.catalog_format,
-                                       days=args.days, as_of=_date(args.as_of)).items():
+                                       days=args.days, as_of=_date(args.as_of), multi_line=lines).items():
             print(name, [r.asDict() for r in rows])
     elif args.job == "export-views":
-        export_views(spark, args.catalog, args.out, args.catalog_format)
+        export_views(spark, args.catalog, args.out, args.catalog_format, multi_line=lines)
     elif args.job == "replay":
-        replay_catalog(spark, args.catalog, args.out, args.catalog_format)
+        replay_catalog(spark, args.catalog, args.out, args.catalog_format, multi_line=lines)
     elif args.job == "alerts":
         trigger = {"availableNow": True} if args.available_now else None
         run_alert_stream(spark, args.source, args.archive, args.checkpoint, args.watch, trigger,

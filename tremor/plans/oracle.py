@@ -204,6 +204,10 @@ SELECT {_LINE_TIME} AS time, latitude, longitude, depth, mag,
        {_LINE_PLACE} AS place, type, region, 8 AS n_fields
 FROM quakes""",
     "decode_lines": f"{_BASE}, {_LINES} SELECT * FROM lines WHERE mag IS NOT NULL",
+    "feed_folder_mixed_headers": f"""{_BASE}
+SELECT event_id, time, latitude, longitude, CASE WHEN event_id % 3 <> 0 THEN depth END AS depth, mag, {_ODD_PLACE} AS place, type,
+       CASE WHEN event_id % 3 = 0 THEN event_id % 10 END AS felt
+FROM raw""",
     "csv_roundtrip": f"{_BASE} SELECT * REPLACE ({_ODD_PLACE} AS place) FROM quakes",
     "catalog_roundtrip": f"{_BASE} SELECT * FROM quakes",
     "union_messy_feeds": f"{_BASE}, {_MESSY} SELECT * FROM messy",

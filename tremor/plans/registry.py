@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.config import (
+    DEDUPE_KEYS,
     DEFAULT_REGION,
     GLOBAL_FEED_MIN_MAG,
     HOTSPOTS_PREVIEW_N,
@@ -29,7 +30,7 @@ from tremor.plans.jobs import build_catalog, replay_catalog, run_batch_analysis,
 from tremor.session import scratch_path
 from tremor.sinks.writers import write_catalog, write_lines, write_result
 from tremor.sources.catalog import normalize, read_catalog
-from tremor.sources.feeds import feed_slice, trailing_window
+from tremor.sources.feeds import feed_slice, key_text_column, read_feed, trailing_window
 from tremor.sources.fixture import fixture_feeds, load_catalog, raw_quakes, read_events
 from tremor.sources.lines import decode_lines, encode_lines
 from tremor.streaming.alerts import (
@@ -265,6 +266,19 @@ def q_build_catalog_from_csv(spark, sf_dir):
         {"event_id": eid.try_cast("bigint"), "felt": F.col("felt").try_cast("bigint")})
 
 
+def q_feed_folder_mixed_headers(spark, sf_dir):
+    # One feed landed as files of two headers: other column order, a column less, a column more.
+    root = scratch_path(spark, "feed-folder")
+    eid = F.col("event_id")
+    raw = raw_quakes(read_events(spark, sf_dir)).withColumn("place", _odd_place())
+    write_result(raw.where(eid % 3 != 0), f"{root}/first", fmt="csv")
+    second = raw.where(eid % 3 == 0).select("mag", "type", "place", "time", "longitude", "latitude", "event_id",
+                                            (eid % 10).alias("felt"))
+    write_result(second, f"{root}/second", fmt="csv")
+    feed = read_feed(spark, f"{root}/*", "mixed").drop(*map(key_text_column, DEDUPE_KEYS))
+    return feed.withColumns({"event_id": eid.try_cast("bigint"), "felt": F.col("felt").try_cast("bigint")})
+
+
 def q_dedupe_full_row(spark, sf_dir):
     # Feeds without either key column: the merge falls back to whole-row dedupe.
     raw = raw_quakes(read_events(spark, sf_dir))
@@ -474,6 +488,7 @@ QUERIES: dict[str, QueryFn] = {
     "merge_messy_feeds": q_merge_messy_feeds,
     "merge_messy_report": q_merge_messy_report,
     "build_catalog_from_csv": q_build_catalog_from_csv,
+    "feed_folder_mixed_headers": q_feed_folder_mixed_headers,
     "catalog_by_date_roundtrip": q_catalog_by_date_roundtrip,
     "batch_profile_count": q_batch_profile_count,
     "batch_profile_mag_ranges": q_batch_profile_mag_ranges,

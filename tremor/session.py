@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+logger = logging.getLogger(__name__)
+
 # Defaults for sessions built here. Results do not depend on the time zone
 # (catalog times are UTC wall clocks); UTC only makes zoned values print as UTC.
 DEFAULT_CONF = {
@@ -55,13 +59,19 @@ def build_session(master: str | None = None, app_name: str = "tremor", conf: dic
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
-    """Bytes stored under ``paths``, from the file system that holds them."""
+    """Bytes stored under ``paths`` (files, folders or globs), from the file system
+    that holds them. What it cannot tell counts nothing: the size only picks
+    partition numbers. Compressed files count as they are stored."""
     sc = spark.sparkContext
     conf = sc._jsc.hadoopConfiguration()
     total = 0
     for path in paths:
-        location = sc._jvm.org.apache.hadoop.fs.Path(path)
-        total += location.getFileSystem(conf).getContentSummary(location).getLength()
+        try:
+            location = sc._jvm.org.apache.hadoop.fs.Path(path)
+            fs = location.getFileSystem(conf)
+            total += sum(fs.getContentSummary(found.getPath()).getLength() for found in fs.globStatus(location) or [])
+        except Py4JJavaError as exc:
+            logger.warning("size of %s is not known: %s", path, exc.java_exception)
     return total
 
 

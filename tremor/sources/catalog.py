@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tremor.config import CATALOG_SCHEMA
 from tremor.functions.numeric import to_double
 from tremor.functions.time import to_utc_time
+from tremor.sources.csv_files import BrokenCsvError, read_csv_text
 
 _NUMERIC = ("latitude", "longitude", "depth", "mag")
 
@@ -44,32 +45,8 @@ def normalize(df: DataFrame, schema: T.StructType = CATALOG_SCHEMA) -> DataFrame
     return df.withColumns(updates) if updates else df
 
 
-class BrokenCsvError(ValueError):
-    """A CSV record spans lines, but the file was to be read line by line."""
-
-
-def _require_whole_lines(spark: SparkSession, path: str) -> None:
-    """Raise if any line holds an odd number of quotes: a quoted field goes on
-    over the line break there."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    broken = spark.read.text(path).where(quotes % 2 == 1).limit(1).collect()
-    if broken:
-        raise BrokenCsvError(f"quoted line break in {path}, read it with multi_line=True: {broken[0]['value'][:200]}")
-
-
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True,
-                  schema: T.StructType | None = None) -> DataFrame:
-    """The columns of a header CSV as they stand (text unless ``schema`` is given)."""
-    if not multi_line:
-        _require_whole_lines(spark, path)
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-              .option("multiLine", multi_line))
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-    return reader.csv(path)
-
-
 def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
-                 multi_line: bool = True) -> DataFrame:
+                 multi_line: bool | None = None) -> DataFrame:
     """Read a catalog and normalize it.
 
     ``fmt='csv'``: header CSV with quoted fields; a doubled quote inside one is
@@ -79,10 +56,10 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
     (``PERMISSIVE``) with nulls in the missing fields; an empty field, quoted or
     not, is null.
 
-    ``multi_line`` (default) reads quoted line breaks, one task per file. Large
-    files without any are read in splits with ``multi_line=False``; that first
-    scans the text once and raises :class:`BrokenCsvError` if a quoted field
-    does cross a line, so no part of a record ever passes for a row.
+    Files of one folder or glob may have different headers: each is read by its
+    own, and they are united by column name. ``multi_line`` says how quoted line
+    breaks are met, see :func:`tremor.sources.csv_files.read_csv_text`; by
+    default files without any are read in splits, however large.
     """
     if fmt == "parquet":
         reader = spark.read
@@ -92,3 +69,6 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
     if fmt == "csv":
         return normalize(read_csv_text(spark, path, multi_line, schema))
     raise ValueError(f"unsupported catalog format {fmt!r}")
+
+
+__all__ = ["BrokenCsvError", "normalize", "read_catalog"]

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tremor.config import DEDUPE_KEYS, FEED_DAYS, Region
 from tremor.functions.classify import in_region
-from tremor.sources.catalog import normalize, read_catalog, read_csv_text
+from tremor.sources.catalog import normalize, read_catalog
+from tremor.sources.csv_files import read_csv_text
 
 
 class EmptyFeedError(RuntimeError):
@@ -43,9 +44,10 @@ def with_key_text(raw: DataFrame) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, path: str, label: str, fmt: str = "csv", check: bool = True,
-              multi_line: bool = True) -> DataFrame:
+              multi_line: bool | None = None) -> DataFrame:
     """Read one landed feed (raw columns, no ``region``), normalized; the text of
-    unreadable ``time`` and ``mag`` values stays beside them for the merge."""
+    unreadable ``time`` and ``mag`` values stays beside them for the merge. A
+    feed may be a folder or a glob of files with different headers."""
     if fmt == "csv":
         df = with_key_text(read_csv_text(spark, path, multi_line))
     else:
