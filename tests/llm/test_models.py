@@ -1,0 +1,76 @@
+"""The learned operators: predictions against plain Python, samples that do not depend on partitions."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tremor.llm import langid, quality
+from tremor.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return langid.fit(table(spark, SF, "documents"))
+
+
+def plain_prediction(model, text):
+    """n-gram by n-gram, with Python integers."""
+    raw = f" {text.lower()} ".encode()
+    scores, n = [0.0] * len(model.languages), 0
+    for size in langid.SIZES:
+        for i in range(len(raw) - size + 1):
+            gram = raw[i:i + size]
+            if size > 2 and any(b <= 0x20 for b in gram[1:-1]):
+                continue
+            code = gram[0]
+            for b in gram[1:]:
+                code = (code * 0x01000193 ^ b) & 0xFFFFFFFF
+            code = (code * 0x9E3779B1 + size) & 0xFFFFFFFF
+            bucket = (code * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - langid.BUCKET_BITS)
+            n += 1
+            for k in range(len(scores)):
+                scores[k] += float(model.scores[bucket, k])
+    logits = [(s / n + float(b)) / model.temperature for s, b in zip(scores, model.bias)]
+    top = max(logits)
+    e = [np.exp(x - top) for x in logits]
+    return model.languages[int(np.argmax(e))], max(e) / sum(e)
+
+
+def test_predictions_like_plain_python(spark, model):
+    docs = table(spark, SF, "documents").where(F.length("text") < 2500).limit(60)
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: "a", -2: "é\tB\n\n z", -3: "日本語 ½"}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = langid.identify(rows, model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        lang, score = plain_prediction(model, texts[r.doc_id])
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-5)
+        assert r.rejected == (score < model.threshold)
+
+
+@pytest.mark.parametrize("text", ["½", "² ³", "①②", "Ⅷ", "12 3_4", "", "  ", None, "1/2 ٣ ½"])
+def test_numbers_are_no_letters(model, text):
+    assert model.predict(text) == ("und", 0.0) and model.rejects(*model.predict(text))
+
+
+@pytest.mark.parametrize("text", ["½a", "Ⅷ ß", "²日"])
+def test_a_letter_among_number_characters(model, text):
+    assert model.predict(text)[0] != "und"
+
+
+def with_second_texts(docs, n):
+    """Each id twice with different texts, dealt over ``n`` partitions."""
+    other = docs.withColumn("text", F.concat(F.lit("Another text of this id. "), F.reverse("text")))
+    return docs.unionByName(other).repartition(n)
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    fits = [(langid.fit(twice), quality.fit(twice, labels)) for twice in (with_second_texts(docs, n) for n in (1, 3, 7))]
+    for lang, (forest, threshold) in fits[1:]:
+        assert (lang.scores == fits[0][0].scores).all() and lang.threshold == fits[0][0].threshold
+        assert threshold == fits[0][1][1]

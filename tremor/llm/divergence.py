@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import shuffle_partitions, stored
+from tremor.llm.common import let_workers_import, shuffle_partitions, stored
 
 #: Bytes that belong to no term (of UTF-8; bytes from 0x80 on are parts of letters).
 _GAPS = [*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
@@ -304,6 +304,7 @@ def audit_sources(docs: DataFrame, lang_col: str = "lang", source_col: str = "so
     distances 0. Texts of any length are read whole, a stretch at a time. An
     empty table gives no rows. Other columns, whatever their names, are not read.
     """
+    let_workers_import(docs.sparkSession)
     kept = stored(kept_counts(term_counts(docs, lang_col, source_col, text_col), min_docs), "term-counts")
     groups = stored(group_rows(kept, prior, scale), "term-groups")
     cells = _with_group(kept.where(F.col("term").isNotNull() & (F.col("count") > 0)), groups)

@@ -18,12 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.llm.common import let_workers_import
+
 HELD_OUT_MODULUS, HELD_OUT_REST = 4, 2
 UNKNOWN = "und"
 SALTS = 64
 SIZES = (2, 3, 4)
 BUCKET_BITS = 15
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and number characters that are no digits (½ ² Ⅷ).
+_WORD_CHAR = re.compile(r"[^\W\d_]")
 _STEP = np.uint32(0x01000193)
 _SPREAD = np.uint32(0x9E3779B1)
 
@@ -55,7 +58,7 @@ def bytes_of(text: str) -> np.ndarray:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(c.group().isalpha() for c in _WORD_CHAR.finditer(text))
 
 
 @dataclass
@@ -162,10 +165,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Train and calibrate on a bounded sample of the documents that are not held out.
 
     The sample is at most ``docs_per_language`` documents of each language and
-    ``max_docs`` in all, those of smallest id hash; of each, the whole text and
-    at most ``lines_per_doc`` lines. One document in five calibrates. Without
+    ``max_docs`` in all, those of smallest id hash; of each, the whole text (of
+    several texts of one id, that of smallest hash) and at most ``lines_per_doc`` lines. One document in five calibrates. Without
     any usable row the model predicts ``und``.
     """
+    let_workers_import(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"))
     usable = base.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
@@ -179,7 +183,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     ids = (thin.select("doc_id", "lang").withColumn("n", F.row_number().over(first))
            .where(F.col("n") <= docs_per_language).orderBy("n", "lang").limit(max_docs).select("doc_id", "lang"))
     sample = usable.where(F.col("text").isNotNull()).join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
-    sample = sample.dropDuplicates(["doc_id", "lang"])
+    # Of several texts of one id that of smallest hash, whatever the partitions.
+    sample = sample.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one")).select(
+        "doc_id", "one.text", "lang")
     rows = _example_rows(sample, lines_per_doc).orderBy("doc_id", "lang", "whole", "buckets").toArrow().to_pylist()
     languages = sorted({r["lang"] for r in rows})
     number = {lang: i for i, lang in enumerate(languages)}
@@ -214,6 +220,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                  pa.array([f[1] for f in found], pa.float64()),
                  pa.array([model.rejects(*f) for f in found], pa.bool_())], schema=schema)
 
+    let_workers_import(docs.sparkSession)
     ids = F.col(id_col).cast("long")
     return docs.select(ids.alias("doc_id"), held_out(ids).alias("held_out"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -221,7 +228,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text the model does not reject, columns as they are."""
+    """The rows of ``docs`` whose text the model does not reject, columns as they are.
+
+    Null and empty texts and those without a letter are rejected; texts of any
+    length are read whole; repeated rows, also of one id, are judged alike. An
+    empty table gives no rows.
+    """
+    let_workers_import(docs.sparkSession)
     schema = docs.schema
 
     def run(batches):

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremor.llm.common import let_workers_import
 from tremor.llm.tokens import encoder
 
 END_ID = 0
@@ -131,6 +132,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     length are cut into pieces. An empty table gives no rows. Other columns,
     whatever their names, are not read.
     """
+    let_workers_import(docs.sparkSession)
+
     def run(batches):
         encode = encoder(tokenizer_path).encode
         end = END_ID.to_bytes(ID_BYTES, "little")

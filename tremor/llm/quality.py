@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import SPACE_CHARS
+from tremor.llm.common import SPACE_CHARS, let_workers_import
 
 WINDOW_WORDS = 5
 #: Fixed value: characters that count as symbols.
@@ -167,6 +167,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)],
                                              schema=schema)
 
+    let_workers_import(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, STAT_SCHEMA)
 
 
@@ -176,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Forest and threshold from at most ``max_labelled`` labelled documents.
 
     The sample is the labelled ids of smallest hash, so it does not depend on
-    partitions; contradicting labels count as bad. Rows that fail the base rules
+    partitions; contradicting labels count as bad, and of several texts of one id
+    the one of least statistics stands for it. Rows that fail the base rules
     take no part. The forest grows on the good rows and, so that what is bad
     stays rare enough to be isolated early, one bad row per ``1 / bad_share``
     good ones; the threshold uses them all. ``(None, inf)`` without a usable
@@ -187,7 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
            .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_labelled))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     wanted = texts.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
-    sample = (text_statistics(wanted).dropDuplicates(["doc_id"]).join(F.broadcast(ids), "doc_id")
+    # Of several texts of one id that of least statistics, whatever the partitions.
+    least = text_statistics(wanted).groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("least"))
+    sample = (least.select("doc_id", "least.*").join(F.broadcast(ids), "doc_id")
               .orderBy("doc_id").limit(max_labelled).toPandas())
     stats = sample[list(STATISTICS)].to_numpy(dtype=np.int64)
     usable = ~base_failed(stats)
