@@ -20,16 +20,16 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import stored
+from tremor.llm.common import let_workers_import, stored
 
 #: Tokens of a trigger window, in which neighbouring chunks overlap: one less than the longest phrase.
 OVERLAP = 4
@@ -43,6 +43,8 @@ MARK = b"\xff"
 _FOLD = bytes(MARK[0] if b in _PIECE_ENDS else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Bytes of a text that are split at once, and of chunks a task holds before it passes them on.
 _STRETCH, _HELD_BYTES = 1 << 20, 16 << 20
+#: Bytes of chunks whose phrases are counted at once.
+_COUNTED_BYTES = 6 << 20
 MAX_FILTER_BYTES = 32 << 20
 MAX_BROADCAST_ROWS = 100_000
 UNKNOWN = "und"
@@ -123,14 +125,33 @@ def chunk_dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     return parts.groupBy("lang", "chunk").agg(F.sum("copies").alias("copies"))
 
 
-def _codes(toks: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Each token's number among the distinct ones, and those."""
-    coded = pa.array(toks, pa.binary()).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+def _coded(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Each value's number among the distinct ones, and those."""
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+def _split(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many tokens each chunk (or phrase) has, and all of them."""
+    parts = pc.split_pattern(column, b" ")
+    return np.diff(parts.offsets.to_numpy()), parts.flatten()
+
+
+def _batched(batches: Iterator[pa.RecordBatch], nbytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least about ``nbytes``: more equal phrases meet in one."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= nbytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))
 
 
 def _phrase_hashes(lang: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
@@ -156,11 +177,9 @@ class PhraseFilter:
 
         def run(batches):
             for batch in batches:
-                langs, each = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-                if not each:
-                    continue
-                codes, words = _codes(b" ".join(each).split(b" "))
-                lang = np.repeat(_hashes([x.encode() for x in langs]), k)
+                codes, words = _coded(_split(batch.column(1).cast(pa.binary()))[1])
+                langs, names = _coded(batch.column(0))
+                lang = np.repeat(_hashes(names)[langs], k)
                 h = _phrase_hashes(lang, _hashes(words)[codes], k)[::k]
                 for slot, bit in PhraseFilter.places(h, slots):
                     yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((np.uint64(1) << bit).view(np.int64))], schema=_BITS)
@@ -203,46 +222,37 @@ def count_phrases(dictionary: DataFrame, k: int, shorter: PhraseFilter | None =
     parts of ``k - 1`` words pass ``shorter``. Without it all are counted, and a
     row with a null phrase tells the language's number of words."""
     def run(batches):
-        for batch in batches:
-            chunks = [c.split(b" ") for c in batch.column(1).to_pylist()]
-            if not chunks:
+        for batch in _batched(batches, _COUNTED_BYTES):
+            lengths, flat = _split(batch.column(1))
+            if not len(flat):
                 continue
-            lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
-            flat = list(chain.from_iterable(chunks))
-            codes, words = _codes(flat)
-            langs, lang_names = _codes([x.encode() for x in batch.column(0).to_pylist()])
+            codes, words = _coded(flat)
+            langs, names = _coded(batch.column(0))
             lang, weight = np.repeat(langs, lengths), np.repeat(batch.column(2).to_numpy(), lengths)
-            ends = np.cumsum(lengths)
             begins = np.ones(len(flat), dtype=bool)  # before the overlap with the next chunk
             for j in range(1, OVERLAP + 1):
-                begins[ends - j] = False
-            word = np.ones(len(flat), dtype=bool)
-            if MARK in words:
-                word = codes != words.index(MARK)
+                begins[np.cumsum(lengths) - j] = False
+            mark = pc.index(words, pa.scalar(MARK, pa.binary())).as_py()
             n = len(flat) - k + 1
             good = begins[:n].copy()
             for j in range(k):
-                good &= word[j:j + n]
+                good &= codes[j:j + n] != mark
             if shorter is not None:
-                h = _phrase_hashes(_hashes(lang_names)[lang], _hashes(words)[codes], k - 1)
-                frequent = shorter.may_hold(h)
+                frequent = shorter.may_hold(_phrase_hashes(_hashes(names)[lang], _hashes(words)[codes], k - 1))
                 good &= frequent[:n] & frequent[1:n + 1]
             at = np.flatnonzero(good)
             if not len(at):
                 continue
-            own = weight[at]
-            first, f = _distinct([(lang[at], len(lang_names)), *((codes[at + j], len(words)) for j in range(k))], own)
+            first, f = _distinct([(lang[at], len(names)), *((codes[at + j], len(words)) for j in range(k))], weight[at])
             at = at[first]
-            phrases = [b" ".join(flat[i:i + k]) for i in at.tolist()]
-            names = [lang_names[i].decode() for i in lang[at].tolist()]
+            own = names.take(pa.array(lang[at]))
+            phrases = pc.binary_join_element_wise(*(words.take(pa.array(codes[at + j])) for j in range(k)), b" ").cast(pa.string())
             if shorter is None:
-                total = np.zeros(len(lang_names), dtype=np.int64)
+                total = np.zeros(len(names), dtype=np.int64)
                 np.add.at(total, lang[at], f)
-                names += [x.decode() for x in lang_names]
-                phrases += [None] * len(lang_names)
+                own, phrases = pa.concat_arrays([own, names]), pa.concat_arrays([phrases, pa.nulls(len(names), pa.string())])
                 f = np.concatenate([f, total])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(phrases, pa.string()), pa.array(f)],
-                                             schema=_PHRASES)
+            yield pa.RecordBatch.from_arrays([own, phrases, pa.array(f)], schema=_PHRASES)
 
     return dictionary.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
@@ -266,6 +276,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     number of its words."""
     if not 2 <= max_words <= MAX_WORDS:
         raise ValueError(f"phrases have 2 to {MAX_WORDS} words, got {max_words}")
+    let_workers_import(docs.sparkSession)
     dictionary = stored(chunk_dictionary(docs, lang_col, text_col, modulus), "phrase-chunks")
     found, shorter = None, None
     for k in range(1, max_words + 1):
