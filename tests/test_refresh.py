@@ -1,0 +1,163 @@
+"""Catalog refresh by touched days, and reports counted while writing."""
+
+from __future__ import annotations
+
+import glob
+import os
+import subprocess
+import sys
+import textwrap
+
+from pyspark.sql import functions as F
+
+from tests.conftest import ROOT, SF_SMALL
+from tremor.operators import merge
+from tremor.plans import jobs
+from tremor.sinks import refresh_catalog, write_catalog
+from tremor.sources import read_feed
+
+HEADER = "time,latitude,longitude,depth,mag,place\n"
+
+
+def land(folder, name, *rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.csv", "w") as fh:
+        fh.write(HEADER + "\n".join(rows) + "\n")
+    return f"{folder}/{name}.csv"
+
+
+def files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/region=*/event_date=*/*.parquet")}
+
+
+def content(df):
+    columns = sorted(c for c in df.columns if c != "event_date")
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+OLD = ["2024-01-01T00:00:00Z,31,71,1,4.0,one", "2024-01-02T00:00:00Z,31,71,1,4.0,two", "2024-01-02T06:00:00Z,0,0,1,5.0,three",
+       "2024-01-03T00:00:00Z,31,71,1,4.0,four", "bad clock 1,31,71,1,4.0,five", "bad clock 2,31,71,1,4.0,six",
+       "2024-01-02T09:00:00Z,31,71,1,x1,seven"]
+#: Moves "three" into the region, repeats "two" and both bad clocks, and brings a new day.
+NEW = ["2024-01-02T00:00:00Z,31,71,1,4.0,two again", "2024-01-02T06:00:00Z,31,71,9,5.0,three moved", "2024-01-04T00:00:00Z,0,0,1,3.0,eight",
+       "bad clock 2,31,71,1,4.0,six again", "bad clock 3,31,71,1,4.0,nine", "2024-01-02T09:00:00Z,31,71,1,x2,ten"]
+
+
+def test_refresh_equals_a_rebuild_and_leaves_other_days_alone(spark, tmp_dir):
+    old, new = land(f"{tmp_dir}/f", "old", *OLD), land(f"{tmp_dir}/f", "new", *NEW)
+    jobs.build_catalog(spark, [old], f"{tmp_dir}/cat", refreshable=True)
+    before = files(f"{tmp_dir}/cat")
+    report = jobs.refresh(spark, [new], f"{tmp_dir}/cat").first()
+    jobs.build_catalog(spark, [new, old], f"{tmp_dir}/whole", refreshable=True)
+    assert content(spark.read.parquet(f"{tmp_dir}/cat")) == content(spark.read.parquet(f"{tmp_dir}/whole"))
+    after = files(f"{tmp_dir}/cat")
+    untouched = {f for f in before if "2024-01-01" in f or "2024-01-03" in f}
+    assert untouched and all(after[f] == before[f] for f in untouched)
+    assert not [f for f in after if f in before and f not in untouched]
+    assert not os.path.isdir(f"{tmp_dir}/cat/region=Global/event_date=2024-01-02")  # its only row moved
+    assert report.total == 8 and report.null_key_count == 5
+    again = jobs.refresh(spark, [new], f"{tmp_dir}/cat").first()  # the same feed once more changes nothing
+    assert again == report and content(spark.read.parquet(f"{tmp_dir}/cat")) == content(spark.read.parquet(f"{tmp_dir}/whole"))
+
+
+def test_stored_rows_may_win(spark, tmp_dir):
+    old, new = land(f"{tmp_dir}/f", "old", *OLD), land(f"{tmp_dir}/f", "new", *NEW)
+    jobs.build_catalog(spark, [old], f"{tmp_dir}/cat", refreshable=True)
+    refresh_catalog(spark, f"{tmp_dir}/cat", [read_feed(spark, new, "new")], newer_first=False)
+    jobs.build_catalog(spark, [old, new], f"{tmp_dir}/whole", refreshable=True)
+    assert content(spark.read.parquet(f"{tmp_dir}/cat")) == content(spark.read.parquet(f"{tmp_dir}/whole"))
+
+
+def test_a_catalog_without_key_texts_loses_no_row(spark, tmp_dir):
+    old, new = land(f"{tmp_dir}/f", "old", *OLD), land(f"{tmp_dir}/f", "new", *NEW)
+    jobs.build_catalog(spark, [old], f"{tmp_dir}/cat", by_date=True)
+    for _ in range(2):
+        jobs.refresh(spark, [new], f"{tmp_dir}/cat")
+        places = [r.place for r in spark.read.parquet(f"{tmp_dir}/cat").collect()]
+        assert {"five", "six", "seven", "nine", "ten"} <= set(places) and len([p for p in places if p == "five"]) == 1
+
+
+def test_empty_feeds_change_nothing(spark, tmp_dir):
+    old = land(f"{tmp_dir}/f", "old", *OLD)
+    jobs.build_catalog(spark, [old], f"{tmp_dir}/cat", refreshable=True)
+    before = files(f"{tmp_dir}/cat")
+    empty = read_feed(spark, old, "old").limit(0)
+    assert refresh_catalog(spark, f"{tmp_dir}/cat", [empty]).first().total == 0
+    assert files(f"{tmp_dir}/cat") == before
+
+
+def test_an_interrupted_refresh_is_put_right_by_the_next(spark, tmp_dir, monkeypatch):
+    from tremor.sinks import refresh as module
+
+    old, new = land(f"{tmp_dir}/f", "old", *OLD), land(f"{tmp_dir}/f", "new", *NEW)
+    jobs.build_catalog(spark, [old], f"{tmp_dir}/cat", refreshable=True)
+    with monkeypatch.context() as m:  # stops before the emptied folder is removed
+        m.setattr(module, "_remove", lambda *a: None)
+        jobs.refresh(spark, [new], f"{tmp_dir}/cat")
+    assert os.path.isdir(f"{tmp_dir}/cat/region=Global/event_date=2024-01-02")
+    jobs.refresh(spark, [new], f"{tmp_dir}/cat")
+    jobs.build_catalog(spark, [new, old], f"{tmp_dir}/whole", refreshable=True)
+    assert content(spark.read.parquet(f"{tmp_dir}/cat")) == content(spark.read.parquet(f"{tmp_dir}/whole"))
+
+
+def test_a_refresh_reads_only_the_touched_days(spark, tmp_dir):
+    import contextlib
+    import datetime as dt
+    import io
+
+    from tremor.sinks.refresh import stored_days
+
+    jobs.build_catalog(spark, [land(f"{tmp_dir}/f", "old", *OLD)], f"{tmp_dir}/cat", refreshable=True)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        stored_days(spark, f"{tmp_dir}/cat", [dt.date(2024, 1, 2), None]).explain("formatted")
+    assert "PartitionFilters: [(" in out.getvalue() or "PartitionFilters: [isnull" in out.getvalue() or "event_date" in (
+        out.getvalue().split("PartitionFilters:")[1].split("\n")[0])
+
+
+def test_report_of_the_writing_job(spark, catalog_small, tmp_dir):
+    for by_date in (False, True):
+        path = f"{tmp_dir}/cat-{by_date}"
+        report = write_catalog(catalog_small, path, by_date=by_date, metrics=merge.report_columns())
+        back = merge.merge_report(spark.read.parquet(path))
+        assert report.schema.simpleString() == back.schema.simpleString() and report.first() == back.first()
+    empty = write_catalog(catalog_small.where(F.lit(False)), f"{tmp_dir}/none", metrics=merge.report_columns())
+    assert empty.first().total == 0
+
+
+SCRIPT = textwrap.dedent(
+    f"""
+    import sys, tempfile
+    sys.path.insert(0, {str(ROOT)!r})
+    from pyspark import TaskContext
+    from pyspark.sql import functions as F
+    from tremor.session import build_session
+    from tremor.sinks import write_catalog
+    from tremor.operators import merge
+    from tremor.sources.fixture import load_catalog
+
+    spark = build_session("local[4,3]", conf={{"spark.sql.shuffle.partitions": "4"}})
+    spark.sparkContext.setLogLevel("OFF")
+
+    def _fail_first_attempt(event_id):
+        ctx = TaskContext.get()
+        if ctx.attemptNumber() == 0 and event_id % 50 == 49:
+            raise RuntimeError("injected task failure")
+        return True
+
+    fail_first_attempt = F.udf(_fail_first_attempt, "boolean").asNondeterministic()
+    catalog = load_catalog(spark, {SF_SMALL!r}).repartition(3, "event_id")
+    out = tempfile.mkdtemp(prefix="tremor-retry-")
+    for by_date in (False, True):
+        report = write_catalog(catalog.filter(fail_first_attempt("event_id")), out + f"/{{by_date}}", by_date=by_date,
+                               metrics=merge.report_columns()).first()
+        want = merge.merge_report(spark.read.parquet(out + f"/{{by_date}}")).first()
+        assert report == want and report.total == catalog.count(), (report, want)
+    print("REPORT-OK")
+    """
+)
+
+
+def test_the_report_counts_retried_tasks_once():
+    done = subprocess.run([sys.executable, "-c", SCRIPT], capture_output=True, text=True, timeout=600)
+    assert "REPORT-OK" in done.stdout, done.stdout[-2000:] + done.stderr[-4000:]

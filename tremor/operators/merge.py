@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,7 @@ def dedupe_keep_first(
     keys: Sequence[str] = DEDUPE_KEYS,
     feed_column: str = FEED_COLUMN,
     tiebreak: Sequence[str] | None = None,
+    keep_key_text: bool = False,
 ) -> DataFrame:
     """One row per key (nulls equal each other), the first by
     ``(feed_column, *tiebreak)``; keys absent from ``df`` are ignored, and with
@@ -54,11 +55,11 @@ def dedupe_keep_first(
 
     Where a key could not be read, its text as read decides
     (:func:`tremor.sources.feeds.with_key_text`); keys that were empty in the
-    feed equal each other. Those text columns are dropped."""
+    feed equal each other. Those text columns are dropped unless ``keep_key_text``."""
     texts = [key_text_column(k) for k in keys if key_text_column(k) in df.columns]
     present = [k for k in keys if k in df.columns]
     if not present:
-        return dedupe_full_row(df, exclude=(feed_column, *texts))
+        return dedupe_full_row(df, exclude=(feed_column, *(() if keep_key_text else texts)))
     if tiebreak is None:
         tiebreak = [
             f.name
@@ -69,7 +70,8 @@ def dedupe_keep_first(
         F.col(c).asc_nulls_first() for c in tiebreak
     ]
     w = Window.partitionBy(*present, *texts).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank", *texts)
+    first = df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1)
+    return first.drop("_rank") if keep_key_text else first.drop("_rank", *texts)
 
 
 def dedupe_full_row(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -85,19 +87,26 @@ def merge_feeds(
     region: Region = DEFAULT_REGION,
     other: str = OTHER_REGION,
     keep_feed: bool = False,
+    keep_key_text: bool = False,
 ) -> DataFrame:
-    """Union, keep-first dedupe on ``keys``, then region tagging."""
-    merged = dedupe_keep_first(union_feeds(feeds), keys)
+    """Union, keep-first dedupe on ``keys``, then region tagging. ``keep_key_text``
+    keeps the text of unreadable keys, for a catalog that is to be refreshed."""
+    merged = dedupe_keep_first(union_feeds(feeds), keys, keep_key_text=keep_key_text)
     tagged = assign_region(merged, region, other)
     return tagged if keep_feed or FEED_COLUMN not in tagged.columns else tagged.drop(FEED_COLUMN)
 
 
-def merge_report(df: DataFrame, region: Region = DEFAULT_REGION, other: str = OTHER_REGION) -> DataFrame:
-    """One row: ``total``, the count per region label, and the rows whose time
-    or magnitude is missing or could not be read (``null_key_count``)."""
-    return df.agg(
+def report_columns(region: Region = DEFAULT_REGION, other: str = OTHER_REGION) -> list[Column]:
+    """The aggregates of :func:`merge_report`."""
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("region") == F.lit(region.name)).alias(f"{region.name.lower()}_count"),
         F.count_if(F.col("region") == F.lit(other)).alias(f"{other.lower()}_count"),
         F.count_if(F.col("time").isNull() | F.col("mag").isNull()).alias("null_key_count"),
-    )
+    ]
+
+
+def merge_report(df: DataFrame, region: Region = DEFAULT_REGION, other: str = OTHER_REGION) -> DataFrame:
+    """One row: ``total``, the count per region label, and the rows whose time
+    or magnitude is missing or could not be read (``null_key_count``)."""
+    return df.agg(*report_columns(region, other))

@@ -33,7 +33,7 @@ from tremor.config import (
 )
 from tremor.operators import analytics, grid, merge, views
 from tremor.session import build_session, reliable_checkpoint, size_for
-from tremor.sinks import write_catalog, write_lines, write_result
+from tremor.sinks import refresh_catalog, write_catalog, write_lines, write_result
 from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range, trailing_window
 from tremor.streaming import (
     NO_AGE_LIMIT,
@@ -58,14 +58,27 @@ def build_catalog(
     labels: Sequence[str] | None = None,
     by_date: bool = False,
     multi_line: bool | None = None,
+    refreshable: bool = False,
 ) -> DataFrame:
     """Landed feeds (files, folders or globs; first = highest priority) → merged,
     region-tagged catalog laid out by region (and by UTC date with ``by_date``).
-    Returns the one-row report (total and per-region)."""
+    Returns the one-row report (total and per-region), counted while writing.
+    ``refreshable`` lays out by date and keeps the text of unreadable keys beside
+    them, so that :func:`refresh` can go on from the catalog alone."""
     labels = list(labels or [f"feed{i}" for i in range(len(feed_paths))])
     feeds = [read_feed(spark, p, label, fmt=fmt, multi_line=multi_line) for p, label in zip(feed_paths, labels)]
-    write_catalog(merge.merge_feeds(feeds), out_path, by_date=by_date)
-    return merge.merge_report(spark.read.parquet(out_path))
+    merged = merge.merge_feeds(feeds, keep_key_text=refreshable)
+    return write_catalog(merged, out_path, by_date=by_date or refreshable, metrics=merge.report_columns())
+
+
+def refresh(spark: SparkSession, feed_paths: Sequence[str], catalog_path: str, fmt: str = "csv",
+            labels: Sequence[str] | None = None, multi_line: bool | None = None) -> DataFrame:
+    """Newly landed feeds (first = highest priority, all before what is stored)
+    → the days they touch of a catalog laid out by date. Returns the report over
+    those days."""
+    labels = list(labels or [f"feed{i}" for i in range(len(feed_paths))])
+    feeds = [read_feed(spark, p, label, fmt=fmt, multi_line=multi_line) for p, label in zip(feed_paths, labels)]
+    return refresh_catalog(spark, catalog_path, feeds)
 
 
 def slice_feeds(archive: DataFrame, days: int = FEED_DAYS, as_of=None) -> list[DataFrame]:
@@ -271,6 +284,12 @@ def main(argv: Sequence[str] | None = None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--format", default="csv", choices=["csv", "parquet"])
     b.add_argument("--by-date", action="store_true", help="also lay the catalog out by UTC date")
+    b.add_argument("--refreshable", action="store_true", help="by date, with what `refresh-catalog` needs")
+
+    f = sub.add_parser("refresh-catalog", help="merge newly landed feeds into the days they touch of a catalog laid out by date")
+    f.add_argument("--feed", action="append", required=True, help="feed path, highest priority first")
+    f.add_argument("--catalog", required=True)
+    f.add_argument("--format", default="csv", choices=["csv", "parquet"])
 
     a = sub.add_parser("batch-analysis", help="count, magnitude ranges, regions, top places, regional stats")
     a.add_argument("--catalog", required=True)
@@ -322,11 +341,14 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.job == "build-catalog" and args.archive:
         as_of = _date(args.as_of)
         archive = read_catalog(spark, args.archive, fmt=args.format, multi_line=lines)
-        write_catalog(merge.merge_feeds(slice_feeds(archive, args.days, as_of)), args.out, by_date=args.by_date)
-        merge.merge_report(spark.read.parquet(args.out)).show(truncate=False)
+        merged = merge.merge_feeds(slice_feeds(archive, args.days, as_of))
+        write_catalog(merged, args.out, by_date=args.by_date or args.refreshable,
+                      metrics=merge.report_columns()).show(truncate=False)
     elif args.job == "build-catalog":
         build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date,
-                      multi_line=lines).show(truncate=False)
+                      multi_line=lines, refreshable=args.refreshable).show(truncate=False)
+    elif args.job == "refresh-catalog":
+        refresh(spark, args.feed, args.catalog, fmt=args.format, multi_line=lines).show(truncate=False)
     elif args.job == "batch-analysis":
         total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format,
                                    days=args.days, as_of=_date(args.as_of), multi_line=lines)

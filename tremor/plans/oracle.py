@@ -204,6 +204,16 @@ SELECT {_LINE_TIME} AS time, latitude, longitude, depth, mag,
        {_LINE_PLACE} AS place, type, region, 8 AS n_fields
 FROM quakes""",
     "decode_lines": f"{_BASE}, {_LINES} SELECT * FROM lines WHERE mag IS NOT NULL",
+    "catalog_refresh": f"""{_BASE},
+versions AS (
+  SELECT event_id, time, latitude + event_id % 5 AS latitude, longitude, depth + 1 AS depth, mag, place, type, 0 AS version
+  FROM raw WHERE event_id % 2 = 0 AND time >= TIMESTAMP '2024-01-20 00:00:00'
+  UNION ALL
+  SELECT event_id, time, latitude, longitude, depth, mag, place, type, 1 FROM raw WHERE event_id % 3 <> 0)
+SELECT event_id, time, latitude, longitude, depth, mag, place, type,
+       CASE WHEN latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77 THEN 'Pakistan' ELSE 'Global' END AS region,
+       CAST(time AS DATE) AS event_date
+FROM (SELECT *, row_number() OVER (PARTITION BY time, mag ORDER BY version, event_id) AS rn FROM versions) WHERE rn = 1""",
     "feed_folder_mixed_headers": f"""{_BASE}
 SELECT event_id, time, latitude, longitude, CASE WHEN event_id % 3 <> 0 THEN depth END AS depth, mag, {_ODD_PLACE} AS place, type,
        CASE WHEN event_id % 3 = 0 THEN event_id % 10 END AS felt

@@ -28,9 +28,10 @@ from tremor.functions.time import iso_utc, line_time_text
 from tremor.operators import analytics, grid, merge, regions, views
 from tremor.plans.jobs import build_catalog, replay_catalog, run_batch_analysis, run_hotspots
 from tremor.session import scratch_path
+from tremor.sinks.refresh import refresh_catalog
 from tremor.sinks.writers import write_catalog, write_lines, write_result
 from tremor.sources.catalog import normalize, read_catalog
-from tremor.sources.feeds import feed_slice, key_text_column, read_feed, trailing_window
+from tremor.sources.feeds import feed_slice, key_text_column, read_feed, trailing_window, with_key_text
 from tremor.sources.fixture import fixture_feeds, load_catalog, raw_quakes, read_events
 from tremor.sources.lines import decode_lines, encode_lines
 from tremor.streaming.alerts import (
@@ -46,6 +47,7 @@ FEED_AS_OF = dt.date(2024, 1, 20)
 FEED_DAYS = 30
 TRAILING_AS_OF = dt.date(2024, 1, 15)
 TRAILING_DAYS = 7
+REFRESH_FROM = dt.date(2024, 1, 20)
 # Files per micro-batch of the replayed alert stream: wide enough to occupy a
 # cluster, small enough to bound one batch.
 STREAM_FILES_PER_TRIGGER = 1000
@@ -266,6 +268,18 @@ def q_build_catalog_from_csv(spark, sf_dir):
         {"event_id": eid.try_cast("bigint"), "felt": F.col("felt").try_cast("bigint")})
 
 
+def q_catalog_refresh(spark, sf_dir):
+    # A stored catalog, then a feed of its last days with revised rows and new ones.
+    path = scratch_path(spark, "refresh")
+    eid = F.col("event_id")
+    raw = with_key_text(raw_quakes(read_events(spark, sf_dir)))
+    write_catalog(merge.merge_feeds([raw.where(eid % 3 != 0)], keep_key_text=True), path, by_date=True)
+    recent = feed_slice(raw, start=REFRESH_FROM).where(eid % 2 == 0)
+    revised = recent.withColumns({"depth": F.col("depth") + 1, "latitude": F.col("latitude") + (eid % 5)})
+    refresh_catalog(spark, path, [revised])
+    return spark.read.parquet(path).drop(*map(key_text_column, DEDUPE_KEYS))
+
+
 def q_feed_folder_mixed_headers(spark, sf_dir):
     # One feed landed as files of two headers: other column order, a column less, a column more.
     root = scratch_path(spark, "feed-folder")
@@ -488,6 +502,7 @@ QUERIES: dict[str, QueryFn] = {
     "merge_messy_feeds": q_merge_messy_feeds,
     "merge_messy_report": q_merge_messy_report,
     "build_catalog_from_csv": q_build_catalog_from_csv,
+    "catalog_refresh": q_catalog_refresh,
     "feed_folder_mixed_headers": q_feed_folder_mixed_headers,
     "catalog_by_date_roundtrip": q_catalog_by_date_roundtrip,
     "batch_profile_count": q_batch_profile_count,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tremor.sources.lines import encode_lines
@@ -61,7 +61,9 @@ def write_catalog(
     partition_by: Sequence[str] = ("region",),
     mode: str = "overwrite",
     by_date: bool = False,
-) -> None:
+    metrics: Sequence[Column] = (),
+    touched_only: bool = False,
+) -> DataFrame | None:
     """Write the catalog as Parquet laid out by ``partition_by``.
 
     Without dates, no repartition on the partition column first: with two region values that
@@ -74,16 +76,30 @@ def write_catalog(
     skip whole days; rows without a time go to the null-date folder. Rows are
     then rebalanced by folder: a folder's rows meet in few files, and adaptive
     execution splits folders above its advisory size over several tasks.
+
+    ``metrics`` (aggregates) are taken while the rows are written, in the writing
+    stage, whose tasks count once however often they are tried; returned is
+    their one-row table. ``touched_only`` overwrites only the folders that get
+    rows and leaves the others and their files alone.
     """
     columns = list(partition_by)
     if by_date:
         df = df.withColumn(DATE_COLUMN, F.to_date(F.col("time")))
         columns.append(DATE_COLUMN)
         df = df.hint("rebalance", *columns)
+    observation = Observation("catalog-write") if metrics else None
+    if observation:
+        df = df.observe(observation, *metrics)
     writer = df.write.mode(mode)
+    if touched_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if columns:
         writer = writer.partitionBy(*columns)
     writer.parquet(path)
+    if observation:
+        spark, schema = df.sparkSession, df.limit(0).agg(*metrics).schema
+        return spark.createDataFrame([tuple(observation.get[f.name] for f in schema.fields)], schema)
+    return None
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
