@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import zlib
 from collections import defaultdict
 
@@ -144,7 +146,34 @@ def test_perfect_hash_is_minimal_and_tells_foreign_keys(ids):
     keys = np.stack([np.array(sorted(ids), dtype="<i8"), np.zeros(len(ids), dtype="<i8")], 1)
     ends = np.cumsum(np.arange(1, len(ids) + 1))
     seeds, slots = token_files.build_index(keys, ends)
-    begin, end = token_files.lookup(keys, seeds, slots)
+    begin, end = token_files.lookup(keys, seeds, slots, keys)
     assert len(slots) == len(ids) and (end == ends).all() and (begin == np.concatenate([[0], ends[:-1]])).all()
     foreign = np.stack([keys[:, 0], keys[:, 1] + 1], 1)
-    assert (token_files.lookup(foreign, seeds, slots)[0] == -1).mean() > 0.9
+    assert (token_files.lookup(foreign, seeds, slots, keys)[0] == -1).all()
+    slots["mark"] = token_files._mark(token_files._key_hash(foreign))[slots["number"]]  # a foreign key with a stored fingerprint
+    assert (token_files.lookup(foreign, seeds, slots, keys)[0] == -1).all()
+
+
+def test_find_documents_prunes_shards(spark, tmp_dir, plain):
+    docs = spark.range(0, 4000, 2).selectExpr("id AS doc_id", "concat('text number ', id) AS text")
+    token_files.write_token_files(docs, f"{tmp_dir}/t", PATH, shard_tokens=200, partitions=3)
+    for wanted in ([], [1, 3], [8, 1998, 3001], list(range(0, 4000, 20))):
+        found = token_files.find_documents(spark, f"{tmp_dir}/t", wanted)
+        rows = found.collect()
+        assert sorted(r.doc_id for r in rows) == [k for k in wanted if k % 2 == 0]
+        assert all(bytes(r.ids) == plain(f"text number {r.doc_id}").tobytes() for r in rows)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        token_files.find_documents(spark, f"{tmp_dir}/t", [8, 1998]).explain("formatted")
+    assert "LessThanOrEqual(min_id,8)" in out.getvalue() and "GreaterThanOrEqual(max_id,1998)" in out.getvalue()
+
+
+def test_the_word_cache_is_bounded_in_bytes():
+    cache = TextEncoder(PATH, cache_bytes=64 << 10)
+    texts = [" ".join(f"w{i * 7919 + k}q" for k in range(400)) for i in range(40)]
+    wide = TextEncoder(PATH)
+    for text in texts + texts:
+        assert cache.encode(text) == wide.encode(text)
+        for words in (cache._first, cache._later):
+            held = sum(len(w) + len(ids) for half in (words.young, words.old) for w, ids in half.items())
+            assert held <= 2 * words.half

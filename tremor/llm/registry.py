@@ -65,7 +65,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
-    return token_files.file_digest(token_files.read_token_files(spark, path))
+    return token_files.read_token_files(spark, path, checksums=True)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,16 +11,18 @@ Format of a shard (all integers little-endian):
   by the end id 0, in ascending key order with no gaps;
 * ``keys``: the keys (``doc_id``, occurrence) in file order, two signed 64-bit each;
 * ``seeds``: one signed 32-bit number per bucket of the minimal perfect hash;
-* ``slots``: per slot of the hash, fingerprint (unsigned 32-bit) and the
-  document's first and last id position in the payload (unsigned 32-bit each).
+* ``slots``: per slot of the hash, fingerprint, the document's first and last id
+  position in the payload, and its number in ``keys`` (unsigned 32-bit each).
 
-A key hashes to a bucket, its seed gives the slot, and the slot's fingerprint
-tells a stored key from a foreign one: constant time, no search.
+A key hashes to a bucket, its seed gives the slot; the slot's fingerprint turns
+nearly all foreign keys away, and the stored key decides: constant time, no search.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import shuffle_partitions
+from tremor.llm.common import let_workers_import, shuffle_partitions
 from tremor.llm.tokens import encoder
 
 END_ID = 0
@@ -41,7 +43,9 @@ SHARD_SCHEMA = ("part int, shard long, part_start long, n_docs long, n_tokens lo
 _ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("part_start", pa.int64()), ("n_docs", pa.int64()),
                     ("n_tokens", pa.int64()), ("min_id", pa.int64()), ("max_id", pa.int64()), ("keys", pa.binary()),
                     ("seeds", pa.binary()), ("slots", pa.binary()), ("payload", pa.binary())])
-_SLOT = np.dtype([("mark", "<u4"), ("begin", "<u4"), ("end", "<u4")])
+_SLOT = np.dtype([("mark", "<u4"), ("begin", "<u4"), ("end", "<u4"), ("number", "<u4")])
+#: Up to so many wanted ids each prune by a filter of their own that reaches the file's page statistics.
+_PUSHED_IDS = 64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -91,18 +95,17 @@ def build_index(keys: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     by_size = np.argsort(-sizes, kind="stable")
     for b in by_size[:int((sizes > 1).sum())]:
         own = order[starts[b]:starts[b + 1]]
-        seed = 0
-        while True:
-            tries = np.arange(seed, seed + 16)
+        seed, step = 0, 16
+        while True:  # the last buckets meet few free slots: twice as many seeds at once each time
+            tries = np.arange(seed, seed + step)
             at = _position(h[own][None, :], tries[:, None], n)
-            free = ~taken[at].any(axis=1)
-            if len(own) > 1:
-                at_sorted = np.sort(at, axis=1)
-                free &= (at_sorted[:, 1:] != at_sorted[:, :-1]).all(axis=1)
-            if free.any():
-                k = int(np.argmax(free))
+            able = np.flatnonzero(~taken[at].any(axis=1))
+            at_sorted = np.sort(at[able], axis=1)
+            apart = np.flatnonzero((at_sorted[:, 1:] != at_sorted[:, :-1]).all(axis=1))
+            if len(apart):
+                k = int(able[apart[0]])
                 break
-            seed += 16
+            seed, step = seed + step, min(2 * step, 1 << 14)
         seeds[b] = tries[k]
         slot_of[own] = at[k]
         taken[at[k]] = True
@@ -113,17 +116,19 @@ def build_index(keys: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     slots = np.empty(n, dtype=_SLOT)
     begins = np.concatenate([[0], ends[:-1]])
     slots["mark"][slot_of], slots["begin"][slot_of], slots["end"][slot_of] = _mark(h), begins, ends
+    slots["number"][slot_of] = np.arange(n)
     return seeds, slots
 
 
-def lookup(keys: np.ndarray, seeds: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Id positions ``(begin, end)`` of ``[n, 2]`` keys; ``(-1, -1)`` where the
-    stored fingerprint says the key is not in this shard."""
+def lookup(keys: np.ndarray, seeds: np.ndarray, slots: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Id positions ``(begin, end)`` of ``[n, 2]`` keys; ``(-1, -1)`` where a key
+    is not among the shard's ``stored`` ones."""
     h = _key_hash(keys)
     seed = seeds[_bucket(h, len(seeds))].astype(np.int64)
     at = np.where(seed < 0, -1 - seed, _position(h, np.maximum(seed, 0), len(slots)))
     got = slots[at]
     known = got["mark"] == _mark(h)
+    known &= (stored[got["number"]] == keys).all(axis=1)
     return np.where(known, got["begin"].astype(np.int64), -1), np.where(known, got["end"].astype(np.int64), -1)
 
 
@@ -162,6 +167,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
     carry a random salt, so many rows of one id spread over tasks. Null ids come
     first. An empty table writes an empty table. Other columns are not read.
     """
+    let_workers_import(docs.sparkSession)
     n = partitions or shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,45 +207,56 @@ def _part_bases(shards: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("part_base"))
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, checksums: bool = False) -> DataFrame:
     """Every document of the files: ``doc_id, start`` (ids before it in the whole
-    output), ``n_tokens, ids``. Each is found through the index by its key."""
+    output), ``n_tokens, ids``. Each is found through the index by its key. With
+    ``checksums``, ``ids_crc32`` of the ids read stands for them."""
+    let_workers_import(spark)
     shards = spark.read.parquet(path)
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
-                            ("ids", pa.binary())])
+        last = ("ids_crc32", pa.int64()) if checksums else ("ids", pa.binary())
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), last])
         for batch in batches:
             for i in range(batch.num_rows):
                 start, keys, seeds, slots, payload = (c[i].as_py() for c in batch.columns)
                 keys = np.frombuffer(keys, dtype="<i8").reshape(-1, 2)
-                begin, end = lookup(keys, np.frombuffer(seeds, dtype="<i4"), np.frombuffer(slots, dtype=_SLOT))
+                begin, end = lookup(keys, np.frombuffer(seeds, dtype="<i4"), np.frombuffer(slots, dtype=_SLOT), keys)
                 ids = [None if seen < 0 else key for key, seen in keys.tolist()]
                 cut = [payload[b * ID_BYTES:e * ID_BYTES] for b, e in zip(begin.tolist(), end.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(begin + start), pa.array(end - begin),
-                     pa.array(cut, pa.binary())], schema=schema)
+                     pa.array(list(map(crc32, cut)) if checksums else cut, schema.types[3])], schema=schema)
 
     return (shards.join(F.broadcast(_part_bases(shards)), "part")
             .select((F.col("part_base") + F.col("part_start")).alias("start"), "keys", "seeds", "slots", "payload")
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary"))
+            .mapInArrow(run, f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if checksums else 'ids binary'}"))
 
 
 def find_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """Keyed access: ``doc_id, occurrence, ids`` of the given ids. Shards are
-    pruned by their id range; in a shard each key costs one probe."""
+    """Keyed access: ``doc_id, occurrence, ids`` of the given ids.
+
+    Only shards whose id range holds a wanted id are kept, by filters that reach
+    the files' statistics; of those each key costs one probe, checked against
+    the stored key. Ids that are not stored give no row, an empty list no rows.
+    Rows of one id all come back; their occurrence counts within a shard, so it
+    starts again where they go on in the next. Documents with a null id have no
+    key to be asked for (``read_token_files`` returns them).
+    """
+    let_workers_import(spark)
     wanted = sorted(set(doc_ids))
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("occurrence", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for i in range(batch.num_rows):
-                low, high, seeds, slots, payload = (c[i].as_py() for c in batch.columns)
+                low, high, stored, seeds, slots, payload = (c[i].as_py() for c in batch.columns)
+                stored = np.frombuffer(stored, dtype="<i8").reshape(-1, 2)
                 seeds, slots = np.frombuffer(seeds, dtype="<i4"), np.frombuffer(slots, dtype=_SLOT)
                 rows, seen = [], 0
-                keys = np.array([k for k in wanted if low <= k <= high], dtype=np.int64)
+                keys = np.array(wanted[bisect_left(wanted, low):bisect_right(wanted, high)], dtype=np.int64)
                 while len(keys):
-                    begin, end = lookup(np.stack([keys, np.full(len(keys), seen)], 1), seeds, slots)
+                    begin, end = lookup(np.stack([keys, np.full(len(keys), seen)], 1), seeds, slots, stored)
                     hit = begin >= 0
                     rows += [(k, seen, payload[b * ID_BYTES:e * ID_BYTES]) for k, b, e in
                              zip(keys[hit].tolist(), begin[hit].tolist(), end[hit].tolist())]
@@ -249,12 +266,12 @@ def find_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFr
                                                      schema=schema)
 
     near = F.lit(False)
-    if wanted:
-        near = (F.col("min_id") <= wanted[-1]) & (F.col("max_id") >= wanted[0])
-    return (spark.read.parquet(path).where(near).select("min_id", "max_id", "seeds", "slots", "payload")
+    if len(wanted) <= _PUSHED_IDS:
+        for k in wanted:
+            near = near | ((F.col("min_id") <= k) & (F.col("max_id") >= k))
+    else:
+        ids = F.array(*map(F.lit, wanted)).cast("array<bigint>")
+        near = ((F.col("min_id") <= wanted[-1]) & (F.col("max_id") >= wanted[0])
+                & F.exists(ids, lambda k: (F.col("min_id") <= k) & (F.col("max_id") >= k)))
+    return (spark.read.parquet(path).where(near).select("min_id", "max_id", "keys", "seeds", "slots", "payload")
             .mapInArrow(run, "doc_id long, occurrence long, ids binary"))
-
-
-def file_digest(documents: DataFrame) -> DataFrame:
-    """What was read, with a checksum in place of the ids."""
-    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -9,9 +9,9 @@ space (runs, tabs, leading or trailing space) are encoded whole.
 
 from __future__ import annotations
 
+import gc
 import string
-import sys
-from array import array
+import struct
 from functools import lru_cache
 
 import regex
@@ -20,8 +20,10 @@ from tokenizers import Tokenizer
 #: Fixed value: the pre-tokenizer's pattern for byte-level BPE.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words kept per generation of the cache, per Python worker (two generations).
-CACHE_WORDS = 300_000
+#: Bytes a Python worker spends on remembered words, in both halves of its cache together.
+CACHE_BYTES = 96 << 20
+#: What a word costs in the cache beside its characters and ids (measured): two objects and a table slot.
+_ENTRY_BYTES = 110
 
 _LAST_SIMPLE = "ɏ"  # words up to Latin Extended-B take the short path
 
@@ -35,80 +37,99 @@ def byte_alphabet() -> dict[int, str]:
 
 
 _WORD_START = frozenset(" " + string.ascii_letters)
+#: Signs that stand apart from letters before them, at the end of a word.
+_MARKS = string.punctuation
 
 
 def _packed(ids: list[int]) -> bytes:
-    out = array("I", ids)
-    if sys.byteorder != "little":
-        out.byteswap()
-    return out.tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _OddSpace(Exception):
     """The text holds white space that the word cache does not handle."""
 
 
-class _Words(dict):
-    """Word → id bytes, filled on demand; the older half is dropped when full."""
+class _Young(dict):
+    """The younger half of a cache; asks its owner for words it lacks."""
 
-    def __init__(self, encode, marks: dict[str, bytes]):
+    def __init__(self, owner: _Words):
         super().__init__()
-        self.older: dict[str, bytes] = {}
-        self.encode, self.marks = encode, marks
+        self.owner = owner
 
     def __missing__(self, word: str) -> bytes:
-        got = self.older.get(word)
+        return self.owner.find(word)
+
+
+class _Words:
+    """Word → id bytes, found on demand and kept in two dicts of bounded size:
+    when the younger is full it becomes the older, whose words are forgotten
+    unless met again."""
+
+    def __init__(self, encode, marks: dict[str, bytes], max_bytes: int):
+        self.encode, self.marks, self.half = encode, marks, max_bytes // 2
+        self.young, self.old, self.bytes = _Young(self), {}, 0
+
+    def find(self, word: str) -> bytes:
+        got = self.old.get(word)
         if got is None:
-            if not word or word.split() != [word]:
-                raise _OddSpace
-            if word[-1] in self.marks and word[:-1].isalpha():  # letters and a mark are apart
-                got = self[word[:-1]] + self.marks[word[-1]]
+            mark = self.marks.get(word[-1:])
+            if mark is not None and word[:-1].isalpha():  # letters and a mark are apart
+                got = self.young[word[:-1]] + mark
             else:
                 got = self.encode(word)
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = got
+        self.bytes += _ENTRY_BYTES + len(word) + len(got)
+        if self.bytes > self.half:
+            self.old, self.young, self.bytes = self.young, _Young(self), 0
+        self.young[word] = got
         return got
 
 
 class TextEncoder:
     """Text → ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self._model = self.tokenizer.model
+        self._tokenize = self.tokenizer.model.tokenize
         self._pattern = regex.compile(WORD_PATTERN)
         self._bytes = byte_alphabet()
-        marks = {c: self._whole(c) for c in ".,"}
-        self._first = _Words(self._word, marks)
-        self._later = _Words(lambda w: self._word(" " + w), marks)
+        space = self._bytes[0x20]
+        # Characters of the short path → their bytes, spelled.
+        self._spelled = {c: "".join(self._bytes[b] for b in chr(c).encode()) for c in range(ord(_LAST_SIMPLE) + 1)}
+        marks = {c: self._whole(c) for c in _MARKS}
+        # Words at the start of a line are few beside those after a space.
+        self._first = _Words(lambda w: self._word(w, "", ""), marks, cache_bytes // 8)
+        self._later = _Words(lambda w: self._word(w, " ", space), marks, cache_bytes - cache_bytes // 8)
         self._newline = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str, before: str, spelled_before: str) -> bytes:
+        """Ids of a word behind ``before`` (a space, or nothing at the start of a line)."""
+        if word.isalpha() and word.isascii():
+            return _packed([token.id for token in self._tokenize(spelled_before + word)])
+        if not word or word.split() != [word]:
+            raise _OddSpace
+        whole = before + word
         if not word.isascii() and max(word) > _LAST_SIMPLE:
-            return self._whole(word)
+            return self._whole(whole)
         ids = []
-        for part in (word,) if word[1:].isalpha() and word[0] in _WORD_START else self._pattern.findall(word):
-            spelled = part.encode().decode("latin-1").translate(self._bytes)
-            ids += [token.id for token in self._model.tokenize(spelled)]
+        for part in (whole,) if whole[1:].isalpha() and whole[0] in _WORD_START else self._pattern.findall(whole):
+            ids += [token.id for token in self._tokenize(part.translate(self._spelled))]
         return _packed(ids)
 
     def encode(self, text: str | None) -> bytes:
         """Id bytes of ``text``; null and empty texts have none."""
         if not text:
             return b""
-        first, later = self._first, self._later.__getitem__
+        first, later = self._first, self._later
         try:
             lines = []
             for line in text.split("\n"):
                 words = line.split(" ")
-                head = first[words[0]]
-                lines.append(head + b"".join(map(later, words[1:])) if len(words) > 1 else head)
+                head = first.young[words[0]]
+                lines.append(head + b"".join(map(later.young.__getitem__, words[1:])) if len(words) > 1 else head)
             return self._newline.join(lines)
         except _OddSpace:
             return self._whole(text)
@@ -117,4 +138,7 @@ class TextEncoder:
 @lru_cache(maxsize=4)
 def encoder(path: str) -> TextEncoder:
     """The worker's encoder for a vocabulary file; its cache outlives a task."""
-    return TextEncoder(path)
+    made = TextEncoder(path)
+    gc.freeze()  # the vocabulary and modules stay; what is made from now on holds no cycles worth a frequent search
+    gc.set_threshold(100_000)
+    return made
