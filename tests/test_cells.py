@@ -1,0 +1,112 @@
+"""Box reads by ranges of space-filling cells."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import math
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from tremor.config import DEFAULT_REGION, Region
+from tremor.functions import cells
+from tremor.operators import merge
+from tremor.plans import jobs
+from tremor.sinks import refresh_catalog, write_catalog
+from tremor.sources import feed_slice
+from tremor.sources.feeds import with_key_text
+from tremor.sources.fixture import raw_quakes, read_events
+
+
+def plain_code(lat, lon):
+    row, column = cells._edge(lat, *cells._LAT), cells._edge(lon, *cells._LON)
+    return sum(((column >> k & 1) << 2 * k) | ((row >> k & 1) << 2 * k + 1) for k in range(cells.CELL_BITS))
+
+
+def test_codes(spark):
+    places = [(0.0, 0.0), (-90.0, -180.0), (90.0, 180.0), (23.0, 60.0), (37.0, 77.0), (91.0, 181.0), (-1e300, 1e300),
+              (math.inf, -math.inf), (None, 1.0), (1.0, None), (math.nan, 1.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "i int, lat double, lon double")
+    got = [r[0] for r in df.orderBy("i").select(cells.cell_code(F.col("lat"), F.col("lon"))).collect()]
+    assert got[:8] == [plain_code(*p) for p in places[:8]] and got[8:] == [None] * 3
+    assert got[1] == 0 and got[2] == (1 << 20) - 1
+
+
+EDGE = st.floats(-100, 100)
+
+
+@settings(max_examples=150, deadline=None)
+@given(EDGE, EDGE, st.floats(-200, 200), st.floats(-200, 200), st.integers(1, 30), st.lists(st.tuples(EDGE, st.floats(-200, 200)), max_size=40))
+def test_ranges_hold_every_place_of_the_box(a, b, c, d, most, places):
+    box = Region("x", min(a, b), max(a, b), min(c, d), max(c, d))
+    ranges = cells.cell_ranges(box, most)
+    assert 1 <= len(ranges) <= most and all(x <= y for x, y in ranges) and all(r[1] < s[0] for r, s in zip(ranges, ranges[1:]))
+    corners = [(lat, lon) for lat in (box.min_lat, box.max_lat) for lon in (box.min_lon, box.max_lon)]
+    for lat, lon in [*places, *corners]:
+        if box.min_lat <= lat <= box.max_lat and box.min_lon <= lon <= box.max_lon:
+            assert any(x <= plain_code(lat, lon) <= y for x, y in ranges)
+
+
+def test_few_cells_beside_the_box():
+    rows = cells._edge(37, *cells._LAT) - cells._edge(23, *cells._LAT) + 1
+    columns = cells._edge(77, *cells._LON) - cells._edge(60, *cells._LON) + 1
+    held = sum(b - a + 1 for a, b in cells.cell_ranges(DEFAULT_REGION, 1000))
+    assert held == rows * columns
+    assert sum(b - a + 1 for a, b in cells.cell_ranges(DEFAULT_REGION)) < 2 * rows * columns
+
+
+@pytest.mark.parametrize("by_date", [False, True])
+def test_slices_are_equal_and_pushed(spark, catalog_small, tmp_dir, by_date):
+    write_catalog(catalog_small, f"{tmp_dir}/cat", by_date=by_date, by_cell=True)
+    stored = spark.read.parquet(f"{tmp_dir}/cat")
+    for box in (DEFAULT_REGION, Region("south", -60, -10, -180, 180), Region("nothing", 89.5, 90, 0, 1)):
+        got = feed_slice(stored, min_mag=2.0, region=box).select(*catalog_small.columns)
+        want = feed_slice(catalog_small, min_mag=2.0, region=box)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        feed_slice(stored, region=DEFAULT_REGION).explain("formatted")
+    pushed = out.getvalue().split("PushedFilters: ")[1].split("\n")[0]
+    first, last = cells.cell_ranges(DEFAULT_REGION)[0]
+    assert f"GreaterThanOrEqual(cell,{first})" in pushed and f"LessThanOrEqual(cell,{last})" in pushed
+
+
+def test_files_are_sorted_by_cell(spark, catalog_small, tmp_dir):
+    write_catalog(catalog_small, f"{tmp_dir}/cat", by_cell=True)
+    files = spark.read.parquet(f"{tmp_dir}/cat").groupBy(F.col("_metadata.file_path")).agg(
+        F.min("cell").alias("low"), F.max("cell").alias("high"), F.first("region").alias("region")).collect()
+    by_region = {}
+    for r in files:
+        if r.low is not None:
+            by_region.setdefault(r.region, []).append((r.low, r.high))
+    for spans in by_region.values():  # files of a folder hold neighbouring stretches of cells
+        spans.sort()
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_refresh_keeps_the_layout(spark, tmp_dir):
+    raw = with_key_text(raw_quakes(read_events(spark, SF_SMALL)))
+    write_catalog(merge.merge_feeds([raw.where("event_id % 3 <> 0")], keep_key_text=True), f"{tmp_dir}/cat", by_date=True, by_cell=True)
+    refresh_catalog(spark, f"{tmp_dir}/cat", [raw.where("event_id % 3 = 0")])
+    back = spark.read.parquet(f"{tmp_dir}/cat")
+    assert back.where(~F.col("cell").eqNullSafe(cells.cell_code(F.col("latitude"), F.col("longitude")))).count() == 0
+    assert back.count() == merge.merge_feeds([raw]).count()
+
+
+def test_archive_slices_prune(spark, catalog_small, tmp_dir):
+    import datetime as dt
+
+    write_catalog(catalog_small, f"{tmp_dir}/cat", by_date=True, by_cell=True)
+    day = dt.date(2024, 1, 20)
+    got = jobs.slice_feeds(spark.read.parquet(f"{tmp_dir}/cat"), 30, day)
+    want = jobs.slice_feeds(catalog_small, 30, day)
+    for a, b in zip(got, want):
+        assert a.select(*b.columns).exceptAll(b).count() == 0 and b.exceptAll(a.select(*b.columns)).count() == 0
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got[1].explain("formatted")
+    assert "event_date" in out.getvalue().split("PartitionFilters: ")[1].split("\n")[0] and "cell" in out.getvalue().split("PushedFilters: ")[1]

@@ -59,16 +59,19 @@ def build_catalog(
     by_date: bool = False,
     multi_line: bool | None = None,
     refreshable: bool = False,
+    by_cell: bool = False,
 ) -> DataFrame:
     """Landed feeds (files, folders or globs; first = highest priority) → merged,
     region-tagged catalog laid out by region (and by UTC date with ``by_date``).
     Returns the one-row report (total and per-region), counted while writing.
     ``refreshable`` lays out by date and keeps the text of unreadable keys beside
-    them, so that :func:`refresh` can go on from the catalog alone."""
+    them, so that :func:`refresh` can go on from the catalog alone. ``by_cell``
+    sorts the files by place, for box reads."""
     labels = list(labels or [f"feed{i}" for i in range(len(feed_paths))])
     feeds = [read_feed(spark, p, label, fmt=fmt, multi_line=multi_line) for p, label in zip(feed_paths, labels)]
     merged = merge.merge_feeds(feeds, keep_key_text=refreshable)
-    return write_catalog(merged, out_path, by_date=by_date or refreshable, metrics=merge.report_columns())
+    return write_catalog(merged, out_path, by_date=by_date or refreshable, by_cell=by_cell,
+                         metrics=merge.report_columns())
 
 
 def refresh(spark: SparkSession, feed_paths: Sequence[str], catalog_path: str, fmt: str = "csv",
@@ -85,11 +88,11 @@ def slice_feeds(archive: DataFrame, days: int = FEED_DAYS, as_of=None) -> list[D
     """The two standard feed requests answered from an archive catalog:
     global (min magnitude 2.5) and regional (min 2.0, inside the box)."""
     start, end = trailing_range(days, as_of)
-    raw = archive.drop("region", "event_date")
-    return [
-        feed_slice(raw, start, end, GLOBAL_FEED_MIN_MAG),
-        feed_slice(raw, start, end, REGIONAL_FEED_MIN_MAG, DEFAULT_REGION),
+    slices = [
+        feed_slice(archive, start, end, GLOBAL_FEED_MIN_MAG),
+        feed_slice(archive, start, end, REGIONAL_FEED_MIN_MAG, DEFAULT_REGION),
     ]
+    return [s.drop("region", "event_date", "cell") for s in slices]
 
 
 # -- batch analysis --------------------------------------------------------------
@@ -284,6 +287,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--format", default="csv", choices=["csv", "parquet"])
     b.add_argument("--by-date", action="store_true", help="also lay the catalog out by UTC date")
+    b.add_argument("--by-cell", action="store_true", help="sort the files by place, so that box reads prune")
     b.add_argument("--refreshable", action="store_true", help="by date, with what `refresh-catalog` needs")
 
     f = sub.add_parser("refresh-catalog", help="merge newly landed feeds into the days they touch of a catalog laid out by date")
@@ -342,11 +346,11 @@ def main(argv: Sequence[str] | None = None) -> int:
         as_of = _date(args.as_of)
         archive = read_catalog(spark, args.archive, fmt=args.format, multi_line=lines)
         merged = merge.merge_feeds(slice_feeds(archive, args.days, as_of))
-        write_catalog(merged, args.out, by_date=args.by_date or args.refreshable,
+        write_catalog(merged, args.out, by_date=args.by_date or args.refreshable, by_cell=args.by_cell,
                       metrics=merge.report_columns()).show(truncate=False)
     elif args.job == "build-catalog":
         build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date,
-                      multi_line=lines, refreshable=args.refreshable).show(truncate=False)
+                      multi_line=lines, refreshable=args.refreshable, by_cell=args.by_cell).show(truncate=False)
     elif args.job == "refresh-catalog":
         refresh(spark, args.feed, args.catalog, fmt=args.format, multi_line=lines).show(truncate=False)
     elif args.job == "batch-analysis":

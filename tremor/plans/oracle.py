@@ -175,6 +175,10 @@ WHERE time >= TIMESTAMP '2023-12-21 00:00:00' AND time <= TIMESTAMP '2024-01-20
   AND mag >= 2.5""",
     "feed_slice_regional": f"""{_BASE}
 SELECT * FROM raw
+WHERE time >= TIMESTAMP '2023-12-21 00:00:00' AND time <= TIMESTAMP '2024-01-20 00:00:00'
+  AND mag >= 2.0 AND latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77""",
+    "feed_slice_by_cell": f"""{_BASE}
+SELECT * FROM raw
 WHERE time >= TIMESTAMP '2023-12-21 00:00:00' AND time <= TIMESTAMP '2024-01-20 00:00:00'
   AND mag >= 2.0 AND latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77""",
     "trailing_days": f"""{_BASE}

@@ -22,6 +22,7 @@ from tremor.config import (
     HOTSPOTS_REGIONAL_PREVIEW_N,
     REGIONAL_FEED_MIN_MAG,
 )
+from tremor.functions.cells import CELL_COLUMN
 from tremor.functions.classify import alert_level, mag_range
 from tremor.functions.numeric import grid_snap
 from tremor.functions.time import iso_utc, line_time_text
@@ -212,6 +213,15 @@ def q_feed_slice_regional(spark, sf_dir):
     return feed_slice(raw_quakes(read_events(spark, sf_dir)), start, end, REGIONAL_FEED_MIN_MAG, DEFAULT_REGION)
 
 
+def q_feed_slice_by_cell(spark, sf_dir):
+    # The regional feed request, answered from an archive sorted by place.
+    path = scratch_path(spark, "catalog-by-cell")
+    write_catalog(_catalog(spark, sf_dir), path, by_cell=True)
+    start, end = _feed_window()
+    archive = spark.read.parquet(path)
+    return feed_slice(archive, start, end, REGIONAL_FEED_MIN_MAG, DEFAULT_REGION).drop("region", CELL_COLUMN)
+
+
 def q_trailing_days(spark, sf_dir):
     return trailing_window(_catalog(spark, sf_dir), TRAILING_DAYS, TRAILING_AS_OF)
 
@@ -485,6 +495,7 @@ QUERIES: dict[str, QueryFn] = {
     "hotspots_top": q_hotspots_top,
     "feed_slice_global": q_feed_slice_global,
     "feed_slice_regional": q_feed_slice_regional,
+    "feed_slice_by_cell": q_feed_slice_by_cell,
     "trailing_days": q_trailing_days,
     "union_feeds": q_union_feeds,
     "merge_feeds": q_merge_feeds,

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.config import DEDUPE_KEYS, DEFAULT_REGION, OTHER_REGION, Region
+from tremor.functions.cells import CELL_COLUMN
 from tremor.operators.merge import merge_feeds, report_columns
 from tremor.sinks.writers import DATE_COLUMN, write_catalog
 from tremor.sources.feeds import key_text_column
@@ -51,7 +52,7 @@ def stored_days(spark: SparkSession, path: str, days: Sequence) -> DataFrame:
         text = key_text_column(key)
         if key in stored.columns and text not in stored.columns:
             stored = stored.withColumn(text, F.when(F.col(key).isNull(), whole))
-    return stored.drop("region")
+    return stored.drop("region", CELL_COLUMN)
 
 
 def _files(spark: SparkSession, path: str, days: Sequence) -> set[str]:
@@ -87,7 +88,8 @@ def refresh_catalog(spark: SparkSession, path: str, feeds: Sequence[DataFrame],
     before = _files(spark, path, days)
     stored = stored_days(spark, path, days)
     merged = merge_feeds([*feeds, stored] if newer_first else [stored, *feeds], region=region, other=other, keep_key_text=True)
-    report = write_catalog(merged, path, by_date=True, metrics=report_columns(region, other), touched_only=True)
+    by_cell = CELL_COLUMN in spark.read.parquet(path).columns
+    report = write_catalog(merged, path, by_date=True, by_cell=by_cell, metrics=report_columns(region, other), touched_only=True)
     for folder in {f.rsplit("/", 1)[0] for f in before & _files(spark, path, days)}:
         _remove(spark, folder)
     return report

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tremor.functions.cells import CELL_COLUMN, cell_code
 from tremor.sources.lines import encode_lines
 
 
@@ -63,6 +64,7 @@ def write_catalog(
     by_date: bool = False,
     metrics: Sequence[Column] = (),
     touched_only: bool = False,
+    by_cell: bool = False,
 ) -> DataFrame | None:
     """Write the catalog as Parquet laid out by ``partition_by``.
 
@@ -77,6 +79,12 @@ def write_catalog(
     then rebalanced by folder: a folder's rows meet in few files, and adaptive
     execution splits folders above its advisory size over several tasks.
 
+    ``by_cell=True`` adds ``cell`` (:mod:`tremor.functions.cells`) and sorts each
+    file by it, so that a box read by :func:`tremor.sources.feed_slice` skips the
+    row groups and pages that hold none of its cells. Without dates the rows are
+    range-partitioned by folder and cell, a cell of many rows over several
+    tasks; with dates each day's files are sorted by cell.
+
     ``metrics`` (aggregates) are taken while the rows are written, in the writing
     stage, whose tasks count once however often they are tried; returned is
     their one-row table. ``touched_only`` overwrites only the folders that get
@@ -86,7 +94,14 @@ def write_catalog(
     if by_date:
         df = df.withColumn(DATE_COLUMN, F.to_date(F.col("time")))
         columns.append(DATE_COLUMN)
+    if by_cell:
+        df = df.withColumn(CELL_COLUMN, cell_code(F.col("latitude"), F.col("longitude")))
+    if by_date:
         df = df.hint("rebalance", *columns)
+    elif by_cell:
+        df = df.repartitionByRange(*columns, CELL_COLUMN, F.xxhash64("time", "mag"))
+    if by_cell:
+        df = df.sortWithinPartitions(*columns, CELL_COLUMN)
     observation = Observation("catalog-write") if metrics else None
     if observation:
         df = df.observe(observation, *metrics)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.config import DEDUPE_KEYS, FEED_DAYS, Region
+from tremor.functions.cells import CELL_COLUMN, in_cells
 from tremor.functions.classify import in_region
 from tremor.sources.catalog import normalize, read_catalog
 from tremor.sources.csv_files import read_csv_text
@@ -87,6 +88,8 @@ def feed_slice(
     filters (row-group statistics skip whole groups of a time-clustered
     catalog), and on a catalog laid out by date (``write_catalog(by_date=True)``)
     they are also applied to ``event_date``, which prunes whole day folders.
+    On a catalog sorted by cell (``by_cell=True``) the box becomes a few ranges of
+    cells that reach the scan; the exact box test follows.
     The magnitude and box tests run right after the scan in the same codegen
     stage (after :func:`normalize` they read NaN-cleaned values, which a
     Parquet filter cannot express).
@@ -104,6 +107,8 @@ def feed_slice(
     if min_mag is not None:
         cond = cond & (F.col("mag") >= F.lit(float(min_mag)))
     if region is not None:
+        if CELL_COLUMN in df.columns:
+            cond = cond & in_cells(F.col(CELL_COLUMN), region)
         cond = cond & in_region(F.col("latitude"), F.col("longitude"), region)
     return df.filter(cond)
 
