@@ -5,7 +5,8 @@ Every aggregate is algebraic (count, sum/avg, max, min), so Spark plans a
 partial aggregate before the shuffle and a final one after it: a hot group
 (one place or one region holding a third of the rows) is pre-reduced inside
 each map task and only one row per group per task crosses the network.
-Global aggregates shuffle a single partial row per task.
+Global aggregates shuffle a single partial row per task. Averages come from
+sums that are the same in any order (:mod:`tremor.functions.exact`).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tremor.config import ALERT_STEPS, DEFAULT_REGION, TOP_PLACES_N
 from tremor.functions.classify import mag_range
+from tremor.functions.exact import add_parts, exact_avg, exact_sum_parts, parts_to_double
 from tremor.functions.numeric import nan_to_null, round_like_python
 from tremor.operators.regions import filter_region
 
@@ -71,7 +73,7 @@ def regional_stats(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFrame:
     m = _mag()
     return filter_region(df, name).agg(
         F.count(F.lit(1)).alias("total"),
-        F.avg(m).alias("avg_mag"),
+        exact_avg(m).alias("avg_mag"),
         F.max(m).alias("max_mag"),
         F.min(m).alias("min_mag"),
     )
@@ -79,7 +81,7 @@ def regional_stats(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFrame:
 
 def regional_avg_mag(df: DataFrame, name: str = DEFAULT_REGION.name) -> DataFrame:
     """One row: ``avg_mag`` of the region."""
-    return filter_region(df, name).agg(F.avg(_mag()).alias("avg_mag"))
+    return filter_region(df, name).agg(exact_avg(_mag()).alias("avg_mag"))
 
 
 def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2,
@@ -95,16 +97,27 @@ def summary(df: DataFrame, name: str = DEFAULT_REGION.name, digits: int = 2,
         F.count_if(F.col("region") == F.lit(name)).alias(f"{name.lower()}_count"),
         F.count_if(m > F.lit(top)).alias("critical_count"),
         F.count_if((m > F.lit(second)) & (m <= F.lit(top))).alias("high_count"),
-        F.coalesce(round_like_python(F.avg(m), digits), F.lit(0.0)).alias("average_magnitude"),
+        F.coalesce(round_like_python(exact_avg(m), digits), F.lit(0.0)).alias("average_magnitude"),
         F.coalesce(round_like_python(F.max(m), digits), F.lit(0.0)).alias("max_magnitude"),
     )
 
 
+def sum_columns(parts: dict[str, Column], name: str = "mag") -> list[Column]:
+    """The parts of an exact sum as columns of a table of states."""
+    return [part.alias(f"{name}_{key}") for key, part in parts.items()]
+
+
+def added_sum(name: str = "mag") -> Column:
+    """Aggregate: the sum of all rows' states as a double."""
+    return parts_to_double(**add_parts(*(F.col(f"{name}_{key}") for key in ("high", "low", "other"))))
+
+
 # -- one-pass profile for jobs that need several of the tables above ----------
 
 def range_region_profile(df: DataFrame, null_label: str | None = None) -> DataFrame:
-    """Per ``(mag_range, region)``: ``n`` rows, ``n_mag`` known magnitudes,
-    ``sum_mag``, ``max_mag``, ``min_mag``.
+    """Per ``(mag_range, region)``: ``n`` rows, ``n_mag`` known magnitudes, the
+    parts of their exact sum (``mag_high, mag_low, mag_other``), ``max_mag``,
+    ``min_mag``.
 
     One scan of ``mag`` and ``region`` and a partial/final aggregate whose
     result has at most one row per (range label, region). The row count, the
@@ -115,7 +128,7 @@ def range_region_profile(df: DataFrame, null_label: str | None = None) -> DataFr
     return df.groupBy(mag_range(m, null_label=null_label).alias("mag_range"), F.col("region")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(m).alias("n_mag"),
-        F.sum(m).alias("sum_mag"),
+        *sum_columns(exact_sum_parts(m)),
         F.max(m).alias("max_mag"),
         F.min(m).alias("min_mag"),
     )
@@ -134,7 +147,7 @@ def profile_tables(profile: DataFrame, name: str = DEFAULT_REGION.name) -> dict[
         "region_counts": regions.orderBy(*_most_frequent_first("region")),
         "regional_stats": regional.agg(
             F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"),
-            F.try_divide(F.sum("sum_mag"), F.sum("n_mag")).alias("avg_mag"),
+            F.try_divide(added_sum(), F.sum("n_mag").cast("double")).alias("avg_mag"),
             F.max("max_mag").alias("max_mag"),
             F.min("min_mag").alias("min_mag"),
         ),

@@ -31,7 +31,7 @@ from tremor.config import (
     STREAM_CRITICAL_LABEL,
     TOP_PLACES_N,
 )
-from tremor.operators import analytics, grid, merge, views
+from tremor.operators import analytics, grid, merge, rollup, views
 from tremor.session import build_session, reliable_checkpoint, size_for
 from tremor.sinks import refresh_catalog, write_catalog, write_lines, write_result
 from tremor.sources import feed_slice, read_catalog, read_feed, trailing_range, trailing_window
@@ -75,13 +75,18 @@ def build_catalog(
 
 
 def refresh(spark: SparkSession, feed_paths: Sequence[str], catalog_path: str, fmt: str = "csv",
-            labels: Sequence[str] | None = None, multi_line: bool | None = None) -> DataFrame:
+            labels: Sequence[str] | None = None, multi_line: bool | None = None,
+            states_path: str | None = None) -> DataFrame:
     """Newly landed feeds (first = highest priority, all before what is stored)
     → the days they touch of a catalog laid out by date. Returns the report over
-    those days."""
+    those days. ``states_path``: the daily states kept beside the catalog; those
+    of the touched days are made anew."""
     labels = list(labels or [f"feed{i}" for i in range(len(feed_paths))])
     feeds = [read_feed(spark, p, label, fmt=fmt, multi_line=multi_line) for p, label in zip(feed_paths, labels)]
-    return refresh_catalog(spark, catalog_path, feeds)
+    report = refresh_catalog(spark, catalog_path, feeds)
+    if states_path:
+        rollup.refresh_states(spark, catalog_path, states_path, feeds)
+    return report
 
 
 def slice_feeds(archive: DataFrame, days: int = FEED_DAYS, as_of=None) -> list[DataFrame]:
@@ -222,25 +227,31 @@ def replay_catalog(spark: SparkSession, catalog_path: str, lines_path: str, cata
 
 # -- endpoint views ------------------------------------------------------------------
 
-def endpoint_views(catalog: DataFrame, region: str = DEFAULT_REGION.name) -> dict[str, DataFrame]:
+def endpoint_views(catalog: DataFrame, region: str = DEFAULT_REGION.name,
+                   states: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The five read endpoints of the dashboard service as lazy frames: summary
     row, every event with its alert level, top cells, regional events newest
-    first, and the most recent events."""
+    first, and the most recent events. With ``states`` (:mod:`tremor.operators.rollup`)
+    the summary and the cells are added up from them without a catalog scan."""
+    cells = states[rollup.CELLS] if states else None
     return {
-        "summary": analytics.summary(catalog, region),
+        "summary": rollup.summary(cells, region) if states else analytics.summary(catalog, region),
         "earthquakes": views.event_records(catalog),
-        "hotspots": grid.hotspots_top(catalog),
+        "hotspots": rollup.hotspots_top(cells) if states else grid.hotspots_top(catalog),
         region.lower(): views.regional_events(catalog, region),
         "recent": views.recent_events(catalog),
     }
 
 
 def export_views(spark: SparkSession, catalog_path: str, out_base: str, catalog_fmt: str = "parquet",
-                 region: str = DEFAULT_REGION.name, multi_line: bool | None = None) -> None:
+                 region: str = DEFAULT_REGION.name, multi_line: bool | None = None,
+                 states_path: str | None = None) -> None:
     """Write each endpoint view as JSON lines under ``out_base/<name>`` so the
-    payloads can be served as static files instead of recomputed per request."""
+    payloads can be served as static files instead of recomputed per request.
+    ``states_path``: daily states of the same catalog, for the aggregates."""
     catalog = read_catalog(spark, catalog_path, fmt=catalog_fmt, multi_line=multi_line)
-    for name, df in endpoint_views(catalog, region).items():
+    states = rollup.read_states(spark, states_path) if states_path else None
+    for name, df in endpoint_views(catalog, region, states).items():
         df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{out_base}/{name}")
 
 
@@ -294,6 +305,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     f.add_argument("--feed", action="append", required=True, help="feed path, highest priority first")
     f.add_argument("--catalog", required=True)
     f.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    f.add_argument("--states", default=None, help="daily states of the catalog, made anew for the touched days")
+
+    d = sub.add_parser("daily-states", help="partial aggregates per day of a catalog laid out by date")
+    d.add_argument("--catalog", required=True)
+    d.add_argument("--out", required=True)
 
     a = sub.add_parser("batch-analysis", help="count, magnitude ranges, regions, top places, regional stats")
     a.add_argument("--catalog", required=True)
@@ -320,6 +336,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     v.add_argument("--catalog", required=True)
     v.add_argument("--out", required=True)
     v.add_argument("--catalog-format", default="parquet", choices=["csv", "parquet"])
+    v.add_argument("--states", default=None, help="daily states of the catalog, to answer the aggregates from")
 
     s = sub.add_parser("alerts", help="run the alert stream")
     s.add_argument("--source", required=True)
@@ -352,7 +369,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         build_catalog(spark, args.feed, args.out, fmt=args.format, by_date=args.by_date,
                       multi_line=lines, refreshable=args.refreshable, by_cell=args.by_cell).show(truncate=False)
     elif args.job == "refresh-catalog":
-        refresh(spark, args.feed, args.catalog, fmt=args.format, multi_line=lines).show(truncate=False)
+        refresh(spark, args.feed, args.catalog, fmt=args.format, multi_line=lines,
+                states_path=args.states).show(truncate=False)
+    elif args.job == "daily-states":
+        rollup.write_states(spark, args.catalog, args.out)
     elif args.job == "batch-analysis":
         total = run_batch_analysis(spark, args.catalog, args.out, args.format, args.catalog_format,
                                    days=args.days, as_of=_date(args.as_of), multi_line=lines)
@@ -362,7 +382,7 @@ def main(argv: Sequence[str] | None = None) -> int:
                                        days=args.days, as_of=_date(args.as_of), multi_line=lines).items():
             print(name, [r.asDict() for r in rows])
     elif args.job == "export-views":
-        export_views(spark, args.catalog, args.out, args.catalog_format, multi_line=lines)
+        export_views(spark, args.catalog, args.out, args.catalog_format, multi_line=lines, states_path=args.states)
     elif args.job == "replay":
         replay_catalog(spark, args.catalog, args.out, args.catalog_format, multi_line=lines)
     elif args.job == "alerts":

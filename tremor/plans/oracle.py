@@ -102,6 +102,14 @@ messy_merged AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY time, mag ORDER BY feed, event_id) AS rn FROM messy) WHERE rn = 1)"""
 
 
+# A catalog into which the late rows of every fourth event were merged afterwards.
+_REFRESHED = """refreshed AS (
+  SELECT *, CASE WHEN latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77 THEN 'Pakistan' ELSE 'Global' END AS region
+  FROM (SELECT *, row_number() OVER (PARTITION BY time, mag ORDER BY CASE
+          WHEN event_id % 4 = 0 AND time >= TIMESTAMP '2024-01-20 00:00:00' THEN 0 ELSE 1 END, event_id) AS rn FROM raw)
+  WHERE rn = 1)"""
+
+
 def _hotspots(where: str = "", order_limit: str = "") -> str:
     return f"""{_BASE}
 SELECT round(latitude, 1) + 0.0 AS lat_grid, round(longitude, 1) + 0.0 AS lon_grid,
@@ -218,6 +226,14 @@ SELECT event_id, time, latitude, longitude, depth, mag, place, type,
        CASE WHEN latitude BETWEEN 23 AND 37 AND longitude BETWEEN 60 AND 77 THEN 'Pakistan' ELSE 'Global' END AS region,
        CAST(time AS DATE) AS event_date
 FROM (SELECT *, row_number() OVER (PARTITION BY time, mag ORDER BY version, event_id) AS rn FROM versions) WHERE rn = 1""",
+    "states_summary": f"""{_BASE}, {_REFRESHED}
+SELECT count(*) AS total_earthquakes, count(*) FILTER (WHERE region = 'Pakistan') AS pakistan_count,
+       count(*) FILTER (WHERE mag > 6) AS critical_count, count(*) FILTER (WHERE mag > 5 AND mag <= 6) AS high_count,
+       coalesce(round_even(avg(mag), 2), 0.0) AS average_magnitude, coalesce(round_even(max(mag), 2), 0.0) AS max_magnitude
+FROM refreshed""",
+    "states_hotspots": f"""{_BASE}, {_REFRESHED}
+SELECT round(latitude, 1) + 0.0 AS lat_grid, round(longitude, 1) + 0.0 AS lon_grid, count(*) AS count, {_RISK} AS risk_level
+FROM refreshed GROUP BY 1, 2""",
     "feed_folder_mixed_headers": f"""{_BASE}
 SELECT event_id, time, latitude, longitude, CASE WHEN event_id % 3 <> 0 THEN depth END AS depth, mag, {_ODD_PLACE} AS place, type,
        CASE WHEN event_id % 3 = 0 THEN event_id % 10 END AS felt

@@ -26,7 +26,7 @@ from tremor.functions.cells import CELL_COLUMN
 from tremor.functions.classify import alert_level, mag_range
 from tremor.functions.numeric import grid_snap
 from tremor.functions.time import iso_utc, line_time_text
-from tremor.operators import analytics, grid, merge, regions, views
+from tremor.operators import analytics, grid, merge, regions, rollup, views
 from tremor.plans.jobs import build_catalog, replay_catalog, run_batch_analysis, run_hotspots
 from tremor.session import scratch_path
 from tremor.sinks.refresh import refresh_catalog
@@ -290,6 +290,28 @@ def q_catalog_refresh(spark, sf_dir):
     return spark.read.parquet(path).drop(*map(key_text_column, DEDUPE_KEYS))
 
 
+def _refreshed_states(spark, sf_dir):
+    # Daily states of a stored catalog; a feed of its last days is merged in, and only their states are made anew.
+    root = scratch_path(spark, "states")
+    eid = F.col("event_id")
+    raw = with_key_text(raw_quakes(read_events(spark, sf_dir)))
+    late = (eid % 4 == 0) & (F.col("time") >= F.lit(REFRESH_FROM))
+    write_catalog(merge.merge_feeds([raw.where(~late)], keep_key_text=True), f"{root}/catalog", by_date=True)
+    rollup.write_states(spark, f"{root}/catalog", f"{root}/states")
+    feeds = [raw.where(late)]
+    refresh_catalog(spark, f"{root}/catalog", feeds)
+    rollup.refresh_states(spark, f"{root}/catalog", f"{root}/states", feeds)
+    return rollup.read_states(spark, f"{root}/states")
+
+
+def q_states_summary(spark, sf_dir):
+    return rollup.summary(_refreshed_states(spark, sf_dir)[rollup.CELLS])
+
+
+def q_states_hotspots(spark, sf_dir):
+    return rollup.hotspots(_refreshed_states(spark, sf_dir)[rollup.CELLS])
+
+
 def q_feed_folder_mixed_headers(spark, sf_dir):
     # One feed landed as files of two headers: other column order, a column less, a column more.
     root = scratch_path(spark, "feed-folder")
@@ -514,6 +536,8 @@ QUERIES: dict[str, QueryFn] = {
     "merge_messy_report": q_merge_messy_report,
     "build_catalog_from_csv": q_build_catalog_from_csv,
     "catalog_refresh": q_catalog_refresh,
+    "states_summary": q_states_summary,
+    "states_hotspots": q_states_hotspots,
     "feed_folder_mixed_headers": q_feed_folder_mixed_headers,
     "catalog_by_date_roundtrip": q_catalog_by_date_roundtrip,
     "batch_profile_count": q_batch_profile_count,
