@@ -1,0 +1,68 @@
+"""Lines that decode to nothing: none is lost, each has its reason."""
+
+from __future__ import annotations
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tremor.plans import jobs
+from tremor.plans.registry import MESSY_LINES
+from tremor.sources import decode_lines, reject_counts, rejected_lines
+from tremor.sources.lines import REJECT_REASONS
+from tremor.streaming import line_stream, run_bounded, start_reject_query
+from tremor.streaming.alerts import LINE_COUNTS
+
+WHY = {"": "empty line", "  ": "empty line", "abc,def": "too few fields", "a,1,2,3": "too few fields", "a,1,2,3,": "no magnitude",
+       "a,1,2,3, ,p": "no magnitude", "a,1,2,3,nan": "unreadable magnitude", "a,1,2,3,5d,p": "unreadable magnitude",
+       "a,1,2,3,5.0": None, ",,,,1e1": None}
+
+
+def test_reasons(spark):
+    df = spark.createDataFrame([*((k,) for k in WHY), (None,)], "value string")
+    got = {r.value: r.reason for r in rejected_lines(df).collect()}
+    assert got == {k: v for k, v in WHY.items() if v} | {None: "null line"}
+    assert {r.reason: r["count"] for r in reject_counts(rejected_lines(df)).collect()} == {
+        "empty line": 2, "too few fields": 2, "no magnitude": 2, "unreadable magnitude": 2, "null line": 1}
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab,.5 -\t1", max_size=14), st.sampled_from(MESSY_LINES)), min_size=1, max_size=40))
+def test_rejected_and_decoded_are_the_input(spark, lines):
+    df = spark.createDataFrame([(line, i) for i, line in enumerate(lines)], "value string, i int")
+    kept, rejected = decode_lines(df).select("i").collect(), rejected_lines(df).collect()
+    assert sorted([r.i for r in kept] + [r.i for r in rejected]) == list(range(len(lines)))
+    assert all(r.reason in REJECT_REASONS and r.value == lines[r.i] for r in rejected)
+
+
+def test_columns_of_the_same_names(spark):
+    df = spark.createDataFrame([("x", "mine", 7, "k")], "value string, reason string, n_fields int, key string")
+    assert rejected_lines(df).collect()[0].asDict() == {"key": "k", "value": "x", "reason": "too few fields", "n_fields": 1, "time_raw": "x"}
+
+
+def test_stream_side_output_and_restart(spark, tmp_dir):
+    def land(name, lines):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(f"{tmp_dir}/lines")
+
+    def run():
+        query = start_reject_query(line_stream(spark, f"{tmp_dir}/lines"), f"{tmp_dir}/rejects", f"{tmp_dir}/check", {"availableNow": True})
+        run_bounded([query], 300)
+        return [p["observedMetrics"][LINE_COUNTS] for p in query.recentProgress if p["observedMetrics"]]
+
+    land("a", MESSY_LINES)
+    assert [(m["lines"], m["rejected"]) for m in run()] == [(7, 3)]
+    assert run() == [] or all(m["lines"] == 0 for m in run())  # nothing new
+    land("b", ["", "x,1,2,3,4.5"])
+    assert [(m["lines"], m["rejected"]) for m in run() if m["lines"]] == [(2, 1)]
+    got = spark.read.parquet(f"{tmp_dir}/rejects")
+    assert {r.reason: r["count"] for r in reject_counts(got).collect()} == {"empty line": 2, "too few fields": 1, "unreadable magnitude": 1}
+
+
+def test_job_writes_rejects_beside_the_alerts(spark, tmp_dir):
+    spark.createDataFrame([(line,) for line in MESSY_LINES], "value string").write.text(f"{tmp_dir}/lines")
+    for fused in ([], ["--fused"]):
+        out = f"{tmp_dir}/out{len(fused)}"
+        assert jobs.main(["alerts", "--source", f"{tmp_dir}/lines", "--archive", f"{out}/archive", "--watch", f"{out}/watch",
+                          "--checkpoint", f"{out}/check", "--rejects", f"{out}/rejects", "--available-now", "--timeout", "300", *fused]) == 0
+        assert spark.read.parquet(f"{out}/rejects").count() == 3
+        assert spark.read.parquet(f"{out}/archive").where(F.col("mag") > 6).count() == 3

@@ -45,6 +45,7 @@ from tremor.streaming import (
     socket_line_stream,
     start_alert_queries,
     start_fused_alert_query,
+    start_reject_query,
 )
 
 
@@ -187,6 +188,7 @@ def run_alert_stream(
     steps: Sequence[tuple[float, str]] = ALERT_STEPS,
     top_label: str = STREAM_CRITICAL_LABEL,
     console_rows: int = 20,
+    rejects_path: str | None = None,
 ) -> None:
     """Start the watch and archive queries; with an ``availableNow`` trigger wait
     for both to drain their input, otherwise wait for either to end and stop both.
@@ -194,7 +196,8 @@ def run_alert_stream(
 
     ``source``: a directory of line files, ``kafka://host:port/topic`` or
     ``socket://host:port``. A bounded run over Kafka starts at the earliest
-    offset unless ``kafka_options`` says otherwise.
+    offset unless ``kafka_options`` says otherwise. With ``rejects_path`` a third
+    query writes the lines that decode to nothing, with their reasons.
     """
     bounded = bool(trigger and trigger.get("availableNow"))
     if source.startswith("kafka://"):
@@ -212,6 +215,13 @@ def run_alert_stream(
         queries = [start_fused_alert_query(alerts, archive_path, f"{checkpoint_root}/fused", watch_path, **how)]
     else:
         queries = list(start_alert_queries(alerts, archive_path, checkpoint_root, watch_path, **how))
+    if rejects_path:
+        try:
+            queries.append(start_reject_query(lines, rejects_path, f"{checkpoint_root}/rejects", trigger))
+        except Exception:
+            for query in queries:
+                query.stop()
+            raise
     if bounded:
         # bounded catch-up: both queries drain their input and stop on their own
         run_bounded(queries, timeout)
@@ -343,6 +353,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     s.add_argument("--archive", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--watch", default=None, help="Parquet path for watch alerts (default: console)")
+    s.add_argument("--rejects", default=None, help="Parquet path for lines that cannot be decoded, with reasons")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--fused", action="store_true", help="one query, one source read, both outputs")
@@ -389,7 +400,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         trigger = {"availableNow": True} if args.available_now else None
         run_alert_stream(spark, args.source, args.archive, args.checkpoint, args.watch, trigger,
                          args.max_files_per_trigger, args.timeout, args.fused, args.max_file_age,
-                         dict(o.split("=", 1) for o in args.kafka_option), console_rows=args.console_rows)
+                         dict(o.split("=", 1) for o in args.kafka_option), console_rows=args.console_rows,
+                         rejects_path=args.rejects)
     return 0
 
 

@@ -110,6 +110,14 @@ _REFRESHED = """refreshed AS (
   WHERE rn = 1)"""
 
 
+# Of the same lines those without a readable magnitude.
+_REJECTED = f"""rejected AS (
+  SELECT 'no magnitude' AS reason, 8 AS n_fields, {_LINE_TIME} AS time_raw FROM quakes WHERE mag IS NULL
+  UNION ALL
+  SELECT m.* FROM (SELECT event_id FROM events WHERE event_id % 50 = 0) e CROSS JOIN (VALUES
+    ('empty line', 1, ''), ('too few fields', 2, 'abc'), ('unreadable magnitude', 8, '2024-02-03T04:05:06Z')) m)"""
+
+
 def _hotspots(where: str = "", order_limit: str = "") -> str:
     return f"""{_BASE}
 SELECT round(latitude, 1) + 0.0 AS lat_grid, round(longitude, 1) + 0.0 AS lon_grid,
@@ -216,6 +224,8 @@ SELECT {_LINE_TIME} AS time, latitude, longitude, depth, mag,
        {_LINE_PLACE} AS place, type, region, 8 AS n_fields
 FROM quakes""",
     "decode_lines": f"{_BASE}, {_LINES} SELECT * FROM lines WHERE mag IS NOT NULL",
+    "rejected_lines": f"{_BASE}, {_REJECTED} SELECT * FROM rejected",
+    "stream_rejected_lines": f"{_BASE}, {_REJECTED} SELECT reason, count(*) AS count FROM rejected GROUP BY reason",
     "catalog_refresh": f"""{_BASE},
 versions AS (
   SELECT event_id, time, latitude + event_id % 5 AS latitude, longitude, depth + 1 AS depth, mag, place, type, 0 AS version

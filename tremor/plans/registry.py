@@ -34,13 +34,14 @@ from tremor.sinks.writers import write_catalog, write_lines, write_result
 from tremor.sources.catalog import normalize, read_catalog
 from tremor.sources.feeds import feed_slice, key_text_column, read_feed, trailing_window, with_key_text
 from tremor.sources.fixture import fixture_feeds, load_catalog, raw_quakes, read_events
-from tremor.sources.lines import decode_lines, encode_lines
+from tremor.sources.lines import decode_lines, encode_lines, reject_counts, rejected_lines
 from tremor.streaming.alerts import (
     alerts_from_lines,
     classify_alerts,
     line_stream,
     run_bounded,
     start_alert_queries,
+    start_reject_query,
 )
 
 # Parameters of the dated queries (the fixture's events fall in January 2024).
@@ -383,6 +384,21 @@ def q_decode_lines(spark, sf_dir):
     return decode_lines(spark.read.text(path))
 
 
+def q_rejected_lines(spark, sf_dir):
+    # What decode_lines leaves of the same lines.
+    path = scratch_path(spark, "lines")
+    _land_lines(spark, sf_dir, path)
+    return rejected_lines(spark.read.text(path)).drop("value")
+
+
+def q_stream_rejected_lines(spark, sf_dir):
+    root = scratch_path(spark, "rejects")
+    _land_lines(spark, sf_dir, f"{root}/lines")
+    lines = line_stream(spark, f"{root}/lines", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    run_bounded([start_reject_query(lines, f"{root}/rejects", f"{root}/checkpoint", {"availableNow": True})])
+    return reject_counts(spark.read.parquet(f"{root}/rejects"))
+
+
 def _odd_place():
     """Places with quotes, doubled quotes, commas, blanks at the ends and line breaks."""
     eid, place = F.col("event_id"), F.col("place")
@@ -549,6 +565,8 @@ QUERIES: dict[str, QueryFn] = {
     "batch_job_top_places": q_batch_job_top_places,
     "hotspot_job_global": q_hotspot_job_global,
     "replay_lines": q_replay_lines,
+    "rejected_lines": q_rejected_lines,
+    "stream_rejected_lines": q_stream_rejected_lines,
     "stream_watch_alerts": q_stream_watch_alerts,
     "stream_critical_alerts": q_stream_critical_alerts,
 }

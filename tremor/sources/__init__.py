@@ -9,7 +9,7 @@ from tremor.sources.feeds import (
     trailing_range,
     trailing_window,
 )
-from tremor.sources.lines import decode_lines, encode_lines
+from tremor.sources.lines import decode_lines, encode_lines, reject_counts, rejected_lines
 
 __all__ = [
     "EmptyFeedError",
@@ -19,6 +19,8 @@ __all__ = [
     "normalize",
     "read_catalog",
     "read_feed",
+    "reject_counts",
+    "rejected_lines",
     "require_non_empty",
     "trailing_range",
     "trailing_window",

@@ -20,6 +20,9 @@ from tremor.functions.time import line_time_text, parse_utc_time, utc_wallclock
 
 _NUMERIC = ("latitude", "longitude", "depth", "mag")
 
+#: Reasons for which a line is not decoded, in the order they are tested.
+REJECT_REASONS = ("null line", "empty line", "too few fields", "no magnitude", "unreadable magnitude")
+
 # Characters stripped from both ends of an encoded field: every character Python
 # counts as whitespace (``str.strip()`` with no argument), derived by rule.
 _WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -38,27 +41,56 @@ def decode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
     Other input columns (e.g. a Kafka key or timestamp) pass through, except
     ones named like a decoded column, which the decoded value replaces.
     """
-    parts = F.split(F.col(value_col), LINE_SEPARATOR, -1)
+    produced = set(CATALOG_COLUMNS) | {"time_raw"}
+    keep = [c for c in df.columns if c != value_col and c not in produced]
+    typed = _typed_fields(value_col)
+    decoded = df.select(*keep, *[expr.alias(name) for name, expr in typed.items()], _field(value_col, 0).alias("time_raw"))
+    return decoded.filter(F.col("time_raw").isNotNull() & F.col("mag").isNotNull())
+
+
+def _fields(value_col: str) -> Column:
+    return F.split(F.col(value_col), LINE_SEPARATOR, -1)
 
-    def field(i: int) -> Column:
-        return F.trim(F.get(parts, i))
 
+def _field(value_col: str, i: int) -> Column:
+    return F.trim(F.get(_fields(value_col), i))
+
+
+def _typed_fields(value_col: str) -> dict[str, Column]:
     typed = {}
     for i, name in enumerate(CATALOG_COLUMNS):
-        if name == "time":
-            typed[name] = parse_utc_time(field(i))
-        elif name in _NUMERIC:
-            typed[name] = to_double(field(i))
-        else:
-            typed[name] = field(i)
-    produced = set(CATALOG_COLUMNS) | {"time_raw"}
-    keep = [c for c in df.columns if c != value_col and c not in produced]
-    decoded = df.select(
-        *keep,
-        *[expr.alias(name) for name, expr in typed.items()],
-        field(0).alias("time_raw"),
-    )
-    return decoded.filter(F.col("time_raw").isNotNull() & F.col("mag").isNotNull())
+        field = _field(value_col, i)
+        typed[name] = parse_utc_time(field) if name == "time" else to_double(field) if name in _NUMERIC else field
+    return typed
+
+
+def reject_reason(value_col: str = "value") -> Column:
+    """Why :func:`decode_lines` drops a line (one of ``REJECT_REASONS``); null
+    for a line that it keeps."""
+    at = CATALOG_COLUMNS.index("mag")
+    line, mag = F.col(value_col), _field(value_col, at)
+    null, empty, short, missing, unreadable = REJECT_REASONS
+    return (F.when(line.isNull(), null).when(to_double(mag).isNotNull(), F.lit(None).cast("string"))
+            .when(F.trim(line) == "", empty).when(F.size(_fields(value_col)) <= at, short)
+            .when(mag == "", missing).otherwise(unreadable))
+
+
+def rejected_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """The lines that :func:`decode_lines` drops, as they stand: ``value, reason,
+    n_fields, time_raw`` and the other input columns (not those of these names).
+
+    With the decoded lines they are the whole input: no line is in both or in
+    neither. Works on batch and streaming frames alike."""
+    produced = {value_col, "reason", "n_fields", "time_raw"}
+    return df.select(*[c for c in df.columns if c not in produced], F.col(value_col), reject_reason(value_col).alias("reason"),
+                     F.size(_fields(value_col)).alias("n_fields"), _field(value_col, 0).alias("time_raw")).filter(
+        F.col("reason").isNotNull())
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """``reason, count`` of rejected lines, most frequent first (at most one row per reason)."""
+    counts = rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
+    return counts.coalesce(1).sortWithinPartitions(F.col("count").desc(), "reason")
 
 
 def _field_text(df: DataFrame, name: str) -> Column:

@@ -13,6 +13,7 @@ from tremor.streaming.alerts import (
     socket_line_stream,
     start_alert_queries,
     start_fused_alert_query,
+    start_reject_query,
     watch_alerts,
 )
 
@@ -29,5 +30,6 @@ __all__ = [
     "socket_line_stream",
     "start_alert_queries",
     "start_fused_alert_query",
+    "start_reject_query",
     "watch_alerts",
 ]

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tremor.config import ALERT_STEPS, ARCHIVE_COLUMNS, DEFAULT_REGION, STREAM_CRITICAL_LABEL, WATCH_COLUMNS
 from tremor.functions.classify import region_flag, stream_alert_level
-from tremor.sources.lines import decode_lines
+from tremor.sources.lines import decode_lines, reject_reason, rejected_lines
 
 
 def flag_column(region_name: str = DEFAULT_REGION.name) -> str:
@@ -196,6 +196,22 @@ def start_alert_queries(
         raise
 
 
+#: Name of the counts in a reject query's progress (``observedMetrics``).
+LINE_COUNTS = "line_counts"
+
+
+def start_reject_query(lines: DataFrame, rejects_path: str, checkpoint_path: str, trigger: dict | None = None,
+                       name: str | None = None) -> StreamingQuery:
+    """Write the lines that decode to nothing, with their reasons, to Parquet:
+    the side output of the alert queries, exactly once like the archive. Each
+    progress report of the query counts its ``lines`` and the ``rejected``."""
+    counted = lines.observe(LINE_COUNTS, F.count(F.lit(1)).alias("lines"),
+                            F.count_if(reject_reason().isNotNull()).alias("rejected"))
+    writer = (rejected_lines(counted).writeStream.outputMode("append").format("parquet").option("path", rejects_path)
+              .option("checkpointLocation", checkpoint_path))
+    return _with_trigger(writer.queryName(name) if name else writer, trigger).start()
+
+
 #: Seconds between two looks at running queries.
 _POLL_SECONDS = 0.2
 
