@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import io
 from collections import defaultdict
 
 import numpy as np
@@ -46,6 +48,17 @@ def test_line_dedup_batches_and_compaction(spark, batches, fanout):
     assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in got) == as_rows(brute_lines(rows))
 
 
+def test_line_dedup_leaves_no_tables_and_scans_texts_twice(spark):
+    docs = spark.createDataFrame([(i, f"a shared line of text\nline {i} of its own here") for i in range(60)], "doc_id long, text string")
+    got = line_dedup.drop_repeated_lines(docs, batches=4, fanout=2)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got.explain("formatted")
+    assert out.getvalue().split("\n\n")[0].count("Scan ExistingRDD") == 1  # the cut; the lines were written once before
+    assert got.where("n_dropped = 1").count() == 59
+
+
 def test_line_dedup_messy(spark, messy):
     rows = [(r.doc_id, r.text) for r in messy.collect()]
     got = line_dedup.drop_repeated_lines(messy, counts=False)

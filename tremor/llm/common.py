@@ -38,17 +38,38 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_LOWER)
 
 
+#: The smaller side of a join is broadcast up to so many rows; beyond, the larger side is dealt over salts.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def join_spread(rows: DataFrame, side: DataFrame, on: list[str], spread: str, how: str = "inner",
+                max_broadcast_rows: int | None = None) -> DataFrame:
+    """Join ``rows``, of which any share may have one key, with a smaller ``side``.
+
+    ``side`` is counted and broadcast while it is small; else it is repeated for
+    every salt, and the rows of a key are dealt over the salts by their column
+    ``spread``. Inner, left and left semi joins."""
+    limit = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    if side.count() <= limit:
+        return rows.join(F.broadcast(side), on, how)
+    salts = min(64, shuffle_partitions(rows.sparkSession))
+    dealt = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    return salted.join(dealt, [*on, "_salt"], how).drop("_salt")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared scratch folder and read it back.
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` to a new table in the shared scratch folder, in a folder per
+    value of ``partition_by`` if given, and read it back.
 
     Later jobs (and retries after a lost executor) start from the files; nothing
     is held in executor memory or on one machine's disk.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

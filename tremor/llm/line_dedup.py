@@ -50,6 +50,12 @@ class LineRuns:
          .saveAsTable(name))
         return name, path
 
+    def close(self) -> None:
+        """Take the runs out of the session's catalog; their files are the scratch owner's."""
+        for name, _ in (run for level in self.levels for run in level):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.levels = []
+
     def _push(self, run: tuple[str, str], level: int = 0) -> None:
         if level == len(self.levels):
             self.levels.append([])
@@ -61,7 +67,7 @@ class LineRuns:
                 merged = merged.union(part)
             compacted = self._write(merged.repartition(self.buckets, *_HASH).sortWithinPartitions(*_HASH))
             for name, _ in self.levels[level]:
-                self.spark.sql(f"DROP TABLE {name}")  # the catalog entry; the folder is the scratch owner's
+                self.spark.sql(f"DROP TABLE {name}")
             self.levels[level] = []
             self._push(compacted, level + 1)
 
@@ -114,22 +120,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.col(text_col)
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), text.alias("text"))
     bounds = _batch_bounds(own.select("doc"), batches)
+    number = sum(((F.col("doc") > bound).cast("int") for bound in bounds), F.lit(0))
+    lines = (own.select("doc", F.xxhash64("text").alias("body"), F.posexplode(text_lines(F.col("text"))))
+             .withColumn("key", line_key(F.col("col"))).where(F.length("key") >= MIN_KEY_CHARS)
+             .select("doc", "body", "pos", F.xxhash64("key").alias("h1"),
+                     F.xxhash64(F.lit(1), F.col("key")).alias("h2"), number.alias("batch")))
+    lines = stored(lines, "lines", "batch")  # one scan of the texts, a folder for each batch
     runs, dropped = LineRuns(spark, fanout=fanout), None
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        batch = own
-        if low is not None:
-            batch = batch.where(F.col("doc") > low)
-        if high is not None:
-            batch = batch.where(F.col("doc") <= high)
-        lines = (batch.select("doc", F.xxhash64("text").alias("body"), F.posexplode(text_lines(F.col("text"))))
-                 .withColumn("key", line_key(F.col("col"))).where(F.length("key") >= MIN_KEY_CHARS)
-                 .select("doc", "body", "pos", F.xxhash64("key").alias("h1"),
-                         F.xxhash64(F.lit(1), F.col("key")).alias("h2")))
-        lines = stored(lines, "lines")
-        repeated = runs.add_batch(lines)
-        out = (lines.join(repeated, _HASH).where(F.col("owner").isNull() | (F.col("doc") != F.col("owner")))
-               .select("doc", "body", "pos"))
-        dropped = out if dropped is None else dropped.unionByName(out)
+    try:
+        for batch in range(len(bounds) + 1):
+            new = lines.where(F.col("batch") == batch).drop("batch")
+            repeated = runs.add_batch(new)
+            out = (new.join(repeated, _HASH).where(F.col("owner").isNull() | (F.col("doc") != F.col("owner")))
+                   .select("doc", "body", "pos"))
+            dropped = out if dropped is None else dropped.unionByName(out)
+    finally:
+        runs.close()
     drops = dropped.groupBy("doc", "body").agg(F.collect_set("pos").alias("drops"))
     names = [c for c in docs.columns if not counts or c not in ("n_lines", "n_dropped")]
     marked = docs.select(F.struct(*names).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"),
