@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -122,6 +123,23 @@ def test_url_filter_equals_brute_force(spark):
     assert len(empty) == len(urls) and {r.verdict for r in empty} == {"allow"}
 
 
+def test_listed_sites_and_what_decided(spark, monkeypatch):
+    from tremor.llm import common
+
+    urls = ["http://blog.bad.net/x", "http://bad.net/", "http://notbad.net/", "http://deep.blog.bad.net/y", "http://one.org/p/", "http://one.org/q",
+            "http://free.net/z", "http://bad.net.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame([("free.net", "/", "allow")], "host string, path string, verdict string")
+    one = spark.createDataFrame([("one.org/p",)], "canonical string")
+    sites = spark.createDataFrame([("bad.net",), (None,)], "site string")
+    for limit in (common.MAX_BROADCAST_ROWS, 0):
+        monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", limit)
+        rows = url_filter.filter_urls(pages, url_filter.listing(rules, one, sites)).collect()
+        assert [(r.verdict, r.decided_by) for r in sorted(rows)] == [
+            ("block", "site"), ("block", "site"), ("allow", None), ("block", "site"), ("block", "url"), ("allow", None),
+            ("allow", "rule"), ("allow", None)]
+
+
 def test_bloom_passes_all_listed_and_few_others(spark):
     keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
     bloom = url_filter.BlockedBloom(keys)
@@ -209,6 +227,38 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(spans[i].startswith("email:") and "," not in spans[i] for i in range(40))
 
 
+def test_learned_spans_are_precise(spark):
+    """Planted identifiers of unseen kinds are found in the contexts of known ones; look-alikes in
+    contexts of marks alone, or where known ones are the exception, are not."""
+    rows = [(i, f"Please transfer to account holder ops{i}@bank.org before noon") for i in range(60)]
+    planted = {1000 + i: f"Please transfer to account holder {'DE' if i % 2 else 'K-'}{40000000 + 7919 * i} before noon" for i in range(30)}
+    cards = ["4111111111111111", "5500005555555559", "4012888888881881", "4222222222222220", "6011000990139424", "5105105105105100"]
+    rows += [(2000 + i, f"row {i} | {card} | x | {i} |") for i, card in enumerate(cards * 3)]
+    noise = {3000 + i: f"7 | {1234567890123400 + i} | 9" for i in range(20)}  # beside pipes, like the cards
+    counts = {4000 + i: f"The meter showed units {5000000 + i} at the end" for i in range(40)}
+    rows += [(5000, "The meter showed units a1@b.org at the end")]
+    texts = planted | noise | counts
+    found = pii.find_personal_data(spark.createDataFrame([*rows, *texts.items()], "doc_id long, text string"))
+    learned = {r.doc_id: [s for s in r.spans if s.kind == "id"] for r in found.collect()}
+    for doc_id, text in planted.items():
+        start = text.index("holder ") + 7
+        assert [(s.start, s.end) for s in learned[doc_id]] == [(start, text.index(" before"))]
+    assert not any(spans for doc_id, spans in learned.items() if doc_id not in planted)
+
+
+def test_personal_data_of_hot_keys(spark, monkeypatch):
+    """Copies of one text, and joins dealt over salts, give the same spans."""
+    from tremor.llm import common
+
+    rows = [(i, f"Some prose. Write to member{i}@mail.org today, please") for i in range(40)]
+    rows += [(100 + i, "Well: Write to user-9912345 today, please") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((r.doc_id, r.spans) for r in pii.span_digest(pii.find_personal_data(docs)).collect())
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 0)
+    assert sorted((r.doc_id, r.spans) for r in pii.span_digest(pii.find_personal_data(docs)).collect()) == want
+    assert all(spans == "id:15:27" for doc_id, spans in want if doc_id >= 100)
+
+
 def test_personal_data_messy(spark, messy):
     rows = pii.find_personal_data(messy).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in messy.collect())
@@ -228,13 +278,22 @@ def test_decontamination_finds_all_planted_passages(spark, docs):
 
 def brute_windows(text, item, window=8):
     def tokens(t):
-        named = re.sub(r"([a-zéñ,;:] )([A-ZÉ][a-zéñ])", "\\1\u0002\\2", t)
-        return re.findall("\u0002?[^\\W\\d_][^\\W_]*|[0-9]+(?:[.,][0-9]+)*", named)
+        return re.findall(r"[^\W\d_][^\W_]*|[0-9]+(?:[.,][0-9]+)*", t)
+
+    def number(t):
+        return t[0].isdigit() or t.lower() in decontaminate.NUMBER_WORDS
+
+    def form(t, before):
+        if number(t):
+            return decontaminate.NUMBER
+        if t.lower() in decontaminate.COMMON_WORDS:
+            return t.lower()
+        if t != t.lower():
+            return decontaminate.NAME
+        return decontaminate.UNIT if before and number(before) else t
 
     def forms(raw):
-        return [decontaminate.NAME if t[0] == "\u0002" else decontaminate.NUMBER if t[0].isdigit() else
-                decontaminate.UNIT if i and raw[i - 1][0].isdigit() and t.lower() in decontaminate.UNITS else t.lower()
-                for i, t in enumerate(raw)]
+        return [form(t, raw[i - 1] if i else None) for i, t in enumerate(raw)]
 
     doc, own = forms(tokens(text)), forms(tokens(item))
     n = min(window, len(own))
@@ -350,3 +409,64 @@ def test_subwords_stay_inside_words():
     parts = Counter(langid.subwords(langid.bytes_of("ab")).tolist()) + Counter(
         langid.subwords(langid.bytes_of("cd")).tolist())
     assert a == parts
+
+
+REPHRASED = [
+    ("Tom has 12 apples. Tom eats 5. How many are left?", "Ann has 15 pears. Ann eats 7. How many are left?"),
+    ("NASA bought 30 rockets from Dr. Lee for 20 dollars each and sold them all.",
+     "IBM bought 40 rockets from Dr. Kim for 25 euros each and sold them all."),
+    ("There are five birds on a tree and three fly away, so how many stay there?",
+     "There are nine birds on a tree and four fly away, so how many stay there?"),
+    ("A train leaves Paris at 8 and drives 90 km per hour towards Lyon.",
+     "A train leaves Berlin at nine and drives 120 miles per hour towards Bonn."),
+]
+
+
+def test_decontamination_finds_questions_of_other_values(spark):
+    items, texts = zip(*REPHRASED)
+    texts = [*texts, *(f"Some words before. {t} And some after." for t in texts)]
+    assert found_pairs(spark, texts, items) == sorted((k, k % len(items)) for k in range(len(texts)))
+
+
+def test_decontamination_leaves_inconsistent_values_alone(spark):
+    items = [a for a, _ in REPHRASED]
+    decoys = ["Ann has 15 pears. Bob eats 7. How many are left?",  # Tom became two names
+              "What is many, and how are they left when Ann eats?", "Paris is the capital of Spain.",
+              "There are nine birds in the sea and four swim away, but how many drown there?"]
+    assert found_pairs(spark, decoys, [*items, "What is the capital of France?"]) == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_decontamination_like_its_sql(spark, tmp_path, seed):
+    """Copies, edits, other values, wrapped and stock phrases, against the SQL of the same rule."""
+    rng = np.random.default_rng(seed)
+    pool = "the a of has gives 5 12 nine Anna Tom Lee NASA kg apples water how many are left when they go 3.5 Red red".split()
+    items = [" ".join(rng.choice(pool, rng.integers(1, 34))) for _ in range(25)]
+    items += [f"{' '.join(rng.choice(pool, 6))} so it is that all of the many words here are stock" for _ in range(5)]
+    swap = {"5": "7", "12": "40", "nine": "four", "Anna": "Mary", "Tom": "Bob", "Lee": "Kim", "NASA": "IBM", "apples": "pears"}
+    texts = [None, "", "%%"]
+    for _ in range(80):
+        words = items[rng.integers(len(items))].split()
+        if rng.random() < 0.5:
+            words = [swap.get(w, w) if rng.random() < 0.95 else w for w in words]
+        for _ in range(rng.integers(0, 3)):
+            words.insert(int(rng.integers(0, len(words) + 1)), str(rng.choice(pool)))
+        text = " ".join([*rng.choice(pool, rng.integers(0, 5)), *words[rng.integers(0, 3):], *rng.choice(pool, rng.integers(0, 5))])
+        texts.append(text.upper() if rng.random() < 0.1 else text)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.find_contaminated(docs, benchmark)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", benchmark.toPandas())
+    want = con.sql(decontaminate.ORACLE)
+    assert len(got.columns) == len(want.columns) == 8
+    rows = sorted(got.select(*want.columns).collect())
+    assert [tuple(r) for r in rows] == sorted(want.fetchall()) and len(rows) > 40
+
+
+def test_a_small_bitmap_misses_nothing(spark, monkeypatch):
+    items, texts = zip(*REPHRASED)
+    monkeypatch.setattr(decontaminate, "MAX_ANCHOR_BITS", 1)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", 0)
+    assert found_pairs(spark, [*texts, *items], items) == sorted((k, k % len(items)) for k in range(2 * len(items)))

@@ -39,9 +39,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     host = url_filter.url_host(F.col("url"))
     rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
-    urls = pages.where(host.rlike(url_filter.LISTED_SITES)).select(
-        url_filter.canonical(host, url_filter.url_path(F.col("url"))).alias("canonical"))
-    return url_filter.filter_urls(pages, url_filter.listing(rules, urls))
+    met = pages.where(F.startswith("url", F.lit(url_filter.LISTED_SCHEME)) & host.rlike(url_filter.LISTED_SITES))
+    urls = met.select(url_filter.canonical(host, url_filter.url_path(F.col("url"))).alias("canonical"))
+    sites = met.select(url_filter.site_host(host).alias("site"))
+    return url_filter.filter_urls(pages, url_filter.listing(rules, urls, sites))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

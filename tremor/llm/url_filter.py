@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import ascii_lower
+from tremor.llm.common import ascii_lower, join_spread, let_workers_import, stored
 
 BLOCK_BITS, BLOCK_WORDS, PROBES = 512, 8, 6
 ALLOW, BLOCK = "allow", "block"
@@ -35,24 +35,31 @@ def canonical(host: Column, path: Column) -> Column:
     return F.concat(F.regexp_replace(host, r"^www\.", ""), F.regexp_replace(path, r"/+$", ""))
 
 
+def site_host(host: Column) -> Column:
+    """The site a host belongs to: without a leading ``www.``, ``m.`` or ``blog.``."""
+    return F.regexp_replace(host, r"^(www|m|blog)\.", "")
+
+
 def _rule_key(host: Column, path: Column) -> Column:
     return F.concat(F.lit("r"), host, F.lit(" "), path)
 
 
-def listing(rules: DataFrame | None, urls: DataFrame | None) -> DataFrame:
-    """The list as ``key, rule, rank, verdict``: rules ``(host, path, verdict)``
-    and the distinct non-null blocked ``canonical`` URLs."""
+def listing(rules: DataFrame | None, urls: DataFrame | None, sites: DataFrame | None = None) -> DataFrame:
+    """The list as ``key, rule, rank, verdict``: rules ``(host, path, verdict)``,
+    the distinct non-null blocked ``canonical`` URLs, and the distinct non-null
+    blocked ``site`` hosts, which stand for their subdomains too."""
     parts = []
     if rules is not None:
         host, path = ascii_lower(F.col("host")), F.col("path")
         parts.append(rules.select(_rule_key(host, path).alias("key"), F.concat(host, path).alias("rule"),
                                   F.struct(F.length(F.concat(host, path)).alias("chars"),
                                            F.length(host).alias("host_chars")).alias("rank"), "verdict"))
-    if urls is not None:
-        parts.append(urls.where(F.col("canonical").isNotNull()).select("canonical").distinct().select(
-            F.concat(F.lit("u"), F.col("canonical")).alias("key"), F.lit(None).cast("string").alias("rule"),
-            F.struct(F.lit(-1).alias("chars"), F.lit(-1).alias("host_chars")).alias("rank"),
-            F.lit(BLOCK).alias("verdict")))
+    for single, name, mark, place in ((urls, "canonical", "u", -1), (sites, "site", "h", -2)):
+        if single is not None:
+            parts.append(single.where(F.col(name).isNotNull()).select(name).distinct().select(
+                F.concat(F.lit(mark), F.col(name)).alias("key"), F.lit(None).cast("string").alias("rule"),
+                F.struct(F.lit(place).alias("chars"), F.lit(place).alias("host_chars")).alias("rank"),
+                F.lit(BLOCK).alias("verdict")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -105,22 +112,28 @@ def _candidate_keys(host: Column, path: Column, path_lengths: list[int]) -> Colu
     lengths = F.array(*[F.lit(n) for n in path_lengths]).cast("array<int>")
     starts = F.transform(F.filter(lengths, lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
     prefixes = F.flatten(F.transform(hosts, lambda h: F.transform(starts, lambda p: _rule_key(h, p))))
-    return F.concat(prefixes, F.array(F.concat(F.lit("u"), canonical(host, path))))
+    sites = F.transform(F.filter(hosts, lambda h: h != ""), lambda h: F.concat(F.lit("h"), h))
+    return F.concat(prefixes, sites, F.array(F.concat(F.lit("u"), canonical(host, path))))
 
 
 def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 bits_per_key: int = 12) -> DataFrame:
-    """Per row of ``pages``: ``page_id, host, path, rule, verdict, listed``.
+    """Per row of ``pages``: ``page_id, host, path, rule, verdict, listed, decided_by``.
 
     The longest fitting rule decides (of equal ones, that of the longest host);
-    without a rule, a URL is blocked if its canonical form is listed, else
-    allowed. ``listed`` says whether the exact join found anything.
+    without a rule, a URL is blocked if its canonical form is listed, or a site
+    that its host belongs to, else allowed. ``listed`` says whether the exact join
+    found anything, ``decided_by`` what (``rule``, ``url``, ``site`` or null).
+
+    Rows that pass the Bloom filter under no key are final where they are
+    scanned; only the others are joined and shuffled.
 
     A null URL or one without ``://`` has an empty host and path and fits no
     rule. Ids may be null or repeated; every row gets its row. An empty table or
     list gives no rows, or allows everything. Other columns are not read. If a
     rule is given twice with both verdicts, ``block`` wins.
     """
+    let_workers_import(pages.sparkSession)
     bloom = BlockedBloom(listed.select("key"), bits_per_key)
     # One number per distinct rule length: bounded by the longest rule.
     rule_paths = listed.where(F.col("rule").isNotNull()).select(
@@ -141,27 +154,35 @@ def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", ur
             hits = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), keys.flatten().filter(pa.array(held)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], hits], names=["page_id", "host", "path", "keys"])
 
-    possible = hashed.mapInArrow(run, f"page_id {id_type}, host string, path string, keys array<string>")
-    rows = (possible.withColumn("row", F.monotonically_increasing_id())
-            .select("row", "page_id", "host", "path", F.explode_outer("keys").alias("key")))
-    exact = rows.join(listed, "key", "left")
+    possible = stored(hashed.mapInArrow(run, f"page_id {id_type}, host string, path string, keys array<string>"), "url-keys")
+    free = possible.where(F.size("keys") == 0).select(
+        "page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(ALLOW).alias("verdict"),
+        F.lit(False).alias("listed"), F.lit(None).cast("string").alias("decided_by"))
+    rows = (possible.where(F.size("keys") > 0).withColumn("row", F.monotonically_increasing_id())
+            .select("row", "page_id", "host", "path", F.explode("keys").alias("key")))
+    exact = join_spread(rows, listed, ["key"], "row", "left")
     best = F.max(F.when(F.col("verdict").isNotNull(),
                         F.struct("rank.chars", "rank.host_chars", "verdict", "rule"))).alias("best")
-    return exact.groupBy("row").agg(F.first("page_id").alias("page_id"), F.first("host").alias("host"),
+    decided = F.when(F.col("best.chars") >= 0, "rule").when(F.col("best.chars") == -1, "url").when(F.col("best.chars") == -2, "site")
+    judged = exact.groupBy("row").agg(F.first("page_id").alias("page_id"), F.first("host").alias("host"),
                                     F.first("path").alias("path"), best).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(ALLOW)).alias("verdict"), F.col("best").isNotNull().alias("listed"))
+        F.coalesce("best.verdict", F.lit(ALLOW)).alias("verdict"), F.col("best").isNotNull().alias("listed"),
+        decided.alias("decided_by"))
+    return free.unionByName(judged)
 
 
 #: The rules of the registered query (host, path, verdict).
 RULES = (("org", "/", ALLOW), ("example.org", "/es/", BLOCK), ("example.org", "/en/1", BLOCK),
          ("com", "/fr/", ALLOW), ("com", "/de/", BLOCK))
-#: Fixed value: site names whose pages make up the registered query's URL list.
-LISTED_SITES = r"(^|\.)(spam-farm|cheap-pills|casino-win)\."
+#: The registered query's list holds what was met under these site names over this scheme;
+#: pages met otherwise are for the list to decide.
+LISTED_SITES = r"(^|\.)(spam-farm|cheap-pills|casino-win|ads-track|free-bets|adult-x)\."
+LISTED_SCHEME = "https:"
 
 ORACLE = r"""
 WITH parts AS (
-  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+  SELECT page_id, starts_with(url, 'https:') AS source, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
@@ -172,12 +193,18 @@ ruled AS (
       WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
       WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
       WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule,
-    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical
+    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical,
+    regexp_replace(host, '^(www|m|blog)\.', '') AS site
   FROM parts),
-listed AS (SELECT DISTINCT canonical FROM ruled WHERE regexp_matches(host, '(^|\.)(spam-farm|cheap-pills|casino-win)\.'))
+listed AS (
+  SELECT canonical, site FROM ruled
+  WHERE source AND regexp_matches(host, '(^|\.)(spam-farm|cheap-pills|casino-win|ads-track|free-bets|adult-x)\.')),
+sites AS (SELECT DISTINCT page_id FROM parts JOIN (SELECT DISTINCT site FROM listed) s ON ends_with('.' || host, '.' || s.site)),
+decided AS (
+  SELECT *, CASE WHEN rule IS NOT NULL THEN 'rule' WHEN canonical IN (SELECT canonical FROM listed) THEN 'url'
+    WHEN page_id IN (SELECT page_id FROM sites) THEN 'site' END AS decided_by FROM ruled)
 SELECT page_id, host, path, rule,
-  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-       WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict,
-  rule IS NOT NULL OR canonical IN (SELECT canonical FROM listed) AS listed
-FROM ruled
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN decided_by IS NULL THEN 'allow' ELSE 'block' END AS verdict,
+  decided_by IS NOT NULL AS listed, decided_by
+FROM decided
 """
