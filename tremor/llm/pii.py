@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import stored
+from tremor.llm.common import join_spread, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LEARNED = "id"
@@ -29,6 +29,7 @@ _FOUND = "array<struct<start:int,end:int,value:string,left2:string,left1:string,
 _CHUNK = 64
 _CONTEXT_CHARS = 80
 #: White space and word characters of contexts.
+_LETTER = r"\p{L}"
 _S, _W = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 #: Separators between digits (and dots between domain characters) become the mark.
@@ -147,10 +148,13 @@ def _span_of(rank: int, kind: str):
 
 
 def _patterns(found: Column) -> Column:
-    """Lexical patterns of an instance: two words before it; the words on both sides."""
-    before = F.when(found["left2"] != "", F.concat(F.lit("< "), found["left2"]))
-    around = F.when((found["left1"] != "") & (found["right1"] != ""),
-                    F.concat(F.lit("> "), found["left1"], F.lit(" _ "), found["right1"]))
+    """Lexical patterns of an instance: two words before it; the words on both
+    sides. Each holds a letter: marks alone (columns of a table, list signs) say
+    nothing about what stands beside them. A word after it alone says too little."""
+    left2, left1, right1 = found["left2"], found["left1"], found["right1"]
+    before = F.when(left2.rlike(_LETTER), F.concat(F.lit("< "), left2))
+    around = F.when((left1 != "") & (right1 != "") & (left1.rlike(_LETTER) | right1.rlike(_LETTER)),
+                    F.concat(F.lit("> "), left1, F.lit(" _ "), right1))
     return F.array_compact(F.array(before, around))
 
 
@@ -169,15 +173,15 @@ def score_patterns(marked: DataFrame, rounds: int = 3, min_seeds: int = 5, smoot
     the noisy-or of its patterns' confidences, a seed's is one. Each round is
     written to the shared scratch folder.
     """
-    edges = stored(_edges(marked, "seeds", True).unionByName(_edges(marked, "others", False)), "pattern-edges")
+    edges = stored(_edges(marked, "seeds", True).unionByName(_edges(marked, "others", False)).distinct(), "pattern-edges")
     scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
     for _ in range(rounds):
-        joined = edges.join(scores, "instance")
+        joined = join_spread(edges, scores, ["instance"], "pattern")
         patterns = stored(joined.groupBy("pattern").agg(
             (F.sum("score") / (F.count("*") + smoothing)).alias("mean"), F.count_if("seed").alias("seeds")).select(
             "pattern", F.when(F.col("seeds") >= min_seeds, F.col("mean")).otherwise(0.0).alias("confidence")), "patterns")
         miss = F.sum(F.log(1 - F.least("confidence", F.lit(0.99))))
-        scores = stored(edges.join(patterns, "pattern").groupBy("instance").agg(
+        scores = stored(join_spread(edges, patterns, ["pattern"], "instance").groupBy("instance").agg(
             F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(miss)).alias("score")), "instances")
     return (patterns.where(F.col("confidence") >= confident).select("pattern"),
             scores.where(F.col("score") >= confident).select("instance"))
@@ -200,13 +204,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     patterns, instances = score_patterns(marked, rounds, min_seeds, confident=confident)
     open_tokens = marked.where(F.size("others") > 0).select("b1", "b2", F.explode("others").alias("f")).select(
         "b1", "b2", "f.start", "f.end", F.lower("f.value").alias("instance"), F.explode(_patterns(F.col("f"))).alias("pattern"))
-    learned = (open_tokens.join(instances, "instance", "left_semi").join(patterns, "pattern", "left_semi")
+    open_tokens = open_tokens.distinct()  # of copies of a text once
+    known = join_spread(open_tokens, stored(instances, "confident-instances"), ["instance"], "b1", "left_semi")
+    learned = (join_spread(known, stored(patterns, "confident-patterns"), ["pattern"], "b1", "left_semi")
                .groupBy("b1", "b2").agg(F.collect_set(F.struct(
                    "start", F.lit(len(KINDS)).alias("rank"), "end", F.lit(LEARNED).alias("kind"))).cast(_SPAN).alias("learned")))
     both = F.array_sort(F.concat("spans", F.coalesce("learned", F.array().cast(_SPAN))))
     # Only texts with unlabelled identifier-like tokens can have learned spans; the others are not shuffled.
-    hopeful = (marked.where(F.size("others") > 0).select("doc_id", "b1", "b2", "spans")
-               .join(learned, ["b1", "b2"], "left").select("doc_id", F.col("spans").alias("base"), both.alias("spans")))
+    hopeful = marked.where(F.size("others") > 0).select("doc_id", "b1", "b2", "spans").withColumn(
+        "row", F.monotonically_increasing_id())
+    hopeful = (join_spread(hopeful, stored(learned, "learned-spans"), ["b1", "b2"], "row", "left").select("doc_id", F.col("spans").alias("base"), both.alias("spans")))
     rest = marked.where(F.size("others") == 0).select("doc_id", F.col("spans").alias("base"), "spans")
     return rest.unionByName(hopeful)
 
