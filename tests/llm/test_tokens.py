@@ -9,12 +9,13 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tremor.llm import packing, registry, token_files
+from tremor.llm import packing, registry, token_files, tokens
 from tremor.llm.tokens import TextEncoder
 
 PATH = public_tokenizers.path(registry.TOKENIZER)
@@ -177,3 +178,38 @@ def test_the_word_cache_is_bounded_in_bytes():
         for words in (cache._first, cache._later):
             held = sum(len(w) + len(ids) for half in (words.young, words.old) for w, ids in half.items())
             assert held <= 2 * words.half
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet=st.sampled_from("abcé日 \n\t\u00a0.,'’s1#!"), max_size=20), max_size=20),
+       st.sampled_from([1, 30, 1 << 20]))
+def test_texts_encoded_together_equal_the_library(plain, texts, slice_bytes):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "SLICE_BYTES", slice_bytes)
+        patch.setattr(tokens, "_GATHERED", 3)
+        tiny = TextEncoder(PATH, cache_bytes=300)  # words are forgotten all the time
+        for kind in (pa.string(), pa.large_string()):
+            padded = pa.array(["left out", *texts, "left out"], kind)
+            assert list(tiny.encode_all(padded.slice(1, len(texts)))) == [plain(t)[:-1].tobytes() for t in texts]
+
+
+def test_each_word_of_a_slice_is_encoded_once():
+    encoder, met = TextEncoder(PATH), []
+    tokenize = encoder._tokenize
+    encoder._tokenize = lambda part: met.append(part) or tokenize(part)
+    words = [f"w{chr(97 + k)}x" for k in range(20)]
+    texts = pa.array([" ".join(words[k % 20:] + words[:k % 20]) for k in range(200)])
+    for _ in range(2):  # the second time all are remembered
+        assert len(list(encoder.encode_all(texts))) == 200
+    assert len(met) == len(set(met)) == 40  # at the start of a line, and behind a space
+
+
+def test_remembered_words_cost_what_is_counted():
+    """Two workers of an executor share what its heap leaves of 3000 MB."""
+    encoder = TextEncoder(PATH, cache_bytes=1 << 20)
+    for k in range(30):
+        list(encoder.encode_all(pa.array([" ".join(f"{k}q{i}" for i in range(3000))])))
+        kept = encoder._later
+        held = kept.words.nbytes + kept.ends.nbytes + kept.ids.nbytes + kept.used.nbytes
+        assert held <= 1 << 20 and len(kept.ends) == len(kept.words) + 1 == len(kept.used) + 1
+    assert tokens.CACHE_BYTES <= 32 << 20

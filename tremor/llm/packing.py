@@ -135,14 +135,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     let_workers_import(docs.sparkSession)
 
     def run(batches):
-        encode = encoder(tokenizer_path).encode
+        encode_all = encoder(tokenizer_path).encode_all
         end = END_ID.to_bytes(ID_BYTES, "little")
         packer = _Packer(seq_len, window_tokens, linear, quadratic,
                          TaskContext.get().partitionId() * TASK_STRIDE, flush_bytes)
         for batch in batches:
             ids, texts = batch.columns
-            for i in range(batch.num_rows):
-                packer.add(ids[i].as_py(), encode(texts[i].as_py()) + end)
+            for doc_id, encoded in zip(ids.to_pylist(), encode_all(texts)):
+                packer.add(doc_id, encoded + end)
                 if packer.rest_tokens >= window_tokens:
                     packer.pack_window()
                 if packer.due():

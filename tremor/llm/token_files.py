@@ -171,7 +171,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
     n = partitions or shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode_all = encoder(tokenizer_path).encode_all
         end = END_ID.to_bytes(ID_BYTES, "little")
         part, number, written, shard, last, seen = TaskContext.get().partitionId(), 0, 0, _Shard(), object(), 0
 
@@ -181,13 +181,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
 
         for batch in batches:
             ids, texts = batch.columns
-            for i in range(batch.num_rows):
-                doc_id = ids[i].as_py()
+            for doc_id, encoded in zip(ids.to_pylist(), encode_all(texts)):
                 if shard.tokens >= shard_tokens:
                     yield out()
                     number, written, shard, last = number + 1, written + shard.tokens, _Shard(), object()
                 seen, last = (seen + 1, last) if doc_id == last else (0, doc_id)
-                shard.add((NULL_ID, -1 - seen) if doc_id is None else (doc_id, seen), encode(texts[i].as_py()) + end)
+                shard.add((NULL_ID, -1 - seen) if doc_id is None else (doc_id, seen), encoded + end)
         if shard.keys:
             yield out()
 
