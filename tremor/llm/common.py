@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +31,24 @@ def let_workers_import(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{paths}:{root}".lstrip(":")
 
 
+def release_memory() -> None:
+    """Give back to the system what this process has freed: its allocators keep
+    it, and a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError, TypeError):  # other C libraries than GNU's
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, after which a worker keeps none of the memory that its task has freed."""
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return released
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     let_workers_import(spark)

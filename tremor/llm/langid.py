@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import let_workers_import
+from tremor.llm.common import let_workers_import, releasing
 
 HELD_OUT_MODULUS, HELD_OUT_REST = 4, 2
 UNKNOWN = "und"
@@ -157,7 +157,7 @@ def _example_rows(docs: DataFrame, lines_per_doc: int) -> DataFrame:
                                                  schema=schema)
 
     return docs.select("doc_id", "text", "lang").mapInArrow(
-        run, "doc_id long, lang string, whole boolean, buckets binary, share binary")
+        releasing(run), "doc_id long, lang string, whole boolean, buckets binary, share binary")
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -224,7 +224,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     ids = F.col(id_col).cast("long")
     return docs.select(ids.alias("doc_id"), held_out(ids).alias("held_out"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+        releasing(run), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -243,4 +243,4 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
             keep = pa.array([not model.rejects(*model.predict(t.as_py())) for t in texts], pa.bool_())
             yield batch.filter(keep)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

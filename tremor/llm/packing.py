@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import let_workers_import
+from tremor.llm.common import let_workers_import, releasing
 from tremor.llm.tokens import encoder
 
 END_ID = 0
@@ -151,7 +151,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         yield from packer.flush()
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, PIECE_SCHEMA))
+            .mapInArrow(releasing(run), PIECE_SCHEMA))
 
 
 def piece_digest(pieces: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import shuffle_partitions, stored
+from tremor.llm.common import releasing, shuffle_partitions, stored
 from tremor.llm.graph import connected_components
 
 BITS = 64
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], schema=schema)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id long, fp long")
+        releasing(run), "doc_id long, fp long")
 
 
 def block_masks(radius: int, spare: int, bits: int = BITS) -> list[int]:
@@ -255,7 +255,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, spare: int = 2, bucket_ro
             yield links(group, own)
 
     return (buckets.repartition(n, "bucket").sortWithinPartitions("bucket", "fp")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(releasing(run), "a long, b long").distinct())
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, radius: int, spare: int,
@@ -300,7 +300,7 @@ def _of_fingerprints(docs: DataFrame, wanted: DataFrame, text_col: str, shingle_
                               count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], names=["row", "fp"])
 
-    return rows.mapInArrow(run, schema).join(wanted, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*")
+    return rows.mapInArrow(releasing(run), schema).join(wanted, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,

@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+from tremor.llm.common import release_memory
+
 #: Fixed value: the pre-tokenizer's pattern for byte-level BPE.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -195,17 +197,22 @@ class TextEncoder:
             yield from self._encode_slice(texts.slice(at, end - at).cast(pa.large_string()))
             at = end
 
+    def _split(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words of texts, and where those of each text begin. Line breaks go
+        with the word behind them, and every text begins with one."""
+        lines = pc.replace_substring(texts, "\n", " \n")
+        split = pc.split_pattern(pc.binary_join_element_wise(_BREAK, lines, _NOTHING), " ")
+        return split.values.dictionary_encode(), split.offsets.to_numpy()
+
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
         even = pc.invert(pc.match_substring_regex(texts, _ODD_SPACE))
         out: list[bytes | None] = [None] * len(texts)
         rows = np.flatnonzero(even.to_numpy(zero_copy_only=False))
         if len(rows):
-            # Line breaks go with the word behind them, and every text begins with one.
-            lines = pc.replace_substring(texts.filter(even), "\n", " \n")
-            split = pc.split_pattern(pc.binary_join_element_wise(_BREAK, lines, _NOTHING), " ")
-            words, starts = split.values.dictionary_encode(), split.offsets.to_numpy()
-            places = self._later.find(words.dictionary)[words.indices.to_numpy()]
-            ids, ends = self._later.gather(places)
+            words, starts = self._split(texts.filter(even))
+            release_memory()  # the split words, before the kept ones are searched
+            ids, ends = self._later.gather(self._later.find(words.dictionary)[words.indices.to_numpy()])
+            del words
             self._later.trim()
             ends = np.concatenate([[0], ends])
             plain = np.logical_and.reduceat(np.diff(ends) > 0, starts[:-1])
@@ -213,6 +220,8 @@ class TextEncoder:
             for i, is_plain, a, b in zip(rows.tolist(), plain.tolist(), cuts, cuts[1:]):
                 if is_plain:
                     out[i] = raw[a + skip:b]
+            del ids, ends, plain, raw, cuts
+            release_memory()
         return [_packed(self._whole(texts[i].as_py())) if got is None else got for i, got in enumerate(out)]
 
 
